@@ -9,6 +9,10 @@ from rootwise.model import GraphError
 from rootwise.operators.cycles import strong_components
 from rootwise.scratch import RoundTable, Scratch
 
+# Up to this many nodes, a job goes several levels down.
+FEW_NODES = 200_000
+LEVELS_PER_JOB = 4
+
 _COLUMNS = ["id", "level", "root", "path", "isleaf"]
 
 
@@ -39,11 +43,10 @@ def hierarchy_columns(
         F.concat(F.lit(separator), "seg").alias("path"),
         "isleaf",
     )
-    below = nodes.df.where("parent is not null")
-    levels = _descend(scratch, below, scratch.write(tops), separator)
+    levels = _descend(scratch, nodes, scratch.write(tops), separator)
     out = scratch.scan(levels).withColumn("iscyclic", F.lit(0))
     if sum(level.rows for level in levels) < nodes.rows:
-        tied = scratch.write(below.join(scratch.scan(levels).select("id"), "id", "left_anti")).df
+        tied = scratch.write(nodes.df.join(scratch.scan(levels).select("id"), "id", "left_anti"))
         out = out.unionByName(_cyclic(scratch, tied, separator).withColumn("iscyclic", F.lit(1)))
     return out.select("id", "level", "root", "path", "iscyclic", "isleaf")
 
@@ -126,22 +129,32 @@ def _below(nodes: DataFrame, fresh: DataFrame, separator: str, *more: str) -> Da
     )
 
 
-def _descend(scratch, nodes: DataFrame, first: RoundTable, separator: str) -> list[RoundTable]:
+def _descend(scratch, nodes: RoundTable, first: RoundTable, separator: str) -> list[RoundTable]:
+    """Levels below ``first``, as round tables that hold one or, of few nodes, several."""
     levels = [first]
-    while levels[-1].rows:
-        levels.append(scratch.write(_below(nodes, levels[-1].df, separator)))
+    last, rows = first.df, first.rows
+    steps = LEVELS_PER_JOB if nodes.rows <= FEW_NODES else 1
+    while rows:
+        level, out = last, None
+        for step in range(1, steps + 1):
+            level = _below(nodes.df, level, separator)
+            tagged = level.withColumn("step", F.lit(step))
+            out = tagged if out is None else out.unionByName(tagged)
+        table = scratch.write(out, last=F.count_if(F.col("step") == steps))
+        last, rows = table.df.where(F.col("step") == steps), table.counts["last"]
+        levels.append(table)
     return levels
 
 
-def _cyclic(scratch, tied: DataFrame, separator: str) -> DataFrame:
+def _cyclic(scratch, tied: RoundTable, separator: str) -> DataFrame:
     """Rows of the vertices no top is above: cycles, and the trees below them."""
-    links = tied.select(F.col("parent").alias("src"), F.col("id").alias("dst"))
+    links = tied.df.select(F.col("parent").alias("src"), F.col("id").alias("dst"))
     groups = strong_components(scratch, links)
-    members = tied.where("parent = id").select("id", F.lit(1).cast("long").alias("n"))
+    members = tied.df.where("parent = id").select("id", F.lit(1).cast("long").alias("n"))
     if groups is not None:
         sizes = groups.df.groupBy("cycle_id").agg(F.count(F.lit(1)).alias("n"))
         members = members.unionByName(groups.df.join(sizes, "cycle_id").select("id", "n"))
-    ring = scratch.write(tied.join(members, "id")).df
+    ring = scratch.write(tied.df.join(members, "id")).df
     # From every vertex of a cycle a walk goes down the cycle; after n vertices it ends
     # at the vertex whose row it is.
     walks = scratch.write(
@@ -160,5 +173,5 @@ def _cyclic(scratch, tied: DataFrame, separator: str) -> DataFrame:
         onward = walks.df.where("level < n")
         walks = scratch.write(_below(ring.drop("n"), onward, separator, "n"))
     rows = scratch.write(scratch.scan(ended).where("level = n").select(*_COLUMNS))
-    trees = tied.join(members.select("id"), "id", "left_anti")
+    trees = scratch.write(tied.df.join(members.select("id"), "id", "left_anti"))
     return scratch.scan(_descend(scratch, trees, rows, separator))

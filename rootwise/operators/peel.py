@@ -9,9 +9,19 @@ from pyspark.sql import functions as F
 
 from rootwise.scratch import RoundTable, Scratch
 
+# Up to this many edges, a job runs several rounds and carries the vertices along; above,
+# it runs one and moves only what the round touches.
+FEW_EDGES = 500_000
+ROUNDS_PER_JOB = 6
 # Used-up edges are dropped from the edge table once it is this large and half used up.
 COMPACT_ABOVE = 1_000_000
 
+# Values of ``phase``. All but WAITING are finished.
+WAITING = 0
+FRESH = 1  # its out-edges are still to be used
+SPENT = 2
+EARLIER = 3  # finished in an earlier round table already
+
 
 @dataclass(frozen=True)
 class Peeled:
@@ -57,33 +67,22 @@ def peel(
     spent = compacted = 0
     fresh, fresh_rows = start, start_rows
     while fresh_rows:
-        arrived = live.join(fresh.withColumnRenamed("id", "src"), "src").select(
-            F.col("dst").alias("id"),
-            "need",
-            F.lit(1).cast("long").alias("got"),
-            (F.col("depth") + 1).alias("depth"),
-        )
-        served = arrived if waiting is None else arrived.unionByName(waiting)
-        merged = served.groupBy("id").agg(
-            F.max("need").alias("need"),
-            F.sum("got").alias("got"),
-            F.max("depth").alias("depth"),
-        )
-        full = F.col("got") >= F.col("need")
+        few = live_rows <= FEW_EDGES
+        run = _several_rounds if few else _one_round
         table = scratch.write(
-            merged.select(
-                "id", "need", "got", _rooted(root_id).alias("depth"), full.alias("full")
-            ),
-            full=F.count_if("full"),
-            spent=F.sum(F.when(F.col("full"), F.col("got")).otherwise(0)),
+            run(live, fresh, waiting, root_id),
+            fresh=F.count_if(F.col("phase") == FRESH),
+            finished=F.count_if(_is_new()),
+            spent=F.sum(F.when(_is_new(), F.col("got")).otherwise(0)),
         )
-        fresh = table.df.where("full").select("id", "depth")
-        fresh_rows = table.counts["full"]
-        waiting = table.df.where("not full").drop("full")
+        fresh = table.df.where(F.col("phase") == FRESH).select("id", "depth")
+        fresh_rows = table.counts["fresh"]
+        waiting = table.df.where(F.col("phase") == WAITING).drop("phase")
         layers.append(table)
-        total += fresh_rows
+        total += table.counts["finished"]
         spent += table.counts["spent"]
         if live_rows > COMPACT_ABOVE and 2 * spent > live_rows:
+            # The edges into finished vertices are used up, and so are their sources.
             used = _finished(scratch, start, layers[compacted:-1])
             used = used.select(F.col("id").alias("src"))
             rest = scratch.write(live.join(used, "src", "left_anti").select("src", "dst", "need"))
@@ -91,14 +90,71 @@ def peel(
     return Peeled(_finished(scratch, start, layers), waiting, total)
 
 
+def _is_new() -> Column:
+    return F.col("phase").isin(FRESH, SPENT)
+
+
 def _finished(scratch: Scratch, start: DataFrame, layers: list[RoundTable]) -> DataFrame:
     if not layers:
         return start
-    return start.unionByName(scratch.scan(layers).where("full").select("id", "depth"))
+    return start.unionByName(scratch.scan(layers).where(_is_new()).select("id", "depth"))
+
+
+def _merged(served: DataFrame, root_id: str | None) -> DataFrame:
+    """One row per vertex; a waiting one that has all it needs turns fresh."""
+    rows = served.groupBy("id").agg(
+        F.max("need").alias("need"),
+        F.sum("got").alias("got"),
+        F.max("depth").alias("depth"),
+        F.max("phase").alias("phase"),
+    )
+    depth, phase = F.col("depth"), F.col("phase")
+    if root_id is not None:
+        depth = F.when(F.col("id") == root_id, F.coalesce(depth, F.lit(0))).otherwise(depth)
+    full = (phase == WAITING) & (F.col("got") >= F.col("need"))
+    return rows.select(
+        "id", "need", "got", depth.alias("depth"), F.when(full, FRESH).otherwise(phase).alias("phase")
+    )
+
+
+def _one_round(live, fresh, waiting, root_id) -> DataFrame:
+    """Only the fresh rows meet the edges; finished rows are left where they are."""
+    served = live.join(fresh.withColumnRenamed("id", "src"), "src").select(
+        F.col("dst").alias("id"),
+        "need",
+        F.lit(1).cast("long").alias("got"),
+        (F.col("depth") + 1).alias("depth"),
+        F.lit(WAITING).alias("phase"),
+    )
+    if waiting is not None:
+        served = served.unionByName(waiting.withColumn("phase", F.lit(WAITING)))
+    return _merged(served, root_id)
 
 
-def _rooted(root_id: str | None) -> Column:
-    depth = F.col("depth")
-    if root_id is None:
-        return depth
-    return F.when(F.col("id") == root_id, F.coalesce(depth, F.lit(0))).otherwise(depth)
+def _several_rounds(live, fresh, waiting, root_id) -> DataFrame:
+    """Rounds in a row in one plan, each an edge join and one shuffle.
+
+    A fresh row goes in twice: once to meet the edges, and once to stay as it is.
+    """
+    none = F.lit(0).cast("long")
+    rows = fresh.select(
+        "id", none.alias("need"), none.alias("got"), "depth", F.lit(FRESH).alias("phase")
+    )
+    if waiting is not None:
+        rows = rows.unionByName(waiting.withColumn("phase", F.lit(WAITING)))
+    links = live.select("src", F.col("dst").alias("to"), F.col("need").alias("to_need"))
+    go = F.col("go")
+    for nth in range(ROUNDS_PER_JOB):
+        both = F.when(F.col("phase") == FRESH, F.array(F.lit(False), F.lit(True)))
+        rows = rows.withColumn("go", F.explode(F.coalesce(both, F.array(F.lit(False)))))
+        rows = rows.join(links, go & (F.col("id") == F.col("src")), "left")
+        stay = F.when(F.col("phase") == FRESH, SPENT if nth else EARLIER).otherwise(F.col("phase"))
+        rows = rows.where(~go | F.col("src").isNotNull()).select(
+            F.when(go, F.col("to")).otherwise(F.col("id")).alias("id"),
+            F.when(go, F.col("to_need")).otherwise(F.col("need")).alias("need"),
+            F.when(go, F.lit(1).cast("long")).otherwise(F.col("got")).alias("got"),
+            (F.col("depth") + go.cast("int")).alias("depth"),
+            F.when(go, WAITING).otherwise(stay).alias("phase"),
+        )
+        rows = _merged(rows, root_id)
+    return rows

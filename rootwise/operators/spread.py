@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 
 from rootwise.scratch import RoundTable, Scratch
 
-# Known rows above which a round's candidates are written first, so that the planner
+# Up to this many known rows, a job goes several edges far before it compares with what
+# is known; a row may then be looked at again for nothing, which is cheap while few.
+FEW_KNOWN = 200_000
+HOPS_PER_JOB = 4
+# Above this many known rows, a round's candidates are written first, so that the planner
 # sees their size and can leave the known rows unshuffled when the candidates are few.
 MANY_KNOWN = 2_000_000
 # Round tables to pile up before they are merged into one.
@@ -29,7 +33,6 @@ def spread_min(
     step: Callable[[Column], Column],
     labels: tuple[str, ...] = (),
     settled: bool = True,
-    max_rounds: int | None = None,
 ) -> DataFrame:
     """Smallest ``val`` per ``(id, *labels)`` reached from ``seeds(id, *labels, val)``.
 
@@ -41,31 +44,39 @@ def spread_min(
     kind = seeds.schema["val"].dataType
     first = scratch.write(seeds.groupBy(*keys).agg(F.min("val").alias("val")))
     known = [first]
-    fresh = first
-    known_rows = first.rows
-    rounds = 0
-    while fresh.rows:
-        if max_rounds is not None and rounds >= max_rounds:
-            break
-        rounds += 1
+    known_rows = fresh_rows = first.rows
+    fresh = first.df
+    while fresh_rows:
         best = _best(scratch, known, keys, settled)
-        candidates = (
-            edges.join(fresh.df.withColumnRenamed("id", "src"), "src")
-            .select(F.col("dst").alias("id"), *labels, step(F.col("val")).cast(kind).alias("val"))
-            .groupBy(*keys)
-            .agg(F.min("val").alias("val"))
-        )
+        hops = HOPS_PER_JOB if known_rows <= FEW_KNOWN else 1
+        reached = fresh.select(*keys, "val")
+        tried = None
+        for hop in range(1, hops + 1):
+            reached = (
+                edges.join(reached.withColumnRenamed("id", "src"), "src")
+                .select(F.col("dst").alias("id"), *labels, step(F.col("val")).cast(kind).alias("val"))
+                .groupBy(*keys)
+                .agg(F.min("val").alias("val"))
+            )
+            tagged = reached.withColumn("hop", F.lit(hop))
+            tried = tagged if tried is None else tried.unionByName(tagged)
+        if hops > 1:
+            tried = tried.groupBy(*keys).agg(F.min(F.struct("val", "hop")).alias("least"))
+            tried = tried.select(*keys, "least.val", "least.hop")
         if known_rows > MANY_KNOWN:
-            candidates = scratch.write(candidates).df
-            best = best.join(candidates.select(*keys), keys, "left_semi")
+            tried = scratch.write(tried).df
+            best = best.join(tried.select(*keys), keys, "left_semi")
         better = (
-            candidates.join(best.withColumnRenamed("val", "old"), keys, "left")
+            tried.join(best.withColumnRenamed("val", "old"), keys, "left")
             .where(F.col("old").isNull() | (F.col("val") < F.col("old")))
-            .select(*keys, "val")
+            .select(*keys, "val", "hop")
         )
-        fresh = scratch.write(better)
-        known_rows += fresh.rows
-        known.append(fresh)
+        # What improved before the last hop has been carried on already.
+        table = scratch.write(better, fresh=F.count_if(F.col("hop") == hops))
+        fresh = table.df.where(F.col("hop") == hops)
+        fresh_rows = table.counts["fresh"]
+        known_rows += table.rows
+        known.append(table)
         if len(known) > MERGE_EVERY:
             merged = scratch.write(_best(scratch, known, keys, settled))
             known, known_rows = [merged], merged.rows

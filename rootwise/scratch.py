@@ -14,6 +14,7 @@ import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
-@dataclass(frozen=True)
+@dataclass
 class RoundTable:
     """A written table, its row count and any further counts taken while writing."""
 
@@ -50,7 +51,7 @@ class RoundTable:
     rows: int
     counts: dict[str, int] = field(default_factory=dict)
 
-    @property
+    @cached_property
     def df(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
