@@ -26,16 +26,17 @@ def _ends(edges: DataFrame) -> DataFrame:
     return ends.distinct()
 
 
-def _without_sources(scratch: Scratch, edges: RoundTable) -> RoundTable:
+def _without_sources(scratch: Scratch, edges: DataFrame, rows: int) -> tuple[DataFrame, int]:
     """Edges left when all that hangs off vertices without in-edges is peeled away."""
-    needs = scratch.write(in_degrees(_ends(edges.df), edges.df), free=F.count_if(F.col("need") == 0))
+    needs = scratch.write(in_degrees(_ends(edges), edges), free=F.count_if(F.col("need") == 0))
     if not needs.counts["free"]:
-        return edges
+        return edges, rows
     start = needs.df.where("need = 0").select("id", F.lit(0).alias("depth"))
-    needed = scratch.write(with_need(edges.df, needs.df))
+    needed = scratch.write(with_need(edges, needs.df))
     gone = peel(scratch, needed, start, needs.counts["free"]).done
     gone = gone.select(F.col("id").alias("src"))
-    return scratch.write(edges.df.join(gone, "src", "left_anti").select("src", "dst"))
+    kept = scratch.write(edges.join(gone, "src", "left_anti").select("src", "dst"))
+    return kept.df, kept.rows
 
 
 def strong_components(scratch: Scratch, edges: DataFrame) -> RoundTable | None:
@@ -44,47 +45,43 @@ def strong_components(scratch: Scratch, edges: DataFrame) -> RoundTable | None:
     ``cycle_id`` is the smallest id inside. All that is not on or between cycles is peeled
     off from both ends. Then every vertex takes the smallest id that reaches it as its
     colour, and what can go back to the vertex of that id within the colour is that
-    vertex's component. The rest goes round again.
+    vertex's component. The rest goes round again, without the edges between colours, as
+    a component has one colour.
     """
-    live = scratch.write(edges.where("src <> dst").select("src", "dst").distinct())
+    first = scratch.write(edges.where("src <> dst").select("src", "dst").distinct())
+    live, rows = first.df, first.rows
     found: list[RoundTable] = []
-    while live.rows:
-        live = _without_sources(scratch, live)
-        if live.rows:
-            back = scratch.write(_reversed(live.df))
-            live = scratch.write(_reversed(_without_sources(scratch, back).df))
-        if not live.rows:
+    while rows:
+        live, rows = _without_sources(scratch, live, rows)
+        if rows:
+            back, rows = _without_sources(scratch, _reversed(live), rows)
+            live = _reversed(back)
+        if not rows:
             break
-        colours = scratch.write(
-            spread_min(
-                scratch,
-                live.df,
-                _ends(live.df).withColumn("val", F.col("id")),
-                lambda colour: colour,
-                settled=False,
-            )
-        ).df
+        seeds = _ends(live).withColumn("val", F.col("id"))
+        colours = scratch.write(spread_min(scratch, live, seeds, "val", settled=False)).df
         inside = scratch.write(
-            live.df.join(colours.toDF("src", "colour"), "src")
+            live.join(colours.toDF("src", "colour"), "src")
             .join(colours.toDF("dst", "colour"), ["dst", "colour"])
-            .select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+            .select("src", "dst")
         )
         tops = colours.where("id = val").select("id")
-        members = reach(scratch, inside.df, tops).select("id").join(colours, "id")
+        members = reach(scratch, _reversed(inside.df), tops).select("id").join(colours, "id")
         group = scratch.write(members.select(F.col("val").alias("cycle_id"), "id"))
         found.append(group)
         ids = group.df.select("id")
-        live = scratch.write(
-            live.df.join(ids.withColumnRenamed("id", "src"), "src", "left_anti")
+        rest = scratch.write(
+            inside.df.join(ids.withColumnRenamed("id", "src"), "src", "left_anti")
             .join(ids.withColumnRenamed("id", "dst"), "dst", "left_anti")
             .select("src", "dst")
         )
+        live, rows = rest.df, rest.rows
     if not found:
         return None
     # A colour's top may be alone: a vertex between two cycles.
-    rows = scratch.scan(found)
-    sizes = rows.groupBy("cycle_id").count().where("count > 1").select("cycle_id")
-    return scratch.write(rows.join(sizes, "cycle_id", "left_semi"))
+    members = scratch.scan(found)
+    sizes = members.groupBy("cycle_id").count().where("count > 1").select("cycle_id")
+    return scratch.write(members.join(sizes, "cycle_id", "left_semi"))
 
 
 @dataclass(frozen=True)

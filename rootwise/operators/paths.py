@@ -78,9 +78,9 @@ def shortest_distances(edges: DataFrame, source_id) -> DataFrame:
     seeds = edges.sparkSession.range(1).select(
         F.lit(source_id).cast(kind).alias("id"), F.lit(0.0).alias("val")
     )
-    return spread_min(
-        scratch, table.df.drop("odd"), seeds, lambda far: far + F.col("weight"), settled=False
-    ).withColumnRenamed("val", "distance")
+    links = table.df.drop("odd")
+    found = spread_min(scratch, links, seeds, "val + weight", settled=False)
+    return found.withColumnRenamed("val", "distance")
 
 
 def with_distances(vertices: DataFrame, distances: DataFrame) -> DataFrame:

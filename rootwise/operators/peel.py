@@ -132,29 +132,33 @@ def _one_round(live, fresh, waiting, root_id) -> DataFrame:
 
 
 def _several_rounds(live, fresh, waiting, root_id) -> DataFrame:
-    """Rounds in a row in one plan, each an edge join and one shuffle.
+    """Rounds in a row in one statement, each an edge join and one shuffle.
 
     A fresh row goes in twice: once to meet the edges, and once to stay as it is.
     """
-    none = F.lit(0).cast("long")
-    rows = fresh.select(
-        "id", none.alias("need"), none.alias("got"), "depth", F.lit(FRESH).alias("phase")
-    )
+    views = {"live": live, "fresh": fresh}
+    start = f"SELECT id, 0L AS need, 0L AS got, depth, {FRESH} AS phase FROM {{fresh}}"
     if waiting is not None:
-        rows = rows.unionByName(waiting.withColumn("phase", F.lit(WAITING)))
-    links = live.select("src", F.col("dst").alias("to"), F.col("need").alias("to_need"))
-    go = F.col("go")
-    for nth in range(ROUNDS_PER_JOB):
-        both = F.when(F.col("phase") == FRESH, F.array(F.lit(False), F.lit(True)))
-        rows = rows.withColumn("go", F.explode(F.coalesce(both, F.array(F.lit(False)))))
-        rows = rows.join(links, go & (F.col("id") == F.col("src")), "left")
-        stay = F.when(F.col("phase") == FRESH, SPENT if nth else EARLIER).otherwise(F.col("phase"))
-        rows = rows.where(~go | F.col("src").isNotNull()).select(
-            F.when(go, F.col("to")).otherwise(F.col("id")).alias("id"),
-            F.when(go, F.col("to_need")).otherwise(F.col("need")).alias("need"),
-            F.when(go, F.lit(1).cast("long")).otherwise(F.col("got")).alias("got"),
-            (F.col("depth") + go.cast("int")).alias("depth"),
-            F.when(go, WAITING).otherwise(stay).alias("phase"),
-        )
-        rows = _merged(rows, root_id)
-    return rows
+        views["waiting"] = waiting
+        start += f" UNION ALL SELECT id, need, got, depth, {WAITING} FROM {{waiting}}"
+    depth = "max(depth)" if root_id is None else "if(id = :root, coalesce(max(depth), 0), max(depth))"
+    rounds = [f"r0 AS ({start})"]
+    for nth in range(1, ROUNDS_PER_JOB + 1):
+        rounds.append(f"""
+            r{nth} AS (
+                SELECT id, max(need) AS need, sum(got) AS got, {depth} AS depth,
+                       if(max(phase) = {WAITING} AND sum(got) >= max(need), {FRESH}, max(phase)) AS phase
+                FROM (
+                    SELECT if(go, dst, id) AS id, if(go, e.need, v.need) AS need, if(go, 1L, got) AS got,
+                           depth + int(go) AS depth,
+                           CASE WHEN go THEN {WAITING}
+                                WHEN phase = {FRESH} THEN {EARLIER if nth == 1 else SPENT}
+                                ELSE phase END AS phase
+                    FROM (SELECT *, explode(if(phase = {FRESH}, array(false, true), array(false))) AS go
+                          FROM r{nth - 1}) v
+                         LEFT JOIN {{live}} e ON go AND id = src
+                    WHERE NOT go OR src IS NOT NULL)
+                GROUP BY id)""")
+    text = f"WITH {','.join(rounds)} SELECT * FROM r{ROUNDS_PER_JOB}"
+    args = None if root_id is None else {"root": root_id}
+    return live.sparkSession.sql(text, args=args, **views)

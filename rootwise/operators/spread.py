@@ -8,9 +8,7 @@ round tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rootwise.scratch import RoundTable, Scratch
@@ -18,7 +16,7 @@ from rootwise.scratch import RoundTable, Scratch
 # Up to this many known rows, a job goes several edges far before it compares with what
 # is known; a row may then be looked at again for nothing, which is cheap while few.
 FEW_KNOWN = 200_000
-HOPS_PER_JOB = 4
+HOPS_PER_JOB = 6
 # Above this many known rows, a round's candidates are written first, so that the planner
 # sees their size and can leave the known rows unshuffled when the candidates are few.
 MANY_KNOWN = 2_000_000
@@ -30,51 +28,33 @@ def spread_min(
     scratch: Scratch,
     edges: DataFrame,
     seeds: DataFrame,
-    step: Callable[[Column], Column],
+    step: str,
     labels: tuple[str, ...] = (),
     settled: bool = True,
 ) -> DataFrame:
     """Smallest ``val`` per ``(id, *labels)`` reached from ``seeds(id, *labels, val)``.
 
-    ``edges(src, dst, ...)``; ``step`` gives the value at ``dst`` from the one at
-    ``src`` and may use edge columns. ``settled`` says that the first value a row gets
-    is final, as with hop counts; otherwise values may improve in later rounds.
+    ``edges(src, dst, ...)``; ``step`` is the SQL expression of the value at ``dst`` from
+    ``val`` at ``src``, and may use edge columns. ``settled`` says that the first value a
+    row gets is final, as with hop counts; otherwise values may improve in later rounds.
     """
     keys = ["id", *labels]
-    kind = seeds.schema["val"].dataType
     first = scratch.write(seeds.groupBy(*keys).agg(F.min("val").alias("val")))
     known = [first]
     known_rows = fresh_rows = first.rows
     fresh = first.df
     while fresh_rows:
         best = _best(scratch, known, keys, settled)
-        hops = HOPS_PER_JOB if known_rows <= FEW_KNOWN else 1
-        reached = fresh.select(*keys, "val")
-        tried = None
-        for hop in range(1, hops + 1):
-            reached = (
-                edges.join(reached.withColumnRenamed("id", "src"), "src")
-                .select(F.col("dst").alias("id"), *labels, step(F.col("val")).cast(kind).alias("val"))
-                .groupBy(*keys)
-                .agg(F.min("val").alias("val"))
-            )
-            tagged = reached.withColumn("hop", F.lit(hop))
-            tried = tagged if tried is None else tried.unionByName(tagged)
-        if hops > 1:
-            tried = tried.groupBy(*keys).agg(F.min(F.struct("val", "hop")).alias("least"))
-            tried = tried.select(*keys, "least.val", "least.hop")
+        move = _several_hops if known_rows <= FEW_KNOWN else _one_hop
+        tried = move(edges, fresh.select(*keys, "val"), step, labels)
         if known_rows > MANY_KNOWN:
             tried = scratch.write(tried).df
             best = best.join(tried.select(*keys), keys, "left_semi")
-        better = (
-            tried.join(best.withColumnRenamed("val", "old"), keys, "left")
-            .where(F.col("old").isNull() | (F.col("val") < F.col("old")))
-            .select(*keys, "val", "hop")
+        better = tried.join(best.withColumnRenamed("val", "old"), keys, "left").where(
+            "old IS NULL OR val < old"
         )
-        # What improved before the last hop has been carried on already.
-        table = scratch.write(better, fresh=F.count_if(F.col("hop") == hops))
-        fresh = table.df.where(F.col("hop") == hops)
-        fresh_rows = table.counts["fresh"]
+        table = scratch.write(better.select(*keys, "val", "fresh"), fresh=F.count_if("fresh"))
+        fresh, fresh_rows = table.df.where("fresh"), table.counts["fresh"]
         known_rows += table.rows
         known.append(table)
         if len(known) > MERGE_EVERY:
@@ -83,6 +63,43 @@ def spread_min(
     return _best(scratch, known, keys, settled)
 
 
+def _one_hop(edges: DataFrame, fresh: DataFrame, step: str, labels) -> DataFrame:
+    """What ``fresh`` gives the vertices one edge on."""
+    keys = ["id", *labels]
+    kind = fresh.schema["val"].dataType
+    moved = edges.join(fresh.withColumnRenamed("id", "src"), "src").select(
+        F.col("dst").alias("id"), *labels, F.expr(step).cast(kind).alias("val")
+    )
+    return moved.groupBy(*keys).agg(F.min("val").alias("val")).withColumn("fresh", F.lit(True))
+
+
+def _several_hops(edges: DataFrame, fresh: DataFrame, step: str, labels) -> DataFrame:
+    """What ``fresh`` gives all vertices some edges on, in one statement.
+
+    ``fresh`` stays true for those whose own edges are still to be used. A fresh row goes
+    into a hop twice: once to meet the edges, and once to stay as it is.
+    """
+    keys = ", ".join(["id", *labels])
+    moved_keys = ", ".join(["if(go, dst, id) AS id", *labels])
+    kind = fresh.schema["val"].dataType.simpleString()
+    hops = [f"h0 AS (SELECT {keys}, val, true AS fresh FROM {{fresh}})"]
+    for nth in range(1, HOPS_PER_JOB + 1):
+        hops.append(f"""
+            h{nth} AS (
+                SELECT {keys}, min(val) AS val,
+                       coalesce(min(if(came, val, null)) < min(if(came, null, val)),
+                                every(came)) AS fresh
+                FROM (
+                    SELECT {moved_keys}, if(go, CAST({step} AS {kind}), val) AS val, go AS came
+                    FROM (SELECT *, explode(if(fresh, array(false, true), array(false))) AS go
+                          FROM h{nth - 1}) v
+                         LEFT JOIN {{edges}} e ON go AND id = src
+                    WHERE NOT go OR src IS NOT NULL)
+                GROUP BY {keys})""")
+    text = f"WITH {','.join(hops)} SELECT * FROM h{HOPS_PER_JOB}"
+    return fresh.sparkSession.sql(text, fresh=fresh, edges=edges)
+
+
 def _best(scratch: Scratch, known: list[RoundTable], keys: list[str], settled: bool) -> DataFrame:
     rows = scratch.scan(known)
     if settled or len(known) == 1:
@@ -95,4 +112,4 @@ def reach(
 ) -> DataFrame:
     """``(id, *labels, val)`` for all reached from ``seeds(id, *labels)``; ``val`` is hops."""
     start = seeds.select("id", *labels, F.lit(0).alias("val"))
-    return spread_min(scratch, edges, start, lambda hops: hops + 1, labels)
+    return spread_min(scratch, edges, start, "val + 1", labels)
