@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +19,14 @@ BLOCKED = "blocked"
 PARSE_ERROR = "parse_error"
 NO_FORMULA = "no_formula"
 
-_COLUMNS = ["id", "formula", "depth", "value", "status"]
 # Partition of the reference pieces of formulas on or below a cycle.
 _NO_DEPTH = -1
+_PIECE = ["id", "pos", "lead", "ref", "tail", "linked"]
+
+# Above this many vertices, values are handed on instead of looked up.
+FEW_VERTICES = 2_000_000
+# Tables of handed-on arguments to pile up before they are merged into one.
+MERGE_EVERY = 24
 
 
 def evaluate_formulas(graph: FormulaGraph, on_error: str = "null") -> DataFrame:
@@ -35,9 +42,11 @@ def evaluate_formulas(graph: FormulaGraph, on_error: str = "null") -> DataFrame:
     - ``parse_error``: the filled text is no expression (``on_error="fail"`` raises);
     - ``no_formula``: the text is NULL.
 
-    Each text is read once to cut it into pieces, stored by depth. The job for one depth
-    reads only that depth's pieces, joins them with the finished values, puts the texts
-    together again and evaluates them.
+    Texts without references are evaluated at once. The others are cut into pieces, one
+    per reference, stored by depth. The job for one depth reads only that depth's pieces,
+    fills in the arguments, puts the texts together again and evaluates them. With few
+    vertices the arguments come from a join with all values so far; with many, each piece
+    is joined once, with the values of the depth its argument comes from.
     """
     scratch = Scratch(graph.spark, "evaluate")
     depths = depth_table(graph, scratch)
@@ -46,22 +55,18 @@ def evaluate_formulas(graph: FormulaGraph, on_error: str = "null") -> DataFrame:
     settled = at_depth.where(F.col("state") == REACHED).drop("state")
 
     plain = texts.where(F.col("formula").isNull() | ~has_opening(F.col("formula")))
-    done = [
-        scratch.write(
-            _evaluated(plain.join(settled, "id"), on_error, F.col("id") == graph.root_id)
-        )
-    ]
-    pieces = _pieces(scratch, graph, texts, at_depth)
-    if pieces.rows:
-        for depth in range(1, depths.deepest + 1):
-            here = pieces.df.where(F.col("lane") == depth).drop("lane")
-            filled = _filled(here, scratch.scan(done)).withColumn("depth", F.lit(depth))
-            level = scratch.write(_evaluated(filled, on_error))
-            if level.rows:
-                done.append(level)
+    judge = _judge(graph.root_id, on_error)
+    fill = _fill()
+    done = [scratch.write(judge(plain.join(settled, "id")))]
+    cut = _pieces(graph, texts, at_depth)
+    levels = _levels_few if depths.table.rows <= FEW_VERTICES else _levels_many
+    pieces = levels(scratch, cut, at_depth, depths.deepest, fill, judge, done)
     parts = [scratch.scan(done)]
     if depths.unbounded:
-        parts.append(_unbounded(scratch, pieces, plain, at_depth, done))
+        tied = at_depth.where(F.col("state").isin(CYCLIC, BELOW_CYCLE))
+        here = pieces.df.where(F.col("lane") == _NO_DEPTH).select(*_PIECE)
+        held = fill(here, scratch.scan(done)).unionByName(plain.join(tied, "id", "left_semi"))
+        parts.append(_without_value(held.join(tied, "id")))
     if depths.table.rows > sum(table.rows for table in done):
         idle = texts.join(at_depth.where("state = 'unreachable'"), "id")
         parts.append(_without_value(idle))
@@ -99,30 +104,29 @@ def _sendable(value: Column) -> Column:
     return value.isNotNull() & (value != float("inf"))
 
 
-def _evaluated(filled: DataFrame, on_error: str, is_root: Column | None = None) -> DataFrame:
-    """``(id, formula, depth)`` with value and status; the root is 0 by definition."""
-    text = F.col("formula")
-    ready = ~is_open(text)
-    if is_root is not None:
-        ready = ready & ~is_root
-    number = expression_value(F.when(ready, text), on_error).cast("double")
-    out = filled.withColumn("value", number)
-    value = F.col("value")
+def _judge(root_id: str, on_error: str) -> Callable[[DataFrame], DataFrame]:
+    """From ``(id, formula, depth)`` to value and status; the root is 0 by definition."""
+    text, value = F.col("formula"), F.col("value")
+    is_root = F.col("id") == root_id
+    number = expression_value(F.when(~is_open(text) & ~is_root, text), on_error).cast("double")
     status = (
         F.when(text.isNull(), NO_FORMULA)
         .when(value.isNotNull(), OK)
         .when(is_open(text), BLOCKED)
         .otherwise(PARSE_ERROR)
     )
-    out = out.withColumn("status", status)
-    if is_root is not None:
-        out = out.withColumn("value", F.when(is_root, F.lit(0.0)).otherwise(value))
-        out = out.withColumn("status", F.when(is_root, OK).otherwise(F.col("status")))
-    return out.select(*_COLUMNS)
+    columns = [
+        "id",
+        "formula",
+        "depth",
+        F.when(is_root, F.lit(0.0)).otherwise(value).alias("value"),
+        F.when(is_root, OK).otherwise(status).alias("status"),
+    ]
+    return lambda filled: filled.withColumn("value", number).select(*columns)
 
 
-def _pieces(scratch, graph, texts, at_depth) -> RoundTable:
-    """Reference pieces of all reached texts, one folder per depth."""
+def _pieces(graph: FormulaGraph, texts: DataFrame, at_depth: DataFrame) -> DataFrame:
+    """Reference pieces of all reached texts, each with the depth of its text as ``lane``."""
     lanes = at_depth.where(F.col("state").isin(REACHED, CYCLIC, BELOW_CYCLE)).select(
         "id", F.coalesce("depth", F.lit(_NO_DEPTH)).alias("lane")
     )
@@ -132,39 +136,112 @@ def _pieces(scratch, graph, texts, at_depth) -> RoundTable:
         .select("id", "lane", F.inline(reference_pieces(F.col("formula"))))
     )
     if graph.edges_from_text:
-        linked = cut.withColumn("linked", F.lit(True))
-    else:
-        edges = graph.edges.select(F.col("src").alias("ref"), F.col("dst").alias("id"))
-        edges = edges.distinct().withColumn("linked", F.lit(True))
-        linked = cut.join(edges, ["id", "ref"], "left").withColumn(
-            "linked", F.coalesce("linked", F.lit(False))
-        )
+        return cut.withColumn("linked", F.lit(True))
+    edges = graph.edges.select(F.col("src").alias("ref"), F.col("dst").alias("id"))
+    edges = edges.distinct().withColumn("linked", F.lit(True))
+    return cut.join(edges, ["id", "ref"], "left").withColumn(
+        "linked", F.coalesce("linked", F.lit(False))
+    )
+
+
+def _first_lane() -> Column:
+    return F.min(F.when(F.col("lane") > 0, F.col("lane")))
+
+
+def _levels_few(scratch, cut, at_depth, deepest, fill, judge, done) -> RoundTable:
+    """Evaluate depth by depth, looking arguments up in all values so far."""
     # Rebalancing splits a depth that holds most of the pieces and joins up small ones.
-    columns = ["id", "pos", "lead", "ref", "tail", "linked", "lane"]
-    return scratch.write(linked.select(*columns).hint("rebalance", "lane"), partition_by="lane")
+    pieces = scratch.write(
+        cut.select(*_PIECE, "lane").hint("rebalance", "lane"), ("lane",), first=_first_lane()
+    )
+    if pieces.counts["first"]:
+        for depth in range(pieces.counts["first"], deepest + 1):
+            filled = fill(pieces.df.where(F.col("lane") == depth), scratch.scan(done))
+            level = scratch.write(judge(filled.withColumn("depth", F.lit(depth))))
+            if level.rows:
+                done.append(level)
+    return pieces
 
 
-def _filled(pieces: DataFrame, finished: DataFrame) -> DataFrame:
-    """``(id, formula)``: texts put together again, with the finished values filled in."""
-    known = finished.where(_sendable(F.col("value"))).select(
-        F.col("id").alias("known"), int_text(F.col("value")).alias("argument")
+def _levels_many(scratch, cut, at_depth, deepest, fill, judge, done) -> RoundTable:
+    """Evaluate depth by depth, handing values on to the pieces that wait for them.
+
+    A piece's ``turn`` is the depth its argument comes from; it is 0 when there is nothing
+    to wait for, as the argument is a constant or will never come. The values of a depth
+    meet only the pieces of that turn, so every piece and value is shuffled a fixed number
+    of times, whatever the depth of the graph.
+    """
+    constants = done[0].df.select("id", _argument(), F.lit(True).alias("constant"))
+    sources = (
+        at_depth.where(F.col("state") == REACHED)
+        .select("id", F.col("depth").alias("source_depth"))
+        .join(constants, "id", "left")
+        .withColumnRenamed("id", "known")
     )
-    joined = pieces.join(known, (F.col("ref") == F.col("known")) & F.col("linked"), "left")
-    piece = filled_piece(F.col("lead"), F.col("ref"), F.col("tail"), F.col("argument"))
-    rows = joined.groupBy("id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", piece.alias("piece")))).alias("row")
+    waits = (F.col("lane") > 0) & F.col("source_depth").isNotNull() & F.col("constant").isNull()
+    joined = cut.join(sources, (F.col("ref") == F.col("known")) & F.col("linked"), "left")
+    pieces = scratch.write(
+        joined.select(
+            *_PIECE, "argument", F.when(waits, F.col("source_depth")).otherwise(0).alias("turn"), "lane"
+        ).hint("rebalance", "turn", "lane"),
+        ("turn", "lane"),
+        first=_first_lane(),
     )
-    return rows.select("id", F.array_join(F.col("row.piece"), "").alias("formula"))
+    served = [*_PIECE, "argument", "lane"]
+    handed: list[RoundTable] = []
+    if pieces.counts["first"]:
+        for depth in range(pieces.counts["first"], deepest + 1):
+            here = pieces.df.where((F.col("turn") == 0) & (F.col("lane") == depth)).select(*served)
+            for table in handed:
+                here = here.unionByName(table.df.where(F.col("lane") == depth))
+            level = scratch.write(judge(_joined_up(here).withColumn("depth", F.lit(depth))))
+            if not level.rows:
+                continue
+            done.append(level)
+            values = level.df.select(F.col("id").alias("known"), _argument())
+            next_up = pieces.df.where(F.col("turn") == depth).drop("argument")
+            given = next_up.join(values, F.col("ref") == F.col("known"), "left")
+            table = scratch.write(given.select(*served).hint("rebalance", "lane"), ("lane",))
+            if table.rows:
+                handed.append(table)
+            if len(handed) > MERGE_EVERY:
+                rest = handed[0].df
+                for table in handed[1:]:
+                    rest = rest.unionByName(table.df)
+                rest = rest.where(F.col("lane") > depth).hint("rebalance", "lane")
+                handed = [scratch.write(rest, ("lane",))]
+    return pieces
+
+
+def _argument() -> Column:
+    """A value as the text that replaces a reference, NULL if it is not passed on."""
+    value = F.col("value")
+    return F.when(_sendable(value), int_text(value)).alias("argument")
 
 
-def _unbounded(scratch, pieces, plain, at_depth, done) -> DataFrame:
-    """Formulas on or below a reachable cycle, filled in as far as it goes."""
-    tied = at_depth.where(F.col("state").isin(CYCLIC, BELOW_CYCLE))
-    here = pieces.df.where(F.col("lane") == _NO_DEPTH).drop("lane")
-    texts = _filled(here, scratch.scan(done)).unionByName(
-        plain.join(tied, "id", "left_semi")
-    )
-    return _without_value(texts.join(tied, "id"))
+def _joined_up(pieces: DataFrame) -> DataFrame:
+    """``(id, formula)`` from pieces with their ``argument``."""
+    piece = filled_piece(F.col("lead"), F.col("ref"), F.col("tail"), F.col("argument"))
+    row = F.array_sort(F.collect_list(F.struct("pos", piece.alias("piece"))))
+    texts = pieces.groupBy("id").agg(row.alias("row"))
+    return texts.select("id", F.array_join(F.col("row.piece"), "").alias("formula"))
+
+
+def _fill() -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """From a depth's pieces and the finished values to ``(id, formula)``, filled in."""
+    argument = int_text(F.col("value")).alias("argument")
+    sendable = _sendable(F.col("value"))
+    matches = (F.col("ref") == F.col("known")) & F.col("linked")
+    piece = filled_piece(F.col("lead"), F.col("ref"), F.col("tail"), F.col("argument"))
+    row = F.array_sort(F.collect_list(F.struct("pos", piece.alias("piece")))).alias("row")
+    text = F.array_join(F.col("row.piece"), "").alias("formula")
+
+    def fill(pieces: DataFrame, finished: DataFrame) -> DataFrame:
+        known = finished.where(sendable).select(F.col("id").alias("known"), argument)
+        joined = pieces.join(known, matches, "left")
+        return joined.groupBy("id").agg(row).select("id", text)
+
+    return fill
 
 
 def _without_value(rows: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ class Scratch:
         self._written = 0
 
     def write(
-        self, df: DataFrame, partition_by: str | None = None, **counts: Column
+        self, df: DataFrame, partition_by: tuple[str, ...] = (), **counts: Column
     ) -> RoundTable:
         """Write ``df`` once; ``counts`` are extra aggregates observed on the way."""
         path = f"{self.path}/{self._written:05d}"
@@ -78,7 +78,7 @@ class Scratch:
         )
         writer = watched.write
         if partition_by:
-            writer = writer.partitionBy(partition_by)
+            writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         got = seen.get
         extra = {name: got.get(name) or 0 for name in counts}

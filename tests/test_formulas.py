@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PythonException
 
 from rootwise import FormulaGraph, GraphError
+from rootwise.operators import evaluate as evaluate_module
 from rootwise.operators.build import add_root, formula_graph, reference_edges
 from rootwise.operators.evaluate import evaluate_formulas, formula_args, with_args_map
 
@@ -98,9 +99,14 @@ def graph(spark):
     return formula_graph(spark.createDataFrame(rows, "id string, name string, formula string, value int"))
 
 
-@pytest.fixture(scope="module")
-def evaluated(graph):
-    return evaluate_formulas(graph)
+@pytest.fixture(scope="module", params=["few", "many"])
+def evaluated(graph, request):
+    """Evaluated by the code for few vertices, then by that for many."""
+    with pytest.MonkeyPatch.context() as patch:
+        if request.param == "many":
+            patch.setattr(evaluate_module, "FEW_VERTICES", -1)
+            patch.setattr(evaluate_module, "MERGE_EVERY", 1)
+        return evaluate_formulas(graph)
 
 
 def test_values_and_status(evaluated):
@@ -148,7 +154,9 @@ def test_parse_errors_can_fail_the_job(spark):
         evaluate_formulas(graph, on_error="fail").collect()
 
 
-def test_only_given_edges_carry_values(spark):
+@pytest.mark.parametrize("few", [2_000_000, -1])
+def test_only_given_edges_carry_values(spark, monkeypatch, few):
+    monkeypatch.setattr(evaluate_module, "FEW_VERTICES", few)
     rows = [("r00t", ""), ("a", "1"), ("b", "2"), ("c", "item(a) + item(b)"), ("d", "5")]
     vertices = spark.createDataFrame(rows, "id string, formula string")
     edges = spark.createDataFrame(

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rootwise import FormulaGraph, GraphError
+from rootwise.operators import evaluate as evaluate_module
 from rootwise.operators import hierarchy as hierarchy_module
 from rootwise.operators import peel as peel_module
 from rootwise.operators import spread as spread_module
@@ -25,6 +26,7 @@ from tests import models
 def size(request, monkeypatch):
     """Run a test on the code for few rows, then on that for many."""
     if request.param == "many":
+        monkeypatch.setattr(evaluate_module, "FEW_VERTICES", -1)
         monkeypatch.setattr(peel_module, "FEW_EDGES", -1)
         monkeypatch.setattr(peel_module, "COMPACT_ABOVE", 0)
         monkeypatch.setattr(spread_module, "FEW_KNOWN", -1)
@@ -208,7 +210,7 @@ def test_vertex_programs(spark):
     assert {r.id: r.below for r in back.collect()} == {0: 2, 1: 1, 2: 1, 3: 0, 4: 1, 5: 0}
 
 
-def test_random_formulas(spark):
+def test_random_formulas(spark, size):
     draw = random.Random(8)
     rows, want = [], {}
     for n in range(60):
