@@ -10,7 +10,7 @@ from rootwise.operators.cycles import strong_components
 from rootwise.scratch import RoundTable, Scratch
 
 # Up to this many nodes, a job goes several levels down.
-FEW_NODES = 200_000
+FEW_NODES = 100_000
 LEVELS_PER_JOB = 4
 
 _COLUMNS = ["id", "level", "root", "path", "isleaf"]

@@ -11,7 +11,7 @@ from rootwise.scratch import RoundTable, Scratch
 
 # Up to this many edges, a job runs several rounds and carries the vertices along; above,
 # it runs one and moves only what the round touches.
-FEW_EDGES = 500_000
+FEW_EDGES = 100_000
 ROUNDS_PER_JOB = 6
 # Used-up edges are dropped from the edge table once it is this large and half used up.
 COMPACT_ABOVE = 1_000_000

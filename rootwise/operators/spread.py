@@ -15,7 +15,7 @@ from rootwise.scratch import RoundTable, Scratch
 
 # Up to this many known rows, a job goes several edges far before it compares with what
 # is known; a row may then be looked at again for nothing, which is cheap while few.
-FEW_KNOWN = 200_000
+FEW_KNOWN = 100_000
 HOPS_PER_JOB = 6
 # Above this many known rows, a round's candidates are written first, so that the planner
 # sees their size and can leave the known rows unshuffled when the candidates are few.
