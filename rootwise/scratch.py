@@ -9,9 +9,6 @@ write itself (``observe``), so the driver sees numbers and never rows.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -20,25 +17,17 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_own_dir: str | None = None
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for round tables: the session's ``spark.checkpoint.dir``.
+    """Folder for round tables, one that every executor can reach.
 
-    Only a local session without that setting gets a temporary folder of its own; on a
-    cluster a machine-local folder would not be seen by the other executors.
+    The session's ``spark.checkpoint.dir``; where that is unset, a subfolder of
+    ``spark.sql.warehouse.dir``, which the executors share as well.
     """
-    global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _own_dir is None:
-        _own_dir = tempfile.mkdtemp(prefix="rootwise-")
-        atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
-    return _own_dir
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/rounds"
 
 
 @dataclass
