@@ -81,7 +81,35 @@ select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_siz
 from texts window same as (partition by text_sha256)
 """
 
+DECONTAMINATION_SQL = r"""
+with items as (
+    select item_id, regexp_extract_all(lower(replace(coalesce(text, ''), chr(8490), 'ÿ')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark where item_id is not null),
+windows as (
+    select distinct item_id, least(13, len(w)) as n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') as phrase
+    from items, unnest(range(1, greatest(1, len(w) - 12) + 1)) as u(i) where len(w) > 0),
+lengths as (select distinct n from windows),
+docs as (
+    select doc_id, regexp_extract_all(lower(replace(coalesce(text, ''), chr(8490), 'ÿ')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents),
+places as (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from docs, lengths),
+hits as (
+    select p.doc_id, p.i, p.n, x.item_id
+    from (select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as phrase from places) p join windows x using (n, phrase)),
+covered as (
+    select doc_id, count(distinct k) as n_hit
+    from (select distinct doc_id, i, n from hits) h, unnest(range(i, i + n)) as u(k) group by doc_id),
+named as (
+    select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names
+    from (select distinct doc_id, item_id::varchar as item_id from hits) group by doc_id)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(names, '')) as items_sha256,
+    coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from docs left join covered using (doc_id) left join named using (doc_id)
+"""
+
 LLM_ORACLES = {
+    "op1_decontaminate": DECONTAMINATION_SQL,
     "op2_license_scan": license_sql(),
     "op4_balanced_shards": SHARDING_SQL,
     "op9_exact_dedup": EXACT_DEDUP_SQL,

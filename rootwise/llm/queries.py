@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rootwise.llm.common import table
+from rootwise.llm.decontaminate import contamination
 from rootwise.llm.exact_dedup import exact_groups
 from rootwise.llm.licenses import license_scan
 from rootwise.llm.oracles import LLM_ORACLES
@@ -11,6 +12,11 @@ from rootwise.llm.sharding import balanced_shards
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 
 
+def op1_decontaminate(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return contamination(docs, table(spark, folder, "benchmark"), keep_text=False)
+
+
 def op2_license_scan(spark, folder):
     return license_scan(table(spark, folder, "documents"))
 
@@ -24,6 +30,7 @@ def op9_exact_dedup(spark, folder):
 
 
 LLM_QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
     "op4_balanced_shards": op4_balanced_shards,
     "op9_exact_dedup": op9_exact_dedup,
