@@ -5,8 +5,11 @@ from __future__ import annotations
 from rootwise.llm.common import table
 from rootwise.llm.decontaminate import contamination
 from rootwise.llm.exact_dedup import exact_groups
+from rootwise.llm.language import languages
 from rootwise.llm.licenses import license_scan
 from rootwise.llm.oracles import LLM_ORACLES
+from rootwise.llm.packing import packed
+from rootwise.llm.quality import quality_scores
 from rootwise.llm.sharding import balanced_shards
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -25,13 +28,39 @@ def op4_balanced_shards(spark, folder):
     return balanced_shards(table(spark, folder, "documents"), n_shards=40)
 
 
+def vocabulary():
+    """Where the public tokenizer's files lie; executors have them under the same paths."""
+    import public_tokenizers
+
+    return {
+        "json_path": public_tokenizers.path("byte_bpe_50k.json"),
+        "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
+def op5_packing(spark, folder):
+    return packed(table(spark, folder, "documents"), **vocabulary())
+
+
+def op6_quality(spark, folder):
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_exact_dedup(spark, folder):
     return exact_groups(table(spark, folder, "documents"))
 
 
+def op10_language(spark, folder):
+    return languages(table(spark, folder, "documents"))
+
+
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
     "op4_balanced_shards": op4_balanced_shards,
+    "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_language": op10_language,
 }
