@@ -263,7 +263,7 @@ def _check_bytes(scratch: Scratch, docs: DataFrame, met: DataFrame) -> None:
     ).distinct()
     texts = (
         docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
-        .join(ids, F.col("_doc").eqNullSafe(F.col("_id")))
+        .join(ids.hint("merge"), F.col("_doc").eqNullSafe(F.col("_id")))
         .select("_met", normalised(F.col("text")).alias("text"))
         .where(F.unhex(F.sha2("text", 256)) == F.col("_met"))
     )
