@@ -83,14 +83,14 @@ from texts window same as (partition by text_sha256)
 
 DECONTAMINATION_SQL = r"""
 with items as (
-    select item_id, regexp_extract_all(lower(replace(coalesce(text, ''), chr(8490), 'ÿ')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
     from benchmark where item_id is not null),
 windows as (
     select distinct item_id, least(13, len(w)) as n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') as phrase
     from items, unnest(range(1, greatest(1, len(w) - 12) + 1)) as u(i) where len(w) > 0),
 lengths as (select distinct n from windows),
 docs as (
-    select doc_id, regexp_extract_all(lower(replace(coalesce(text, ''), chr(8490), 'ÿ')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
     from documents),
 places as (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from docs, lengths),
 hits as (
@@ -108,9 +108,22 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items,
 from docs left join covered using (doc_id) left join named using (doc_id)
 """
 
+WARC_SQL = """
+with texts as (
+    select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+firsts as (
+    select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) else page_id end as first
+    from texts)
+select page_id, payload_bytes, payload_digest,
+    case when page_id > first then 'revisit' else 'response' end as record_type,
+    case when page_id > first then first end as refers_to
+from firsts
+"""
+
 LLM_ORACLES = {
     "op1_decontaminate": DECONTAMINATION_SQL,
     "op2_license_scan": license_sql(),
     "op4_balanced_shards": SHARDING_SQL,
+    "op7_warc": WARC_SQL,
     "op9_exact_dedup": EXACT_DEDUP_SQL,
 }

@@ -11,6 +11,7 @@ from rootwise.llm.oracles import LLM_ORACLES
 from rootwise.llm.packing import packed
 from rootwise.llm.quality import quality_scores
 from rootwise.llm.sharding import balanced_shards
+from rootwise.llm.warc import archived_and_read
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 
@@ -47,6 +48,10 @@ def op6_quality(spark, folder):
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_warc(spark, folder):
+    return archived_and_read(table(spark, folder, "pages"))
+
+
 def op9_exact_dedup(spark, folder):
     return exact_groups(table(spark, folder, "documents"))
 
@@ -61,6 +66,7 @@ LLM_QUERIES = {
     "op4_balanced_shards": op4_balanced_shards,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
+    "op7_warc": op7_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language": op10_language,
 }
