@@ -5,6 +5,7 @@ from __future__ import annotations
 from rootwise.llm.common import table
 from rootwise.llm.decontaminate import contamination
 from rootwise.llm.exact_dedup import exact_groups
+from rootwise.llm.jaccard_join import near_groups
 from rootwise.llm.language import languages
 from rootwise.llm.licenses import license_scan
 from rootwise.llm.oracles import LLM_ORACLES
@@ -25,6 +26,10 @@ def op2_license_scan(spark, folder):
     return license_scan(table(spark, folder, "documents"))
 
 
+def op3_jaccard_join(spark, folder):
+    return near_groups(table(spark, folder, "documents"))
+
+
 def op4_balanced_shards(spark, folder):
     return balanced_shards(table(spark, folder, "documents"), n_shards=40)
 
@@ -63,6 +68,7 @@ def op10_language(spark, folder):
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_balanced_shards": op4_balanced_shards,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
