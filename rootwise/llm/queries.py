@@ -8,6 +8,7 @@ from rootwise.llm.exact_dedup import exact_groups
 from rootwise.llm.jaccard_join import near_groups
 from rootwise.llm.language import languages
 from rootwise.llm.licenses import license_scan
+from rootwise.llm.lm_scoring import lm_scores
 from rootwise.llm.oracles import LLM_ORACLES
 from rootwise.llm.packing import packed
 from rootwise.llm.quality import quality_scores
@@ -57,6 +58,10 @@ def op7_warc(spark, folder):
     return archived_and_read(table(spark, folder, "pages"))
 
 
+def op8_lm_scoring(spark, folder):
+    return lm_scores(table(spark, folder, "documents"))
+
+
 def op9_exact_dedup(spark, folder):
     return exact_groups(table(spark, folder, "documents"))
 
@@ -73,6 +78,7 @@ LLM_QUERIES = {
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_warc": op7_warc,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language": op10_language,
 }
