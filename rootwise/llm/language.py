@@ -107,7 +107,7 @@ def train_languages(docs: DataFrame, per_language: int = 400, max_chars: int = 1
         net.moments, net.conv.moments = {}, {}
         yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(net)], pa.binary())], names=["net"])
 
-    return bytes(rows.coalesce(1).mapInArrow(fit, "net binary").collect()[0]["net"])
+    return bytes(rows.repartition(1).mapInArrow(fit, "net binary").collect()[0]["net"])
 
 
 def languages(docs: DataFrame, per_language: int = 400) -> DataFrame:
