@@ -120,7 +120,7 @@ select page_id, payload_bytes, payload_digest,
 from firsts
 """
 
-LLM_ORACLES = {
+OPERATOR_ORACLES = {
     "op1_decontaminate": DECONTAMINATION_SQL,
     "op2_license_scan": license_sql(),
     "op4_balanced_shards": SHARDING_SQL,

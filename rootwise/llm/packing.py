@@ -34,6 +34,17 @@ SCHEMA = (
 )
 
 
+def public_vocabulary() -> dict[str, str]:
+    """Where the public tokenizer's files lie; executors have them under the same paths."""
+    import public_tokenizers
+
+    return {
+        "json_path": public_tokenizers.path("byte_bpe_50k.json"),
+        "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
 class Encoder:
     """Token ids of the byte-level vocabulary in ``json_path``.
 

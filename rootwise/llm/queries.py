@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpus_pipeline import ORACLE_SQL, run
 from rootwise.llm.common import table
 from rootwise.llm.decontaminate import contamination
 from rootwise.llm.exact_dedup import exact_groups
@@ -9,8 +10,8 @@ from rootwise.llm.jaccard_join import near_groups
 from rootwise.llm.language import languages
 from rootwise.llm.licenses import license_scan
 from rootwise.llm.lm_scoring import lm_scores
-from rootwise.llm.oracles import LLM_ORACLES
-from rootwise.llm.packing import packed
+from rootwise.llm.oracles import OPERATOR_ORACLES
+from rootwise.llm.packing import packed, public_vocabulary
 from rootwise.llm.quality import quality_scores
 from rootwise.llm.sharding import balanced_shards
 from rootwise.llm.warc import archived_and_read
@@ -35,19 +36,8 @@ def op4_balanced_shards(spark, folder):
     return balanced_shards(table(spark, folder, "documents"), n_shards=40)
 
 
-def vocabulary():
-    """Where the public tokenizer's files lie; executors have them under the same paths."""
-    import public_tokenizers
-
-    return {
-        "json_path": public_tokenizers.path("byte_bpe_50k.json"),
-        "ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"),
-        "pattern": public_tokenizers.PATTERN,
-    }
-
-
 def op5_packing(spark, folder):
-    return packed(table(spark, folder, "documents"), **vocabulary())
+    return packed(table(spark, folder, "documents"), **public_vocabulary())
 
 
 def op6_quality(spark, folder):
@@ -70,6 +60,10 @@ def op10_language(spark, folder):
     return languages(table(spark, folder, "documents"))
 
 
+def pipeline(spark, folder):
+    return run(spark, folder)
+
+
 LLM_QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
@@ -81,4 +75,7 @@ LLM_QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language": op10_language,
+    "pipeline": pipeline,
 }
+
+LLM_ORACLES = dict(OPERATOR_ORACLES) | ({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})
