@@ -50,10 +50,14 @@ class LanguageNet:
         most = mean.argmax(axis=1)
         return most, np.minimum(1.0, mean[np.arange(len(mean)), most])
 
-    def fit(self, texts: list[str], labels: np.ndarray, epochs: int, batch: int = 128, rate: float = 0.004):
+    def fit(
+        self, texts: list[str], labels: np.ndarray, epochs: int, steps: int = 1000, batch: int = 128, rate: float = 0.004
+    ) -> None:
+        """``epochs`` passes, or as many as make ``steps`` steps of a small sample."""
         data, offsets = text_bytes(pa.array(texts, pa.string()))
         rows, owner, used = blocks_of(data, offsets, self.conv.reach)
         rows, label = rows[used > 0], labels[owner[used > 0]]
+        epochs = max(epochs, min(100, -(-steps * batch // max(1, len(rows)))))
         random = np.random.default_rng(5)
         step = 0
         for epoch in range(epochs):

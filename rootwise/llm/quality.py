@@ -74,7 +74,11 @@ class QualityNet:
         *_, most, least, mean = self._features(self.conv.maxima(rows), owner)
         return self._combined(most, least, mean, np.diff(offsets))[2].astype(float)
 
-    def fit(self, texts: list[str], labels: np.ndarray, epochs: int, batch: int = 32, rate: float = 0.008):
+    def fit(
+        self, texts: list[str], labels: np.ndarray, epochs: int, steps: int = 400, batch: int = 32, rate: float = 0.008
+    ) -> None:
+        """``epochs`` passes, or as many as make ``steps`` steps of a small sample."""
+        epochs = max(epochs, min(100, -(-steps * batch // len(texts))))
         random = np.random.default_rng(5)
         step = 0
         for epoch in range(epochs):
