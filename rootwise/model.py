@@ -19,13 +19,15 @@ class FormulaGraph:
     """``vertices(id, ...)`` and ``edges(src, dst, ...)``, each edge parent to dependant.
 
     ``edges_from_text`` says that the edges were derived from the formula texts, so a
-    text reference to an existing vertex is known to have its edge.
+    text reference to an existing vertex is known to have its edge; ``pieces`` are those
+    texts cut at their references, where that has been done.
     """
 
     vertices: DataFrame
     edges: DataFrame
     root_id: str = ROOT_ID
     edges_from_text: bool = False
+    pieces: DataFrame | None = None
 
     @property
     def spark(self):

@@ -8,77 +8,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rootwise.model import FormulaGraph
-from rootwise.operators.peel import in_degrees, peel, with_need
 from rootwise.operators.spread import reach, spread_min
 from rootwise.scratch import RoundTable, Scratch
 
 SELF_SUFFIX = "#self"
 
 
-def _reversed(edges: DataFrame) -> DataFrame:
-    return edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-
-
-def _ends(edges: DataFrame) -> DataFrame:
-    ends = edges.select(F.col("src").alias("id")).unionByName(
-        edges.select(F.col("dst").alias("id"))
-    )
-    return ends.distinct()
-
-
-def _without_sources(scratch: Scratch, edges: DataFrame, rows: int) -> tuple[DataFrame, int]:
-    """Edges left when all that hangs off vertices without in-edges is peeled away."""
-    needs = scratch.write(in_degrees(_ends(edges), edges), free=F.count_if(F.col("need") == 0))
-    if not needs.counts["free"]:
-        return edges, rows
-    start = needs.df.where("need = 0").select("id", F.lit(0).alias("depth"))
-    needed = scratch.write(with_need(edges, needs.df))
-    gone = peel(scratch, needed, start, needs.counts["free"]).done
-    gone = gone.select(F.col("id").alias("src"))
-    kept = scratch.write(edges.join(gone, "src", "left_anti").select("src", "dst"))
-    return kept.df, kept.rows
-
-
 def strong_components(scratch: Scratch, edges: DataFrame) -> RoundTable | None:
     """``(cycle_id, id)`` of the components with two or more vertices; None without any.
 
-    ``cycle_id`` is the smallest id inside. All that is not on or between cycles is peeled
-    off from both ends. Then every vertex takes the smallest id that reaches it as its
-    colour, and what can go back to the vertex of that id within the colour is that
-    vertex's component. The rest goes round again, without the edges between colours, as
-    a component has one colour.
+    ``cycle_id`` is the smallest id inside. Every vertex takes two colours in one search: the
+    smallest id that reaches it and the smallest it reaches. Where both are the same, that
+    vertex is on a way there and back, so these are that id's component. A component has
+    one pair of colours, so the rest goes round again with the edges inside a pair only.
     """
-    first = scratch.write(edges.where("src <> dst").select("src", "dst").distinct())
-    live, rows = first.df, first.rows
+    live = scratch.write(edges.where("src <> dst").select("src", "dst").distinct())
     found: list[RoundTable] = []
-    while rows:
-        live, rows = _without_sources(scratch, live, rows)
-        if rows:
-            back, rows = _without_sources(scratch, _reversed(live), rows)
-            live = _reversed(back)
-        if not rows:
-            break
-        seeds = _ends(live).withColumn("val", F.col("id"))
-        colours = scratch.write(spread_min(scratch, live, seeds, "val", settled=False)).df
-        inside = scratch.write(
-            live.join(colours.toDF("src", "colour"), "src")
-            .join(colours.toDF("dst", "colour"), ["dst", "colour"])
-            .select("src", "dst")
+    while live.rows:
+        forth = live.df.select("src", "dst", F.lit(True).alias("forth"))
+        back = live.df.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(False).alias("forth"))
+        both = scratch.write(
+            forth.unionByName(back).select(
+                F.struct("forth", F.col("src").alias("id")).alias("src"),
+                F.struct("forth", F.col("dst").alias("id")).alias("dst"),
+            )
         )
-        tops = colours.where("id = val").select("id")
-        members = reach(scratch, _reversed(inside.df), tops).select("id").join(colours, "id")
-        group = scratch.write(members.select(F.col("val").alias("cycle_id"), "id"))
-        found.append(group)
-        ids = group.df.select("id")
-        rest = scratch.write(
-            inside.df.join(ids.withColumnRenamed("id", "src"), "src", "left_anti")
-            .join(ids.withColumnRenamed("id", "dst"), "dst", "left_anti")
+        seeds = both.df.select(F.explode(F.array("src", "dst")).alias("id")).select("id", F.col("id.id").alias("val"))
+        seen = spread_min(scratch, both.df, seeds, "val", settled=False)
+        from_, to = (F.max(F.when(F.col("id.forth") == way, F.col("val"))) for way in (True, False))
+        colours = scratch.write(
+            seen.groupBy(F.col("id.id").alias("id")).agg(from_.alias("low"), to.alias("high"))
+        )
+        scratch.drop(both)
+        found.append(scratch.write(colours.df.where("low = high").select(F.col("low").alias("cycle_id"), "id")))
+        open_ = colours.df.where("low <> high")
+        rest = (
+            live.df.join(open_.toDF("src", "low", "high"), "src")
+            .join(open_.toDF("dst", "low", "high"), ["dst", "low", "high"])
             .select("src", "dst")
         )
-        live, rows = rest.df, rest.rows
+        inside = scratch.write(rest)
+        scratch.drop(live, colours)
+        live = inside
     if not found:
         return None
-    # A colour's top may be alone: a vertex between two cycles.
+    # A vertex that is the smallest above and below it may be alone.
     members = scratch.scan(found)
     sizes = members.groupBy("cycle_id").count().where("count > 1").select("cycle_id")
     return scratch.write(members.join(sizes, "cycle_id", "left_semi"))
@@ -138,3 +112,21 @@ def cycle_affected(graph: FormulaGraph, groups: CycleGroups) -> CycleGroups:
     ).df
     inner = edges.join(reached.withColumnRenamed("id", "src"), "src").select("cycle_id", "src", "dst")
     return CycleGroups(reached, inner)
+
+
+def affected_by_any(graph: FormulaGraph, groups: CycleGroups) -> FormulaGraph:
+    """All that some cycle reaches, once each, whichever and however many cycles those are."""
+    scratch = Scratch(graph.spark, "affected-any")
+    edges = scratch.write(graph.edges.select("src", "dst")).df
+    seeds = groups.members.select("id").distinct()
+    reached = scratch.write(reach(scratch, edges, seeds).select("id")).df
+    return FormulaGraph(
+        graph.vertices.join(reached, "id", "left_semi"),
+        edges.join(reached.withColumnRenamed("id", "src"), "src", "left_semi"),
+        graph.root_id,
+    )
+
+
+def with_vertices(graph: FormulaGraph, members: DataFrame) -> DataFrame:
+    """``members(cycle_id, id)`` with the columns of their vertices."""
+    return members.join(graph.vertices, "id").select("cycle_id", *graph.vertices.columns)

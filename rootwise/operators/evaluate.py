@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rootwise.functions.arith import expression_value
-from rootwise.functions.text import filled_piece, has_opening, int_text, is_open, reference_pieces
+from rootwise.functions.text import filled_piece, has_opening, int_text, is_open
 from rootwise.model import FormulaGraph
+from rootwise.operators.build import text_pieces
 from rootwise.operators.depth import BELOW_CYCLE, CYCLIC, REACHED, depth_table
 from rootwise.scratch import RoundTable, Scratch
 
@@ -23,8 +24,6 @@ NO_FORMULA = "no_formula"
 _NO_DEPTH = -1
 _PIECE = ["id", "pos", "lead", "ref", "tail", "linked"]
 
-# Above this many vertices, values are handed on instead of looked up.
-FEW_VERTICES = 2_000_000
 # Tables of handed-on arguments to pile up before they are merged into one.
 MERGE_EVERY = 24
 
@@ -43,10 +42,9 @@ def evaluate_formulas(graph: FormulaGraph, on_error: str = "null") -> DataFrame:
     - ``no_formula``: the text is NULL.
 
     Texts without references are evaluated at once. The others are cut into pieces, one
-    per reference, stored by depth. The job for one depth reads only that depth's pieces,
-    fills in the arguments, puts the texts together again and evaluates them. With few
-    vertices the arguments come from a join with all values so far; with many, each piece
-    is joined once, with the values of the depth its argument comes from.
+    per reference, sorted by the depth their argument comes from. Each piece is joined once,
+    with the values of that depth; the job for one depth puts its texts together and
+    evaluates them.
     """
     scratch = Scratch(graph.spark, "evaluate")
     depths = depth_table(graph, scratch)
@@ -56,16 +54,16 @@ def evaluate_formulas(graph: FormulaGraph, on_error: str = "null") -> DataFrame:
 
     plain = texts.where(F.col("formula").isNull() | ~has_opening(F.col("formula")))
     judge = _judge(graph.root_id, on_error)
-    fill = _fill()
     done = [scratch.write(judge(plain.join(settled, "id")))]
     cut = _pieces(graph, texts, at_depth)
-    levels = _levels_few if depths.table.rows <= FEW_VERTICES else _levels_many
-    pieces = levels(scratch, cut, at_depth, depths.deepest, fill, judge, done)
+    pieces = _levels(scratch, cut, at_depth, depths.deepest, judge, done)
     parts = [scratch.scan(done)]
     if depths.unbounded:
         tied = at_depth.where(F.col("state").isin(CYCLIC, BELOW_CYCLE))
         here = pieces.df.where(F.col("lane") == _NO_DEPTH).select(*_PIECE)
-        held = fill(here, scratch.scan(done)).unionByName(plain.join(tied, "id", "left_semi"))
+        known = scratch.scan(done).select(F.col("id").alias("known"), _argument())
+        given = here.join(known, (F.col("ref") == F.col("known")) & F.col("linked"), "left")
+        held = _joined_up(given).unionByName(plain.join(tied, "id", "left_semi"))
         parts.append(_without_value(held.join(tied, "id")))
     if depths.table.rows > sum(table.rows for table in done):
         idle = texts.join(at_depth.where("state = 'unreachable'"), "id")
@@ -130,11 +128,8 @@ def _pieces(graph: FormulaGraph, texts: DataFrame, at_depth: DataFrame) -> DataF
     lanes = at_depth.where(F.col("state").isin(REACHED, CYCLIC, BELOW_CYCLE)).select(
         "id", F.coalesce("depth", F.lit(_NO_DEPTH)).alias("lane")
     )
-    cut = (
-        texts.where(has_opening(F.col("formula")))
-        .join(lanes, "id")
-        .select("id", "lane", F.inline(reference_pieces(F.col("formula"))))
-    )
+    cut = graph.pieces if graph.pieces is not None else text_pieces(texts)
+    cut = cut.join(lanes, "id")
     if graph.edges_from_text:
         return cut.withColumn("linked", F.lit(True))
     edges = graph.edges.select(F.col("src").alias("ref"), F.col("dst").alias("id"))
@@ -148,28 +143,14 @@ def _first_lane() -> Column:
     return F.min(F.when(F.col("lane") > 0, F.col("lane")))
 
 
-def _levels_few(scratch, cut, at_depth, deepest, fill, judge, done) -> RoundTable:
-    """Evaluate depth by depth, looking arguments up in all values so far."""
-    # Rebalancing splits a depth that holds most of the pieces and joins up small ones.
-    pieces = scratch.write(
-        cut.select(*_PIECE, "lane").hint("rebalance", "lane"), ("lane",), first=_first_lane()
-    )
-    if pieces.counts["first"]:
-        for depth in range(pieces.counts["first"], deepest + 1):
-            filled = fill(pieces.df.where(F.col("lane") == depth), scratch.scan(done))
-            level = scratch.write(judge(filled.withColumn("depth", F.lit(depth))))
-            if level.rows:
-                done.append(level)
-    return pieces
-
-
-def _levels_many(scratch, cut, at_depth, deepest, fill, judge, done) -> RoundTable:
+def _levels(scratch, cut, at_depth, deepest, judge, done) -> RoundTable:
     """Evaluate depth by depth, handing values on to the pieces that wait for them.
 
     A piece's ``turn`` is the depth its argument comes from; it is 0 when there is nothing
     to wait for, as the argument is a constant or will never come. The values of a depth
     meet only the pieces of that turn, so every piece and value is shuffled a fixed number
-    of times, whatever the depth of the graph.
+    of times, whatever the depth of the graph. Tables are sorted by turn and lane inside
+    their files: their number does not grow with the depth, and a read skips other turns' pages.
     """
     constants = done[0].df.select("id", _argument(), F.lit(True).alias("constant"))
     sources = (
@@ -183,8 +164,7 @@ def _levels_many(scratch, cut, at_depth, deepest, fill, judge, done) -> RoundTab
     pieces = scratch.write(
         joined.select(
             *_PIECE, "argument", F.when(waits, F.col("source_depth")).otherwise(0).alias("turn"), "lane"
-        ).hint("rebalance", "turn", "lane"),
-        ("turn", "lane"),
+        ).sortWithinPartitions("turn", "lane"),
         first=_first_lane(),
     )
     served = [*_PIECE, "argument", "lane"]
@@ -192,8 +172,8 @@ def _levels_many(scratch, cut, at_depth, deepest, fill, judge, done) -> RoundTab
     if pieces.counts["first"]:
         for depth in range(pieces.counts["first"], deepest + 1):
             here = pieces.df.where((F.col("turn") == 0) & (F.col("lane") == depth)).select(*served)
-            for table in handed:
-                here = here.unionByName(table.df.where(F.col("lane") == depth))
+            if handed:
+                here = here.unionByName(scratch.scan(handed).where(F.col("lane") == depth))
             level = scratch.write(judge(_joined_up(here).withColumn("depth", F.lit(depth))))
             if not level.rows:
                 continue
@@ -201,15 +181,18 @@ def _levels_many(scratch, cut, at_depth, deepest, fill, judge, done) -> RoundTab
             values = level.df.select(F.col("id").alias("known"), _argument())
             next_up = pieces.df.where(F.col("turn") == depth).drop("argument")
             given = next_up.join(values, F.col("ref") == F.col("known"), "left")
-            table = scratch.write(given.select(*served).hint("rebalance", "lane"), ("lane",))
+            table = scratch.write(given.select(*served).sortWithinPartitions("lane"))
             if table.rows:
                 handed.append(table)
             if len(handed) > MERGE_EVERY:
-                rest = handed[0].df
-                for table in handed[1:]:
-                    rest = rest.unionByName(table.df)
-                rest = rest.where(F.col("lane") > depth).hint("rebalance", "lane")
-                handed = [scratch.write(rest, ("lane",))]
+                rest = scratch.scan(handed).where(F.col("lane") > depth)
+                merged = scratch.write(rest.sortWithinPartitions("lane"))
+                scratch.drop(*handed)
+                handed = [merged]
+            if len(done) > MERGE_EVERY:
+                merged = scratch.write(scratch.scan(done))
+                scratch.drop(*done)
+                done[:] = [merged]
     return pieces
 
 
@@ -227,23 +210,6 @@ def _joined_up(pieces: DataFrame) -> DataFrame:
     return texts.select("id", F.array_join(F.col("row.piece"), "").alias("formula"))
 
 
-def _fill() -> Callable[[DataFrame, DataFrame], DataFrame]:
-    """From a depth's pieces and the finished values to ``(id, formula)``, filled in."""
-    argument = int_text(F.col("value")).alias("argument")
-    sendable = _sendable(F.col("value"))
-    matches = (F.col("ref") == F.col("known")) & F.col("linked")
-    piece = filled_piece(F.col("lead"), F.col("ref"), F.col("tail"), F.col("argument"))
-    row = F.array_sort(F.collect_list(F.struct("pos", piece.alias("piece")))).alias("row")
-    text = F.array_join(F.col("row.piece"), "").alias("formula")
-
-    def fill(pieces: DataFrame, finished: DataFrame) -> DataFrame:
-        known = finished.where(sendable).select(F.col("id").alias("known"), argument)
-        joined = pieces.join(known, matches, "left")
-        return joined.groupBy("id").agg(row).select("id", text)
-
-    return fill
-
-
 def _without_value(rows: DataFrame) -> DataFrame:
     status = (
         F.when(F.col("formula").isNull(), NO_FORMULA)

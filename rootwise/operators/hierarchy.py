@@ -9,9 +9,8 @@ from rootwise.model import GraphError
 from rootwise.operators.cycles import strong_components
 from rootwise.scratch import RoundTable, Scratch
 
-# Up to this many nodes, a job goes several levels down.
-FEW_NODES = 100_000
-LEVELS_PER_JOB = 4
+# Levels to pile up before they are merged into one table.
+MERGE_EVERY = 24
 
 _COLUMNS = ["id", "level", "root", "path", "isleaf"]
 
@@ -114,35 +113,28 @@ def _nodes(scratch, vertices, edges, multi_parent, orphan) -> RoundTable:
     )
 
 
-def _below(nodes: DataFrame, fresh: DataFrame, separator: str, *more: str) -> DataFrame:
+def _below(nodes: DataFrame, fresh: DataFrame, separator: str) -> DataFrame:
     """The children of ``fresh``, one level down."""
-    above = fresh.select(
-        F.col("id").alias("parent"), "level", F.col("root").alias("top"), F.col("path"), *more
-    )
+    above = fresh.select(F.col("id").alias("parent"), "level", F.col("root").alias("top"), F.col("path"))
     return nodes.join(above, "parent").select(
         "id",
         (F.col("level") + 1).alias("level"),
         F.col("top").alias("root"),
         F.concat("path", F.lit(separator), "seg").alias("path"),
         "isleaf",
-        *more,
     )
 
 
 def _descend(scratch, nodes: RoundTable, first: RoundTable, separator: str) -> list[RoundTable]:
-    """Levels below ``first``, as round tables that hold one or, of few nodes, several."""
-    levels = [first]
-    last, rows = first.df, first.rows
-    steps = LEVELS_PER_JOB if nodes.rows <= FEW_NODES else 1
-    while rows:
-        level, out = last, None
-        for step in range(1, steps + 1):
-            level = _below(nodes.df, level, separator)
-            tagged = level.withColumn("step", F.lit(step))
-            out = tagged if out is None else out.unionByName(tagged)
-        table = scratch.write(out, last=F.count_if(F.col("step") == steps))
-        last, rows = table.df.where(F.col("step") == steps), table.counts["last"]
-        levels.append(table)
+    """``first`` and all levels below it, one join each."""
+    levels, last = [first], first
+    while last.rows:
+        last = scratch.write(_below(nodes.df, last.df, separator))
+        levels.append(last)
+        if len(levels) > MERGE_EVERY:
+            merged = scratch.write(scratch.scan(levels))
+            scratch.drop(*levels[:-1])
+            levels = [merged]
     return levels
 
 
@@ -154,24 +146,48 @@ def _cyclic(scratch, tied: RoundTable, separator: str) -> DataFrame:
     if groups is not None:
         sizes = groups.df.groupBy("cycle_id").agg(F.count(F.lit(1)).alias("n"))
         members = members.unionByName(groups.df.join(sizes, "cycle_id").select("id", "n"))
-    ring = scratch.write(tied.df.join(members, "id")).df
-    # From every vertex of a cycle a walk goes down the cycle; after n vertices it ends
-    # at the vertex whose row it is.
-    walks = scratch.write(
-        ring.select(
-            "id",
-            F.lit(1).alias("level"),
-            "root",
-            F.concat(F.lit(separator), "seg").alias("path"),
-            "isleaf",
-            "n",
-        ),
-    )
-    ended: list[RoundTable] = []
-    while walks.rows:
-        ended.append(walks)
-        onward = walks.df.where("level < n")
-        walks = scratch.write(_below(ring.drop("n"), onward, separator, "n"))
-    rows = scratch.write(scratch.scan(ended).where("level = n").select(*_COLUMNS))
+    ring = scratch.write(tied.df.join(members, "id"), longest=F.max("n"))
+    rows = scratch.write(_walked(scratch, ring, separator).select(*_COLUMNS))
     trees = scratch.write(tied.df.join(members.select("id"), "id", "left_anti"))
     return scratch.scan(_descend(scratch, trees, rows, separator))
+
+
+def _walked(scratch, ring: RoundTable, separator: str) -> DataFrame:
+    """Each vertex of a cycle of n with the path of the n vertices walked up from it.
+
+    Walks of 1, 2, 4 and more steps are put together from two of half the length; those
+    that make up n are joined end to end, so there are as many rounds as n has binary digits.
+    ``to`` is where a walk arrives, ``text`` the vertices before that, ``last`` the root of the last one.
+    """
+    text = F.concat(F.lit(separator), "seg")
+    jumps = scratch.write(ring.df.select("id", F.col("parent").alias("to"), text.alias("text"), F.col("root").alias("last")))
+    walks = scratch.write(
+        ring.df.select("id", "isleaf", "n", F.col("id").alias("to"), F.lit("").alias("text"), "root")
+    )
+    step = 1
+    while step <= (ring.counts["longest"] or 0):
+        onward = jumps.df.toDF("at", "next", "more", "last")
+        takes = F.col("n").bitwiseAND(F.lit(step)) != 0
+        joined = walks.df.join(onward, F.when(takes, F.col("to")) == F.col("at"), "left")
+        longer = scratch.write(
+            joined.select(
+                "id",
+                "isleaf",
+                "n",
+                F.when(takes, F.col("next")).otherwise(F.col("to")).alias("to"),
+                F.when(takes, F.concat("more", "text")).otherwise(F.col("text")).alias("text"),
+                F.when(takes, F.col("last")).otherwise(F.col("root")).alias("root"),
+            )
+        )
+        step *= 2
+        if step <= ring.counts["longest"]:
+            doubled = scratch.write(
+                jumps.df.drop("last")
+                .join(onward, F.col("to") == F.col("at"))
+                .select("id", F.col("next").alias("to"), F.concat("more", "text").alias("text"), "last")
+            )
+            scratch.drop(jumps)
+            jumps = doubled
+        scratch.drop(walks)
+        walks = longer
+    return walks.df.select("id", F.col("n").cast("int").alias("level"), "root", F.col("text").alias("path"), "isleaf")

@@ -19,13 +19,13 @@ def hop_distances(graph: FormulaGraph, landmarks: DataFrame) -> DataFrame:
     unreachable one has no row. The search runs from the landmarks against the edges, so
     its work is set by what can reach them.
     """
-    against = graph.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    scratch = Scratch(graph.spark, "hops")
+    against = scratch.write(graph.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).df
     seeds = (
         graph.vertices.select("id")
         .join(landmarks.select("id"), "id", "left_semi")
         .select("id", F.col("id").alias("landmark"))
     )
-    scratch = Scratch(graph.spark, "hops")
     return reach(scratch, against, seeds, ("landmark",)).withColumnRenamed("val", "distance")
 
 
@@ -38,11 +38,15 @@ def distance_maps(distances: DataFrame) -> DataFrame:
 
 def reachable_from(graph: FormulaGraph, root_id) -> DataFrame:
     """``(id, distance)`` of the root and everything below it."""
-    start = graph.vertices.where(F.col("id") == root_id).select("id")
-    if not start.take(1):
-        raise GraphError(f"no vertex {root_id!r}")
     scratch = Scratch(graph.spark, "reach")
-    return reach(scratch, graph.edges, start).withColumnRenamed("val", "distance")
+    return _reached(scratch, graph, scratch.write(graph.edges).df, root_id)
+
+
+def _reached(scratch: Scratch, graph: FormulaGraph, edges: DataFrame, root_id) -> DataFrame:
+    start = scratch.write(graph.vertices.where(F.col("id") == root_id).select("id"))
+    if not start.rows:
+        raise GraphError(f"no vertex {root_id!r}")
+    return reach(scratch, edges.select("src", "dst"), start.df).withColumnRenamed("val", "distance")
 
 
 def reachable_subgraph(graph: FormulaGraph, root_id) -> FormulaGraph:
@@ -51,8 +55,10 @@ def reachable_subgraph(graph: FormulaGraph, root_id) -> FormulaGraph:
     An edge out of a reached vertex ends in a reached vertex, so one semi join gives the
     induced edges. Only a root without any edge can be isolated.
     """
-    reached = reachable_from(graph, root_id).select("id")
-    edges = graph.edges.join(reached.withColumnRenamed("id", "src"), "src", "left_semi")
+    scratch = Scratch(graph.spark, "subgraph")
+    written = scratch.write(graph.edges).df
+    reached = _reached(scratch, graph, written, root_id).select("id")
+    edges = written.join(reached.withColumnRenamed("id", "src"), "src", "left_semi")
     edges = edges.select(*graph.edges.columns)
     vertices = graph.vertices.join(reached, "id", "left_semi")
     return replace(graph, vertices=vertices, edges=edges).drop_isolated()

@@ -4,23 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rootwise.scratch import RoundTable, Scratch
 
-# Up to this many edges, a job runs several rounds and carries the vertices along; above,
-# it runs one and moves only what the round touches.
-FEW_EDGES = 100_000
-ROUNDS_PER_JOB = 6
-# Used-up edges are dropped from the edge table once it is this large and half used up.
-COMPACT_ABOVE = 1_000_000
-
-# Values of ``phase``. All but WAITING are finished.
-WAITING = 0
-FRESH = 1  # its out-edges are still to be used
-SPENT = 2
-EARLIER = 3  # finished in an earlier round table already
+# Layers to pile up before their finished vertices are merged into one table.
+MERGE_EVERY = 24
 
 
 @dataclass(frozen=True)
@@ -63,102 +53,58 @@ def peel(
     """
     layers: list[RoundTable] = []
     total = start_rows
-    live, live_rows = edges.df, edges.rows
-    spent = compacted = 0
-    fresh, fresh_rows = start, start_rows
+    live = edges
+    spent = 0
+    fresh = start
+    fresh_rows = start_rows
+    previous = None
     while fresh_rows:
-        few = live_rows <= FEW_EDGES
-        run = _several_rounds if few else _one_round
         table = scratch.write(
-            run(live, fresh, waiting, root_id),
-            fresh=F.count_if(F.col("phase") == FRESH),
-            finished=F.count_if(_is_new()),
-            spent=F.sum(F.when(_is_new(), F.col("got")).otherwise(0)),
+            _round(live.df, fresh, waiting, root_id),
+            finished=F.count_if("finished"),
+            spent=F.sum(F.when(F.col("finished"), F.col("got")).otherwise(0)),
         )
-        fresh = table.df.where(F.col("phase") == FRESH).select("id", "depth")
-        fresh_rows = table.counts["fresh"]
-        waiting = table.df.where(F.col("phase") == WAITING).drop("phase")
-        layers.append(table)
-        total += table.counts["finished"]
+        if previous is not None:
+            scratch.drop(previous)  # its waiting rows are in the new table
+        layer = scratch.write(table.df.where("finished").select("id", "depth"))
+        previous = table
+        fresh, fresh_rows = layer.df, layer.rows
+        waiting = table.df.where("not finished").drop("finished")
+        layers.append(layer)
+        total += layer.rows
         spent += table.counts["spent"]
-        if live_rows > COMPACT_ABOVE and 2 * spent > live_rows:
-            # The edges into finished vertices are used up, and so are their sources.
-            used = _finished(scratch, start, layers[compacted:-1])
-            used = used.select(F.col("id").alias("src"))
-            rest = scratch.write(live.join(used, "src", "left_anti").select("src", "dst", "need"))
-            live, live_rows, spent, compacted = rest.df, rest.rows, 0, len(layers) - 1
+        if 2 * spent > live.rows:
+            # Half of the edges lead to finished vertices: go on without them.
+            used = _finished(scratch, start, layers[:-1]).select(F.col("id").alias("src"))
+            rest = scratch.write(live.df.join(used, "src", "left_anti").select("src", "dst", "need"))
+            if live is not edges:
+                scratch.drop(live)
+            live, spent = rest, 0
+        if len(layers) > MERGE_EVERY:
+            merged = scratch.write(scratch.scan(layers))
+            scratch.drop(*layers[:-1])
+            layers = [merged]
     return Peeled(_finished(scratch, start, layers), waiting, total)
 
 
-def _is_new() -> Column:
-    return F.col("phase").isin(FRESH, SPENT)
-
-
 def _finished(scratch: Scratch, start: DataFrame, layers: list[RoundTable]) -> DataFrame:
-    if not layers:
-        return start
-    return start.unionByName(scratch.scan(layers).where(_is_new()).select("id", "depth"))
-
-
-def _merged(served: DataFrame, root_id: str | None) -> DataFrame:
-    """One row per vertex; a waiting one that has all it needs turns fresh."""
-    rows = served.groupBy("id").agg(
-        F.max("need").alias("need"),
-        F.sum("got").alias("got"),
-        F.max("depth").alias("depth"),
-        F.max("phase").alias("phase"),
-    )
-    depth, phase = F.col("depth"), F.col("phase")
-    if root_id is not None:
-        depth = F.when(F.col("id") == root_id, F.coalesce(depth, F.lit(0))).otherwise(depth)
-    full = (phase == WAITING) & (F.col("got") >= F.col("need"))
-    return rows.select(
-        "id", "need", "got", depth.alias("depth"), F.when(full, FRESH).otherwise(phase).alias("phase")
-    )
+    return start.unionByName(scratch.scan(layers)) if layers else start
 
 
-def _one_round(live, fresh, waiting, root_id) -> DataFrame:
-    """Only the fresh rows meet the edges; finished rows are left where they are."""
+def _round(live: DataFrame, fresh: DataFrame, waiting: DataFrame | None, root_id) -> DataFrame:
+    """What the edges of the fresh vertices bring to those that wait; only these two meet."""
     served = live.join(fresh.withColumnRenamed("id", "src"), "src").select(
         F.col("dst").alias("id"),
         "need",
         F.lit(1).cast("long").alias("got"),
         (F.col("depth") + 1).alias("depth"),
-        F.lit(WAITING).alias("phase"),
     )
     if waiting is not None:
-        served = served.unionByName(waiting.withColumn("phase", F.lit(WAITING)))
-    return _merged(served, root_id)
-
-
-def _several_rounds(live, fresh, waiting, root_id) -> DataFrame:
-    """Rounds in a row in one statement, each an edge join and one shuffle.
-
-    A fresh row goes in twice: once to meet the edges, and once to stay as it is.
-    """
-    views = {"live": live, "fresh": fresh}
-    start = f"SELECT id, 0L AS need, 0L AS got, depth, {FRESH} AS phase FROM {{fresh}}"
-    if waiting is not None:
-        views["waiting"] = waiting
-        start += f" UNION ALL SELECT id, need, got, depth, {WAITING} FROM {{waiting}}"
-    depth = "max(depth)" if root_id is None else "if(id = :root, coalesce(max(depth), 0), max(depth))"
-    rounds = [f"r0 AS ({start})"]
-    for nth in range(1, ROUNDS_PER_JOB + 1):
-        rounds.append(f"""
-            r{nth} AS (
-                SELECT id, max(need) AS need, sum(got) AS got, {depth} AS depth,
-                       if(max(phase) = {WAITING} AND sum(got) >= max(need), {FRESH}, max(phase)) AS phase
-                FROM (
-                    SELECT if(go, dst, id) AS id, if(go, e.need, v.need) AS need, if(go, 1L, got) AS got,
-                           depth + int(go) AS depth,
-                           CASE WHEN go THEN {WAITING}
-                                WHEN phase = {FRESH} THEN {EARLIER if nth == 1 else SPENT}
-                                ELSE phase END AS phase
-                    FROM (SELECT *, explode(if(phase = {FRESH}, array(false, true), array(false))) AS go
-                          FROM r{nth - 1}) v
-                         LEFT JOIN {{live}} e ON go AND id = src
-                    WHERE NOT go OR src IS NOT NULL)
-                GROUP BY id)""")
-    text = f"WITH {','.join(rounds)} SELECT * FROM r{ROUNDS_PER_JOB}"
-    args = None if root_id is None else {"root": root_id}
-    return live.sparkSession.sql(text, args=args, **views)
+        served = served.unionByName(waiting)
+    rows = served.groupBy("id").agg(
+        F.max("need").alias("need"), F.sum("got").alias("got"), F.max("depth").alias("depth")
+    )
+    depth = F.col("depth")
+    if root_id is not None:
+        depth = F.when(F.col("id") == root_id, F.coalesce(depth, F.lit(0))).otherwise(depth)
+    return rows.select("id", "need", "got", depth.alias("depth"), (F.col("got") >= F.col("need")).alias("finished"))

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from rootwise.model import GraphError
 from rootwise.scratch import Scratch
 
+# Tables of changed rows to pile up before they are merged into one.
+MERGE_EVERY = 24
+
 
 def propagate(
     vertices: DataFrame,
@@ -38,61 +41,82 @@ def propagate(
     ``active="out"`` looks at edges out of an active vertex, ``"any"`` at edges with an
     active vertex at either end. It ends when nothing is sent; going on for more than
     ``max_rounds`` raises.
+
+    A round writes the vertices it changes and reads the edges next to them; the others'
+    states stay where they were written.
     """
     if active not in ("out", "any") or send_to not in ("src", "dst"):
         raise ValueError("active is 'out' or 'any', send_to is 'src' or 'dst'")
     scratch = Scratch(vertices.sparkSession, "propagate")
     names = list(state)
     links = scratch.write(edges.select("src", "dst", F.struct(*edges.columns).alias("edge"))).df
-    now = scratch.write(
-        vertices.select(
-            "id", *[column.alias(name) for name, column in state.items()], F.lit(True).alias("active")
-        )
-    )
+    started = vertices.select("id", *[column.alias(name) for name, column in state.items()], F.lit(0).alias("round"))
+    changed = scratch.write(started)
+    known = [changed]
     needs_target = reads_target or active == "any"
-    live = now.rows
     rounds = 0
-    while live:
+    while changed.rows:
         if max_rounds is not None and rounds > max_rounds:
             raise GraphError(f"messages are still sent after {max_rounds} rounds")
         rounds += 1
-        sources = now.df.where("active") if active == "out" else now.df
         # Ends come in as structs, so that src.x and dst.x are what the caller names.
-        looks = _end(sources, "src", names).join(
-            links.withColumnsRenamed({"src": "src_id", "dst": "dst_id"}), "src_id"
-        )
-        if needs_target:
-            looks = looks.join(_end(now.df, "dst", names), "dst_id")
-            if active == "any":
-                looks = looks.where(F.col("src.active") | F.col("dst.active"))
+        near = links.withColumnsRenamed({"src": "src_id", "dst": "dst_id"})
+        if active == "out":
+            looks = near.join(_end(changed.df, "src", names), "src_id")
+            if needs_target:
+                ends = _latest(scratch, known, looks.select(F.col("dst_id").alias("id")), names)
+                looks = looks.join(_end(ends, "dst", names), "dst_id")
+        else:
+            touched = _touched(near, changed.df.select("id"))
+            ends = touched.select(F.explode(F.array("src_id", "dst_id")).alias("id"))
+            ends = scratch.write(_latest(scratch, known, ends, names)).df
+            looks = touched.join(_end(ends, "src", names), "src_id").join(_end(ends, "dst", names), "dst_id")
         if send_if is not None:
             looks = looks.where(send_if)
         sent = looks.select(
             F.col(f"{send_to}_id").alias("id"),
             *[column.alias(name) for name, column in message.items()],
         )
-        inbox = sent.groupBy("id").agg(
-            *[merge[name](F.col(name)).alias(name) for name in message]
-        )
-        inbox = inbox.select("id", F.struct(*message).alias("msg"))
-        old = now.df.select("id", F.struct(*names).alias("old"))
-        got = F.col("msg").isNotNull()
-        following = old.join(inbox, "id", "left").select(
+        inbox = sent.groupBy("id").agg(*[merge[name](F.col(name)).alias(name) for name in message])
+        inbox = scratch.write(inbox.select("id", F.struct(*message).alias("msg")))
+        if not inbox.rows:
+            break
+        old = _latest(scratch, known, inbox.df.select("id"), names).select("id", F.struct(*names).alias("old"))
+        following = inbox.df.join(old, "id").select(
             "id",
-            *[
-                F.when(got, update[name]).otherwise(F.col(f"old.{name}")).alias(name)
-                if name in update
-                else F.col(f"old.{name}").alias(name)
-                for name in names
-            ],
-            got.alias("active"),
+            *[(update[name] if name in update else F.col(f"old.{name}")).alias(name) for name in names],
+            F.lit(rounds).alias("round"),
         )
-        now = scratch.write(following, live=F.count_if("active"))
-        live = now.counts["live"]
-    return now.df.drop("active")
+        changed = scratch.write(following)
+        scratch.drop(inbox)
+        known.append(changed)
+        if len(known) > MERGE_EVERY:
+            newest = _newest(scratch.scan(known), names, keep_round=True)
+            merged = scratch.write(newest)
+            scratch.drop(*known[:-1])
+            known = [merged]
+    return _newest(scratch.scan(known), names)
+
+
+def _newest(rows: DataFrame, names: list[str], keep_round: bool = False) -> DataFrame:
+    """Each vertex as the last round that changed it left it."""
+    last = rows.groupBy("id").agg(F.max_by(F.struct(*names, "round"), "round").alias("last"))
+    return last.select("id", *[f"last.{name}" for name in ([*names, "round"] if keep_round else names)])
+
+
+def _latest(scratch: Scratch, known: list, ids: DataFrame, names: list[str]) -> DataFrame:
+    """The states of some vertices only: other rows are not grouped."""
+    rows = scratch.scan(known).join(ids.select("id").distinct(), "id", "left_semi")
+    return _newest(rows, names)
+
+
+def _touched(links: DataFrame, ids: DataFrame) -> DataFrame:
+    """Edges with one of ``ids`` at either end, each once."""
+    source, target = ids.withColumnRenamed("id", "src_id"), ids.withColumnRenamed("id", "dst_id")
+    out = links.join(source, "src_id", "left_semi")
+    into = links.join(target, "dst_id", "left_semi").join(source, "src_id", "left_anti")
+    return out.unionByName(into)
 
 
 def _end(vertices: DataFrame, end: str, names: list[str]) -> DataFrame:
-    return vertices.select(
-        F.col("id").alias(f"{end}_id"), F.struct("id", *names, "active").alias(end)
-    )
+    return vertices.select(F.col("id").alias(f"{end}_id"), F.struct("id", *names).alias(end))

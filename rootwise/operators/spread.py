@@ -3,7 +3,8 @@
 Reachability, hop counts, weighted distances and component colours are all this: each
 round joins only the rows that improved with the edges, takes the minimum per target,
 and keeps what beats the value known so far. Known values are an append-only list of
-round tables.
+round tables. What a round tries is written before it meets them: the planner then knows
+its size, and known rows are neither sorted nor shuffled for a round of few.
 """
 
 from __future__ import annotations
@@ -13,13 +14,6 @@ from pyspark.sql import functions as F
 
 from rootwise.scratch import RoundTable, Scratch
 
-# Up to this many known rows, a job goes several edges far before it compares with what
-# is known; a row may then be looked at again for nothing, which is cheap while few.
-FEW_KNOWN = 100_000
-HOPS_PER_JOB = 6
-# Above this many known rows, a round's candidates are written first, so that the planner
-# sees their size and can leave the known rows unshuffled when the candidates are few.
-MANY_KNOWN = 2_000_000
 # Round tables to pile up before they are merged into one.
 MERGE_EVERY = 24
 
@@ -34,77 +28,37 @@ def spread_min(
 ) -> DataFrame:
     """Smallest ``val`` per ``(id, *labels)`` reached from ``seeds(id, *labels, val)``.
 
-    ``edges(src, dst, ...)``; ``step`` is the SQL expression of the value at ``dst`` from
-    ``val`` at ``src``, and may use edge columns. ``settled`` says that the first value a
-    row gets is final, as with hop counts; otherwise values may improve in later rounds.
+    ``edges(src, dst, ...)`` is read once a round, so it should be a written table; ``step``
+    is the SQL expression of the value at ``dst`` from ``val`` at ``src``, and may use edge
+    columns. ``settled`` says that the first value a row gets is final, as with hop counts;
+    otherwise values may improve in later rounds.
     """
     keys = ["id", *labels]
     first = scratch.write(seeds.groupBy(*keys).agg(F.min("val").alias("val")))
-    known = [first]
-    known_rows = fresh_rows = first.rows
-    fresh = first.df
-    while fresh_rows:
-        best = _best(scratch, known, keys, settled)
-        move = _several_hops if known_rows <= FEW_KNOWN else _one_hop
-        tried = move(edges, fresh.select(*keys, "val"), step, labels)
-        if known_rows > MANY_KNOWN:
-            tried = scratch.write(tried).df
-            best = best.join(tried.select(*keys), keys, "left_semi")
-        better = tried.join(best.withColumnRenamed("val", "old"), keys, "left").where(
-            "old IS NULL OR val < old"
+    kind = first.schema["val"].dataType
+    known, fresh = [first], first
+    while fresh.rows:
+        moved = edges.join(fresh.df.withColumnRenamed("id", "src"), "src").select(
+            F.col("dst").alias("id"), *labels, F.expr(step).cast(kind).alias("val")
         )
-        table = scratch.write(better.select(*keys, "val", "fresh"), fresh=F.count_if("fresh"))
-        fresh, fresh_rows = table.df.where("fresh"), table.counts["fresh"]
-        known_rows += table.rows
-        known.append(table)
+        tried = scratch.write(moved.groupBy(*keys).agg(F.min("val").alias("val")))
+        if not tried.rows:
+            break
+        rows = scratch.scan(known).join(tried.df.select(*keys), keys, "left_semi")
+        best = _best(rows, keys, settled).withColumnRenamed("val", "old")
+        better = tried.df.join(best, keys, "left").where("old IS NULL OR val < old")
+        fresh = scratch.write(better.select(*keys, "val"))
+        scratch.drop(tried)
+        known.append(fresh)
         if len(known) > MERGE_EVERY:
-            merged = scratch.write(_best(scratch, known, keys, settled))
-            known, known_rows = [merged], merged.rows
-    return _best(scratch, known, keys, settled)
+            merged = scratch.write(_best(scratch.scan(known), keys, settled))
+            scratch.drop(*known[:-1])
+            known = [merged]
+    return _best(scratch.scan(known), keys, settled)
 
 
-def _one_hop(edges: DataFrame, fresh: DataFrame, step: str, labels) -> DataFrame:
-    """What ``fresh`` gives the vertices one edge on."""
-    keys = ["id", *labels]
-    kind = fresh.schema["val"].dataType
-    moved = edges.join(fresh.withColumnRenamed("id", "src"), "src").select(
-        F.col("dst").alias("id"), *labels, F.expr(step).cast(kind).alias("val")
-    )
-    return moved.groupBy(*keys).agg(F.min("val").alias("val")).withColumn("fresh", F.lit(True))
-
-
-def _several_hops(edges: DataFrame, fresh: DataFrame, step: str, labels) -> DataFrame:
-    """What ``fresh`` gives all vertices some edges on, in one statement.
-
-    ``fresh`` stays true for those whose own edges are still to be used. A fresh row goes
-    into a hop twice: once to meet the edges, and once to stay as it is.
-    """
-    keys = ", ".join(["id", *labels])
-    moved_keys = ", ".join(["if(go, dst, id) AS id", *labels])
-    kind = fresh.schema["val"].dataType.simpleString()
-    hops = [f"h0 AS (SELECT {keys}, val, true AS fresh FROM {{fresh}})"]
-    for nth in range(1, HOPS_PER_JOB + 1):
-        hops.append(f"""
-            h{nth} AS (
-                SELECT {keys}, min(val) AS val,
-                       coalesce(min(if(came, val, null)) < min(if(came, null, val)),
-                                every(came)) AS fresh
-                FROM (
-                    SELECT {moved_keys}, if(go, CAST({step} AS {kind}), val) AS val, go AS came
-                    FROM (SELECT *, explode(if(fresh, array(false, true), array(false))) AS go
-                          FROM h{nth - 1}) v
-                         LEFT JOIN {{edges}} e ON go AND id = src
-                    WHERE NOT go OR src IS NOT NULL)
-                GROUP BY {keys})""")
-    text = f"WITH {','.join(hops)} SELECT * FROM h{HOPS_PER_JOB}"
-    return fresh.sparkSession.sql(text, fresh=fresh, edges=edges)
-
-
-def _best(scratch: Scratch, known: list[RoundTable], keys: list[str], settled: bool) -> DataFrame:
-    rows = scratch.scan(known)
-    if settled or len(known) == 1:
-        return rows
-    return rows.groupBy(*keys).agg(F.min("val").alias("val"))
+def _best(rows: DataFrame, keys: list[str], settled: bool) -> DataFrame:
+    return rows if settled else rows.groupBy(*keys).agg(F.min("val").alias("val"))
 
 
 def reach(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rootwise.model import FormulaGraph
@@ -78,14 +78,14 @@ def faulty_formulas(spark: SparkSession, folder: str) -> DataFrame:
 def line_formulas(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as constants and one formula per order line that refers to its part."""
     parts = formula_table(spark, folder, F.col("p_size").cast("string"))
-    lines = (
-        table(spark, folder, "lineitem")
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg(F.max("l_partkey").alias("part"), F.max("l_quantity").alias("quantity"))
-    )
-    key = F.concat(tag("L", "l_orderkey"), F.lit("_"), F.col("l_linenumber").cast("string"))
+    lines = table(spark, folder, "lineitem")
+    # A line's number is not unique in its order: its place among the lines with that number
+    # is, as told by all its columns. Lines that repeat in all of them get places in a row.
+    places = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*lines.columns)
+    lines = lines.withColumn("place", F.row_number().over(places))
+    key = F.concat_ws("_", tag("L", "l_orderkey"), F.col("l_linenumber").cast("string"), F.col("place").cast("string"))
     text = F.concat(
-        F.lit("(item("), tag("P", "part"), F.lit(") + 0.5) * "), F.col("quantity").cast("string")
+        F.lit("(item("), tag("P", "l_partkey"), F.lit(") + 0.5) * "), F.col("l_quantity").cast("string")
     )
     return parts.unionByName(
         lines.select(
@@ -211,15 +211,51 @@ def ring_graph(spark: SparkSession, folder: str) -> FormulaGraph:
 
 def sales_hierarchy(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Vertices ``(id, root, path)`` and edges ``(parent, child)``, region down to order."""
-    graph = order_graph(spark, folder)
-    named = F.when(F.col("id").startswith("O"), F.col("id")).otherwise(F.col("name"))
-    vertices = graph.vertices.where("id not like 'P%'").select(
-        "id", named.alias("root"), named.alias("path")
+    region, nation, customer, orders = (
+        table(spark, folder, n) for n in ("region", "nation", "customer", "orders")
+    )
+    order_id = tag("O", "o_orderkey")
+    vertices = (
+        _vertex(region, tag("R", "r_regionkey"), "r_name", F.lit(0))
+        .unionByName(_vertex(nation, tag("N", "n_nationkey"), "n_name", F.lit(0)))
+        .unionByName(_vertex(customer, tag("C", "c_custkey"), "c_name", F.lit(0)))
+        .unionByName(_vertex(orders, order_id, order_id, F.lit(0)))
+        .select("id", F.col("name").alias("root"), F.col("name").alias("path"))
+    )
+    edges = (
+        _edge(nation, tag("R", "n_regionkey"), tag("N", "n_nationkey"))
+        .unionByName(_edge(customer, tag("N", "c_nationkey"), tag("C", "c_custkey")))
+        .unionByName(_edge(orders, tag("C", "o_custkey"), order_id))
+        .selectExpr("src as parent", "dst as child")
     )
-    edges = graph.edges.where("dst not like 'P%'").selectExpr("src as parent", "dst as child")
     return vertices, edges
 
 
+def supply_tree(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Parts under their suppliers, several for most of them, as order lines tell."""
+    part, supplier, line = (table(spark, folder, n) for n in ("part", "supplier", "lineitem"))
+    own = _vertex(part, tag("P", "p_partkey"), "p_name", F.lit(0)).unionByName(
+        _vertex(supplier, tag("S", "s_suppkey"), "s_name", F.lit(0))
+    )
+    edges = _edge(line, tag("S", "l_suppkey"), tag("P", "l_partkey")).distinct()
+    return own.select("id", F.col("name").alias("root"), F.col("id").alias("path")), edges.selectExpr(
+        "src as parent", "dst as child"
+    )
+
+
+def orphaned_orders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Orders under customers, of whom every third is left out."""
+    customer, orders = table(spark, folder, "customer"), table(spark, folder, "orders")
+    customer = customer.where("c_custkey % 3 <> 0")
+    vertices = _vertex(customer, tag("C", "c_custkey"), "c_name", F.lit(0)).unionByName(
+        _vertex(orders, tag("O", "o_orderkey"), "o_orderstatus", F.lit(0))
+    )
+    edges = _edge(orders, tag("C", "o_custkey"), tag("O", "o_orderkey"))
+    return vertices.select("id", F.col("id").alias("root"), F.col("id").alias("path")), edges.selectExpr(
+        "src as parent", "dst as child"
+    )
+
+
 def part_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Parts with a parent, part k under part k/2 and part 0 on top."""
     above = F.when(F.col("p_partkey") > 0, tag("P", F.expr("p_partkey div 2")))

@@ -241,12 +241,15 @@ ORACLES = {
         UNION ALL SELECT 'r00t', '', 0, 0.0, 'ok'""",
     "formula_values_lines": """
         WITH lines AS (
-            SELECT l_orderkey, l_linenumber, max(l_partkey) AS part, max(l_quantity) AS quantity
-            FROM lineitem GROUP BY l_orderkey, l_linenumber)
-        SELECT 'L' || l_orderkey || '_' || l_linenumber AS id,
-               '(' || p_size || ' + 0.5) * ' || quantity AS formula, CAST(2 AS INTEGER) AS depth,
-               (p_size + CAST(0.5 AS DOUBLE)) * quantity AS value, 'ok' AS status
-        FROM lines JOIN part ON p_partkey = part
+            SELECT *, row_number() OVER (
+                PARTITION BY l_orderkey, l_linenumber
+                ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                         l_returnflag, l_linestatus, l_shipdate) AS place
+            FROM lineitem)
+        SELECT 'L' || l_orderkey || '_' || l_linenumber || '_' || place AS id,
+               '(' || p_size || ' + 0.5) * ' || l_quantity AS formula, CAST(2 AS INTEGER) AS depth,
+               (p_size + CAST(0.5 AS DOUBLE)) * l_quantity AS value, 'ok' AS status
+        FROM lines JOIN part ON p_partkey = l_partkey
         UNION ALL SELECT 'P' || p_partkey, CAST(p_size AS VARCHAR), 1, CAST(p_size AS DOUBLE), 'ok' FROM part
         UNION ALL SELECT 'r00t', '', 0, 0.0, 'ok'""",
     "formula_status": f"""

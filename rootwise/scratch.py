@@ -50,7 +50,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.path = f"{shared_dir(spark)}/rootwise/{label}-{uuid.uuid4().hex}"
+        self.path = f"{_session_dir(spark)}/{label}-{uuid.uuid4().hex}"
         self._written = 0
 
     def write(
@@ -78,13 +78,25 @@ class Scratch:
         return self.spark.read.schema(tables[0].schema).parquet(*[t.path for t in tables])
 
 
+    def drop(self, *tables: RoundTable) -> None:
+        """Delete tables that nothing reads any more."""
+        for table in tables:
+            _delete(self.spark, table.path)
+
+
 def clear_round_tables(spark: SparkSession) -> None:
-    """Delete every round table under the shared folder's ``rootwise`` subfolder.
+    """Delete this application's round tables.
 
     Call it when no result of this package is still to be read: results are DataFrames
-    over round tables.
+    over round tables. Other applications' tables in the same folder stay.
     """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/rootwise")
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path.getFileSystem(conf).delete(path, True)
+    _delete(spark, _session_dir(spark))
+
+
+def _session_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/rootwise/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

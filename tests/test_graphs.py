@@ -1,4 +1,4 @@
-"""Random graphs against small models, on the paths for few and for many rows."""
+"""Random graphs against small models."""
 
 import math
 import random
@@ -10,6 +10,7 @@ from rootwise import FormulaGraph, GraphError
 from rootwise.operators import evaluate as evaluate_module
 from rootwise.operators import hierarchy as hierarchy_module
 from rootwise.operators import peel as peel_module
+from rootwise.operators import propagate as propagate_module
 from rootwise.operators import spread as spread_module
 from rootwise.operators.build import formula_graph
 from rootwise.operators.cycles import cycle_affected, cycle_groups
@@ -22,17 +23,11 @@ from rootwise.sources.generators import log_normal_edges, log_normal_graph
 from tests import models
 
 
-@pytest.fixture(params=["few", "many"])
+@pytest.fixture(params=[1, 24])
 def size(request, monkeypatch):
-    """Run a test on the code for few rows, then on that for many."""
-    if request.param == "many":
-        monkeypatch.setattr(evaluate_module, "FEW_VERTICES", -1)
-        monkeypatch.setattr(peel_module, "FEW_EDGES", -1)
-        monkeypatch.setattr(peel_module, "COMPACT_ABOVE", 0)
-        monkeypatch.setattr(spread_module, "FEW_KNOWN", -1)
-        monkeypatch.setattr(spread_module, "MANY_KNOWN", -1)
-        monkeypatch.setattr(spread_module, "MERGE_EVERY", 2)
-        monkeypatch.setattr(hierarchy_module, "FEW_NODES", -1)
+    """Run a test with round tables merged at once, then as few as there are left apart."""
+    for module in (evaluate_module, hierarchy_module, peel_module, propagate_module, spread_module):
+        monkeypatch.setattr(module, "MERGE_EVERY", request.param)
     return request.param
 
 
