@@ -203,7 +203,7 @@ def _grouped(docs: DataFrame, n_batches: int) -> tuple[DataFrame, DataFrame]:
     # Rising ranges of ids, rows without one last; where they are cut changes no result.
     shares = [k / n_batches for k in range(1, n_batches)]
     batch = F.lit(0)
-    for cut in sorted(set(rows.stat.approxQuantile("doc_id", shares, 0.01))):
+    for cut in sorted(set(rows.stat.approxQuantile("doc_id", shares, 0.01) if shares else [])):
         batch = batch + F.when(F.col("doc_id").isNull() | (F.col("doc_id") > int(cut)), 1).otherwise(0)
     buckets = max(1, -(-written.rows // KEYS_PER_BUCKET))
     in_batches = scratch.write(

@@ -111,7 +111,8 @@ def train_languages(docs: DataFrame, per_language: int = 400, max_chars: int = 1
         net.moments, net.conv.moments = {}, {}
         yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(net)], pa.binary())], names=["net"])
 
-    return bytes(rows.repartition(1).mapInArrow(fit, "net binary").collect()[0]["net"])
+    nets = rows.repartition(1).mapInArrow(fit, "net binary").collect()
+    return bytes(nets[0]["net"]) if nets else cloudpickle.dumps(LanguageNet(languages))
 
 
 def languages(docs: DataFrame, per_language: int = 400) -> DataFrame:

@@ -84,8 +84,8 @@ class OpenWindows:
         self.held: dict[int, list] = {}
         self.done: list[tuple[int, list]] = []
 
-    def place(self, pieces: list, length: int, number: int) -> None:
-        """Put ``pieces`` of together ``length`` where they fit best, else into window ``number``."""
+    def place(self, piece: tuple, length: int, number: int) -> None:
+        """Put a piece where it fits best, else into the new window ``number``."""
         at = bisect_left(self.room, (length, -1))
         if at < len(self.room):
             left, window = self.room.pop(at)
@@ -94,8 +94,7 @@ class OpenWindows:
                 self._emit(self.room.pop(0)[1])
             left, window = self.size, number
             self.held[window] = []
-        used = self.size - left
-        self.held[window] += [(*piece[:-1], piece[-1] + used) for piece in pieces]
+        self.held[window].append((*piece, self.size - left))
         if left == length:
             self._emit(window)
         else:
@@ -110,6 +109,11 @@ class OpenWindows:
         return rest
 
 
+def _first_number(level: int, part: int) -> int:
+    """Sequence numbers of a merge level's task go up from here: 2**34 each, for 2**24 tasks."""
+    return (level << 58) + (part << 34)
+
+
 def _batch(windows: list[tuple[int, list]], open_: bool, part: int) -> pa.RecordBatch:
     rows = [(*piece[:-1], window, piece[-1]) for window, pieces in windows for piece in pieces]
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
@@ -123,7 +127,7 @@ def _packer(paths: tuple[str, str, str], window: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(*paths)
         part = TaskContext.get().partitionId()
-        number = part << 40
+        number = _first_number(0, part)
         bins = OpenWindows(window, limit)
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -131,12 +135,9 @@ def _packer(paths: tuple[str, str, str], window: int, limit: int):
                 n = len(ids)
                 for start in range(0, n, window):
                     piece = ids[start : start + window]
-                    row = (doc_id, start, len(piece), zlib.crc32(piece.tobytes()), n, 0)
+                    row = (doc_id, start, len(piece), zlib.crc32(piece.tobytes()), n)
                     number += 1
-                    if len(piece) == window:
-                        bins.done.append((number, [row]))
-                    else:
-                        bins.place([row], len(piece), number)
+                    bins.place(row, len(piece), number)
                 if len(bins.done) > 4096:
                     yield _batch(bins.done, False, part)
                     bins.done = []
@@ -146,22 +147,20 @@ def _packer(paths: tuple[str, str, str], window: int, limit: int):
     return run
 
 
-def _merger(window: int, limit: int, last: bool):
-    """Put the open windows of one group together, the fuller ones first."""
+def _merger(window: int, limit: int, level: int, last: bool):
+    """Pack the pieces of one group's open windows anew, the longest first."""
 
     def run(group: pa.Table) -> pa.Table:
         part = group["part"][0].as_py() // MERGED_AT_ONCE
-        columns = [
-            group[name].to_pylist()
-            for name in ("sequence_id", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "offset")
-        ]
-        held: dict[int, list] = {}
-        for sequence, *piece in sorted(zip(*columns, strict=True), key=lambda row: (row[0], row[6])):
-            held.setdefault(sequence, []).append(tuple(piece))
-        fill = {sequence: sum(piece[2] for piece in pieces) for sequence, pieces in held.items()}
-        bins = OpenWindows(window, len(held))
-        for sequence in sorted(held, key=lambda s: (-fill[s], s)):
-            bins.place(held[sequence], fill[sequence], sequence)
+        names = ("length", "sequence_id", "offset", "doc_id", "start", "ids_crc32", "doc_tokens")
+        pieces = sorted(
+            zip(*(group[name].to_pylist() for name in names), strict=True), key=lambda p: (-p[0], p[1], p[2])
+        )
+        bins = OpenWindows(window, len(pieces))
+        number = _first_number(level, part)
+        for length, _, _, doc_id, start, crc, total in pieces:
+            number += 1
+            bins.place((doc_id, start, length, crc, total), length, number)
         rest = bins.rest()
         closed = bins.done + (rest if last else rest[:-limit])
         still = [] if last else rest[-limit:]
@@ -200,12 +199,12 @@ def packed(
     )
     tables, parts = [first], first.counts["parts"]
     while True:
-        groups = -(-parts // MERGED_AT_ONCE)
+        groups, level = -(-parts // MERGED_AT_ONCE), len(tables)
         merged = (
             tables[-1]
             .df.where("open")
             .groupBy(F.expr(f"part div {MERGED_AT_ONCE}"))
-            .applyInArrow(_merger(window, open_windows, groups <= 1), SCHEMA)
+            .applyInArrow(_merger(window, open_windows, level, groups <= 1), SCHEMA)
         )
         tables.append(scratch.write(merged))
         parts = groups
