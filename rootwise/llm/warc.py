@@ -64,13 +64,15 @@ def warc_records(pages: DataFrame) -> DataFrame:
         F.octet_length(payload).alias("size"),
         F.sha2(payload, 256).alias("digest"),
     )
-    firsts = (
+    shared = (
         rows.where(F.col("size") >= REVISIT_FROM)
         .groupBy(F.col("digest").alias("same"))
         .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .drop("n")
     )
+    # Written first, so that the planner knows its size: payloads are shuffled only if it is large.
+    firsts = Scratch(pages.sparkSession, "payloads").write(shared).df
     rows = rows.join(firsts, (F.col("digest") == F.col("same")) & (F.col("page_id") > F.col("first")), "left")
     revisit = F.col("first").isNotNull()
     http = F.concat(
