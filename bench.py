@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -41,6 +42,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"{tempfile.gettempdir()}/rootwise-shared")
         # Loops bring back the same few plans: keep their compiled code.
         .config("spark.sql.codegen.cache.maxEntries", "5000")
         .getOrCreate()

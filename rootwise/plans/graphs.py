@@ -94,6 +94,24 @@ def line_formulas(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def extreme_formulas(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts beyond the range of an argument, NaN or infinite, and a formula on top of each."""
+    size = F.col("p_size").cast("string")
+    kind = F.col("p_partkey") % 5
+    text = (
+        F.when(kind == 0, F.concat(size, F.lit(" * 900000000")))
+        .when(kind == 1, F.concat(size, F.lit(" * -900000000")))
+        .when(kind == 2, "0 / 0")
+        .when(kind == 3, F.concat(size, F.lit(" / 0")))
+        .otherwise("-1 / 0")
+    )
+    above = F.concat(F.lit("item("), F.col("id"), F.lit(") + 1"))
+    parts = formula_table(spark, folder, text)
+    return parts.unionByName(
+        parts.select(F.concat(F.lit("Q"), F.substring("id", 2, 30)).alias("id"), "name", above.alias("formula"), "value")
+    )
+
+
 def sum_edges(spark: SparkSession, folder: str) -> DataFrame:
     """The references of :func:`sum_formulas` as weighted edges."""
     part = table(spark, folder, "part").where("p_partkey >= 2")

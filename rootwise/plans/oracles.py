@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from rootwise.sources.generators import degree_sql
+
 _FORMULAS = """
     SELECT 'P' || p_partkey AS id, p_name AS name,
            CASE WHEN p_partkey >= 2
@@ -138,6 +140,22 @@ _RINGS = """
                arg_max('P' || here, step) AS root
         FROM walk JOIN levels ON levels.k = walk.k WHERE step < level GROUP BY walk.k, level)"""
 
+def _log_normal(seed: int, count: str) -> str:
+    """``links(src, dst)`` over all parts; ``count`` is a scalar SQL expression."""
+    def draw(text: str) -> str:
+        return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)"
+
+    return f"""
+    sizes AS (SELECT {count} AS count),
+    drawn AS (SELECT p_partkey AS src, {draw(f"'{seed}-degree-' || p_partkey")} AS draw FROM part),
+    degrees AS (
+        SELECT src, CAST({degree_sql("draw", "count")} AS INTEGER) AS degree
+        FROM drawn, sizes),
+    outs AS (SELECT src, unnest(range(1, degree + 1)) AS nth FROM degrees WHERE degree > 0),
+    links AS (
+        SELECT src, {draw(f"'{seed}-target-' || src || '-' || nth")} % (SELECT count FROM sizes) AS dst FROM outs)"""
+
+
 ORACLES = {
     "formula_vertices": f"{_FORMULAS} UNION ALL SELECT 'r00t', 'root', '', 0",
     "formula_edges": f"SELECT 'P' || dst AS dst, 'P' || src AS src FROM ({_SUM_LINKS})",
@@ -309,4 +327,89 @@ ORACLES = {
         WITH RECURSIVE {_SUM_DEPTH}
         SELECT 'P' || k AS id, depth FROM depths UNION ALL SELECT 'r00t', 0""",
     "propagated_distance": _SHORTEST,
+    "log_normal_graph": f"""
+        WITH {_log_normal(7, "(SELECT count(*) FROM part)")}
+        SELECT src, dst, CAST(1 AS DOUBLE) AS weight FROM links""",
+    # No part is more than 16 hops away: degrees are about 50, so hops grow with the logarithm.
+    "log_normal_distances": f"""
+        WITH RECURSIVE {_log_normal(7, "(SELECT count(*) FROM part)")},
+        pairs AS (SELECT DISTINCT src, dst FROM links),
+        walk(k, hops) AS (
+            SELECT CAST(42 AS BIGINT), 0
+            UNION
+            SELECT pairs.dst, hops + 1 FROM walk JOIN pairs ON pairs.src = walk.k WHERE hops < 16)
+        SELECT p_partkey AS id, CAST(min(hops) AS DOUBLE) AS distance
+        FROM part LEFT JOIN walk ON k = p_partkey GROUP BY p_partkey""",
+    "cycle_vertices": f"""
+        WITH RECURSIVE {_BLOCK_GROUPS}
+        SELECT cycle_id, 'P' || k AS id, p_name AS name, p_retailprice AS value
+        FROM members JOIN part ON p_partkey = k""",
+    "cycle_affected_any": f"""
+        WITH RECURSIVE {_BLOCK_AFFECTED}
+        SELECT 'P' || p_partkey AS id, p_name AS name, p_retailprice AS value
+        FROM part WHERE p_partkey IN (SELECT k FROM affected)""",
+    "formula_args_text": f"""
+        WITH RECURSIVE {_SUM_VALUES},
+        args AS (
+            SELECT dst AS k, 'P' || src AS arg, CAST(v AS BIGINT) AS v FROM ({_SUM_LINKS}) JOIN vals ON vals.k = src
+            UNION ALL SELECT p_partkey, 'r00t', 0 FROM part WHERE p_partkey < 2)
+        SELECT 'P' || k AS id, '{{' || string_agg('"' || arg || '":' || v || '.0', ',' ORDER BY arg) || '}}' AS args
+        FROM args GROUP BY k
+        UNION ALL SELECT 'r00t', '{{}}'""",
+    "region_hops_text": """
+        WITH hops AS (
+            SELECT 'R' || r_regionkey AS id, 'R' || r_regionkey AS landmark, 0 AS distance FROM region
+            UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey, 1 FROM nation
+            UNION ALL SELECT 'C' || c_custkey, 'R' || n_regionkey, 2 FROM customer JOIN nation ON n_nationkey = c_nationkey
+            UNION ALL SELECT 'S' || s_suppkey, 'R' || n_regionkey, 2 FROM supplier JOIN nation ON n_nationkey = s_nationkey
+            UNION ALL SELECT DISTINCT 'P' || l_partkey, 'R' || n_regionkey, 3
+            FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey)
+        SELECT id, '{' || string_agg('"' || landmark || '":' || distance, ',' ORDER BY landmark) || '}' AS distances
+        FROM hops GROUP BY id""",
+    "supply_hierarchy": """
+        WITH above AS (SELECT l_partkey AS k, min('S' || l_suppkey) AS parent FROM lineitem GROUP BY l_partkey),
+        kept AS (SELECT DISTINCT parent FROM above)
+        SELECT 'S' || s_suppkey AS id, CAST(1 AS INTEGER) AS level, s_name AS root, '/S' || s_suppkey AS path,
+               CAST(0 AS INTEGER) AS iscyclic,
+               CAST(CASE WHEN 'S' || s_suppkey IN (SELECT parent FROM kept) THEN 0 ELSE 1 END AS INTEGER) AS isleaf
+        FROM supplier
+        UNION ALL
+        SELECT 'P' || p_partkey, CASE WHEN parent IS NULL THEN 1 ELSE 2 END, coalesce(s_name, p_name),
+               CASE WHEN parent IS NULL THEN '' ELSE '/' || parent END || '/P' || p_partkey, 0, 1
+        FROM part LEFT JOIN above ON k = p_partkey LEFT JOIN supplier ON 'S' || s_suppkey = parent""",
+    "orphaned_hierarchy": """
+        SELECT 'C' || c_custkey AS id, CAST(1 AS INTEGER) AS level, 'C' || c_custkey AS root,
+               '/C' || c_custkey AS path, CAST(0 AS INTEGER) AS iscyclic,
+               CAST(CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 0 ELSE 1 END AS INTEGER) AS isleaf
+        FROM customer WHERE c_custkey % 3 <> 0
+        UNION ALL
+        SELECT 'O' || o_orderkey, CASE WHEN o_custkey % 3 <> 0 THEN 2 ELSE 1 END,
+               CASE WHEN o_custkey % 3 <> 0 THEN 'C' || o_custkey ELSE 'O' || o_orderkey END,
+               CASE WHEN o_custkey % 3 <> 0 THEN '/C' || o_custkey ELSE '' END || '/O' || o_orderkey, 0, 1
+        FROM orders""",
+    "formula_values_extreme": """
+        WITH calc AS (
+            SELECT p_partkey AS k, p_size AS s, p_partkey % 5 AS kind FROM part),
+        base AS (
+            SELECT k, s, kind,
+                   CASE kind WHEN 0 THEN CAST(s AS FLOAT) * CAST(900000000 AS FLOAT)
+                             WHEN 1 THEN CAST(s AS FLOAT) * CAST(-900000000 AS FLOAT)
+                             WHEN 2 THEN CAST('nan' AS FLOAT)
+                             WHEN 3 THEN CAST('inf' AS FLOAT)
+                             ELSE CAST('-inf' AS FLOAT) END AS v
+            FROM calc),
+        texts AS (
+            SELECT k, v,
+                   CASE kind WHEN 0 THEN s || ' * 900000000' WHEN 1 THEN s || ' * -900000000'
+                             WHEN 2 THEN '0 / 0' WHEN 3 THEN s || ' / 0' ELSE '-1 / 0' END AS formula,
+                   CASE WHEN isnan(v) THEN '0' WHEN v = CAST('inf' AS FLOAT) THEN NULL
+                        WHEN v >= 2147483647 THEN '2147483647' WHEN v <= -2147483648 THEN '-2147483648'
+                        ELSE CAST(CAST(trunc(CAST(v AS DOUBLE)) AS BIGINT) AS VARCHAR) END AS sent
+            FROM base)
+        SELECT 'P' || k AS id, formula, CAST(1 AS INTEGER) AS depth, CAST(v AS DOUBLE) AS value, 'ok' AS status FROM texts
+        UNION ALL
+        SELECT 'Q' || k, coalesce(sent, 'item(P' || k || ')') || ' + 1', 2,
+               CAST(CAST(sent AS FLOAT) + CAST(1 AS FLOAT) AS DOUBLE), CASE WHEN sent IS NULL THEN 'blocked' ELSE 'ok' END
+        FROM texts
+        UNION ALL SELECT 'r00t', '', 0, 0.0, 'ok'""",
 }

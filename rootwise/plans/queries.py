@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 from rootwise.functions.arith import evaluate_expressions
 from rootwise.model import FormulaGraph
 from rootwise.operators.build import add_root, formula_graph, reference_edges, root_edges
-from rootwise.operators.cycles import cycle_affected, cycle_groups, self_loops
+from rootwise.operators.cycles import (
+    affected_by_any,
+    cycle_affected,
+    cycle_groups,
+    self_loops,
+    with_vertices,
+)
 from rootwise.operators.depth import depth_from_root
-from rootwise.operators.evaluate import evaluate_formulas, formula_args
+from rootwise.operators.evaluate import evaluate_formulas, formula_args, with_args_map
 from rootwise.operators.hierarchy import hierarchy_columns, with_hierarchy
 from rootwise.operators.paths import (
+    distance_maps,
     hop_distances,
     reachable_subgraph,
     shortest_distances,
@@ -108,6 +115,18 @@ def cycle_affected_edges(spark, folder):
     return _affected(spark, folder).edges
 
 
+def cycle_vertices(spark, folder):
+    """The vertices of every cycle group, with their columns."""
+    graph = graphs.block_graph(spark, folder)
+    return with_vertices(graph, cycle_groups(graph).members)
+
+
+def cycle_affected_any(spark, folder):
+    """All vertices that some cycle affects."""
+    graph = graphs.block_graph(spark, folder)
+    return affected_by_any(graph, cycle_groups(graph)).vertices
+
+
 def formula_depth(spark, folder):
     return depth_from_root(formula_graph(graphs.sum_formulas(spark, folder)))
 
@@ -138,6 +157,27 @@ def formula_arguments(spark, folder):
     return formula_args(graph, evaluate_formulas(graph))
 
 
+def formula_args_text(spark, folder):
+    """The arguments of every formula as one JSON text, sorted by id."""
+    graph = formula_graph(graphs.sum_formulas(spark, folder))
+    evaluated = evaluate_formulas(graph)
+    mapped = with_args_map(evaluated, formula_args(graph, evaluated))
+    return mapped.select("id", _sorted_json("args").alias("args"))
+
+
+def region_hops_text(spark, folder):
+    """Hop distances as one JSON text per vertex, sorted by landmark."""
+    return distance_maps(region_hops(spark, folder)).select("id", _sorted_json("distances").alias("distances"))
+
+
+def _sorted_json(column):
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(column))))
+
+
+def formula_values_extreme(spark, folder):
+    return evaluate_formulas(formula_graph(graphs.extreme_formulas(spark, folder)))
+
+
 def expression_values(spark, folder):
     """A price expression per order line, in two spellings."""
     line = graphs.table(spark, folder, "lineitem")
@@ -164,6 +204,16 @@ def sales_hierarchy(spark, folder):
     return hierarchy_columns(*graphs.sales_hierarchy(spark, folder))
 
 
+def supply_hierarchy(spark, folder):
+    """Parts with several suppliers, under the smallest."""
+    return hierarchy_columns(*graphs.supply_tree(spark, folder), multi_parent="min")
+
+
+def orphaned_hierarchy(spark, folder):
+    """Orders whose customer is unknown, on top by themselves."""
+    return hierarchy_columns(*graphs.orphaned_orders(spark, folder), orphan="root")
+
+
 def part_hierarchy(spark, folder):
     tree = graphs.part_tree(spark, folder)
     return with_hierarchy(tree, "part_id", "parent_id", F.col("p_name"), F.col("part_id"))
@@ -241,6 +291,8 @@ QUERIES = {
         cycle_edges,
         cycle_affected_vertices,
         cycle_affected_edges,
+        cycle_vertices,
+        cycle_affected_any,
         formula_depth,
         formula_depth_faulty,
         formula_values,
@@ -248,8 +300,13 @@ QUERIES = {
         formula_values_lines,
         formula_status,
         formula_arguments,
+        formula_args_text,
+        region_hops_text,
+        formula_values_extreme,
         expression_values,
         sales_hierarchy,
+        supply_hierarchy,
+        orphaned_hierarchy,
         part_hierarchy,
         cyclic_hierarchy,
         propagated_depth,

@@ -22,18 +22,22 @@ def log_normal_edges(
 ) -> DataFrame:
     """``(src, dst, weight)`` over ``vertices(id)`` numbered ``0 .. count-1``.
 
-    Out-degrees are log-normal, drawn again until below ``count``; targets are uniform, so
-    repeats and self-loops occur. All draws are hashes of the vertex, the draw's number and
-    ``seed``: the graph is the same however the rows are partitioned or recomputed.
+    Out-degrees are whole parts of log-normal numbers, conditional on being below ``count``; targets are
+    uniform, so repeats and self-loops occur. All draws are MD5 sums of the seed, the vertex and
+    the draw's number: the graph is the same however the rows are partitioned or recomputed,
+    and other engines can draw it too.
     """
-    degrees = vertices.select("id", _degree(count, mu, sigma, seed).alias("degree"))
-    return degrees.select(
-        F.col("id").alias("src"), F.explode(F.sequence(F.lit(1), "degree")).alias("nth")
-    ).select(
-        "src",
-        F.pmod(F.xxhash64(F.lit(seed), F.lit("target"), "src", "nth"), F.lit(count)).alias("dst"),
-        F.lit(weight).alias("weight"),
-    ) if count > 1 else _no_edges(vertices, weight)
+    if count < 1:
+        raise ValueError("count is the number of vertices")
+    draw = _draw(F.lit(f"{seed}-degree-"), F.col("id").cast("string"))
+    target = _draw(F.lit(f"{seed}-target-"), F.col("src").cast("string"), F.lit("-"), F.col("nth").cast("string"))
+    return (
+        vertices.select("id", draw.alias("draw"))
+        .select("id", F.expr(degree_sql("draw", str(count), mu, sigma)).cast("int").alias("degree"))
+        .where("degree > 0")
+        .select(F.col("id").alias("src"), F.explode(F.sequence(F.lit(1), F.col("degree"))).alias("nth"))
+        .select("src", F.pmod(target, F.lit(count)).alias("dst"), F.lit(weight).alias("weight"))
+    )
 
 
 def log_normal_graph(spark: SparkSession, num_vertices: int, **options) -> tuple[DataFrame, DataFrame]:
@@ -42,30 +46,59 @@ def log_normal_graph(spark: SparkSession, num_vertices: int, **options) -> tuple
     return vertices, log_normal_edges(vertices, num_vertices, **options)
 
 
-def _no_edges(vertices: DataFrame, weight: float) -> DataFrame:
-    empty = vertices.where(F.lit(False))
-    return empty.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(weight).alias("weight"))
+DRAWS = 1 << 52  # a draw is a whole number below this
 
+# The coefficients of a well-known rational approximation of the normal quantile.
+_A = (-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.3577518672690, -30.66479806614716, 2.506628277459239)
+_B = (-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0)
+_C = (-0.007784894002430293, -0.3223964580411365, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783)
+_D = (0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416, 1.0)
+_TAIL = 0.02425
+# The same for the normal share: highest power first, without the constant term.
+_E = (1.330274429, -1.821255978, 1.781477937, -0.356563782, 0.319381530)
 
-def _uniform(*parts: Column) -> Column:
-    """A number in (0, 1) from a hash."""
-    top = F.shiftrightunsigned(F.xxhash64(*parts), 11)
-    return (top + F.lit(0.5)) / F.lit(float(2**53))
 
+def _draw(*parts: Column) -> Column:
+    """A whole number from the first 13 hex digits of an MD5 sum."""
+    return F.conv(F.substring(F.md5(F.concat(*parts).cast("binary")), 1, 13), 16, 10).cast("long")
 
-def _degree(count: int, mu: float, sigma: float, seed: int) -> Column:
-    """The first log-normal draw below ``count``.
 
-    As many draws are tried as make it all but impossible (1e-18) that each is too large.
-    """
-    over = 0.5 * math.erfc((math.log(count) - mu) / (sigma * math.sqrt(2)))
-    tries = 1 if over <= 0 else max(1, math.ceil(-18 * math.log(10) / math.log(min(over, 1 - 1e-9))))
+def _double(number: float) -> str:
+    return f"cast({number!r} as double)"
+
+
+def _polynomial(coefficients: tuple[float, ...], x: str) -> str:
+    text = _double(coefficients[0])
+    for coefficient in coefficients[1:]:
+        text = f"({text} * {x} + {_double(coefficient)})"
+    return text
+
+
+def normal_quantile_sql(p: str) -> str:
+    """The number that a standard normal one is below with probability ``p``, as SQL."""
+    q, r = f"({p} - 0.5)", f"(({p} - 0.5) * ({p} - 0.5))"
+    low, high = f"sqrt(-2 * ln({p}))", f"sqrt(-2 * ln(1 - {p}))"
+    return (
+        f"CASE WHEN {p} < {_TAIL} THEN {_polynomial(_C, low)} / {_polynomial(_D, low)} "
+        f"WHEN {p} > {1 - _TAIL} THEN -{_polynomial(_C, high)} / {_polynomial(_D, high)} "
+        f"ELSE {_polynomial(_A, r)} * {q} / {_polynomial(_B, r)} END"
+    )
 
-    def draw(nth: Column) -> Column:
-        first = _uniform(F.lit(seed), F.lit("radius"), F.col("id"), nth)
-        second = _uniform(F.lit(seed), F.lit("angle"), F.col("id"), nth)
-        normal = F.sqrt(-2 * F.log(first)) * F.cos(2 * math.pi * second)
-        return F.floor(F.exp(mu + sigma * normal))
 
-    draws = F.transform(F.sequence(F.lit(1), F.lit(tries)), draw)
-    return F.coalesce(F.get(F.filter(draws, lambda d: d < count), F.lit(0)), F.lit(0)).cast("int")
+def normal_share_sql(x: str) -> str:
+    """The probability that a standard normal number is below ``x``, as SQL, to seven digits."""
+    t = f"(1 / (1 + {_double(0.2316419)} * abs({x})))"
+    above = f"exp(-({x}) * ({x}) / 2) * {_double(1 / math.sqrt(2 * math.pi))} * {_polynomial(_E, t)} * {t}"
+    return f"CASE WHEN {x} < 0 THEN {above} ELSE 1 - {above} END"
+
+
+def degree_sql(draw: str, count: str, mu: float = MU, sigma: float = SIGMA) -> str:
+    """A log-normal degree below ``count`` from a draw, as SQL over two columns.
+
+    The draw is a quantile of the part of the distribution below ``count``, so none is
+    too large and none has to be drawn again.
+    """
+    below = normal_share_sql(f"((ln({count}) - {_double(mu)}) / {_double(sigma)})")
+    p = f"(({draw} + 0.5) / {_double(float(DRAWS))} * ({below}))"
+    normal = normal_quantile_sql(p)
+    return f"least({count} - 1, floor(exp({_double(mu)} + {_double(sigma)} * ({normal}))))"
