@@ -120,7 +120,30 @@ select page_id, payload_bytes, payload_digest,
 from firsts
 """
 
+JACCARD_SQL = r"""
+with recursive split as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents),
+sets as (
+    select distinct doc_id, array_to_string(w[i:i + 2], ' ') as shingle
+    from split, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as u(i) where len(w) > 0),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+shared as (
+    select x.doc_id as a, y.doc_id as b, count(*) as common
+    from sets x join sets y on x.shingle = y.shingle and x.doc_id < y.doc_id group by x.doc_id, y.doc_id),
+links as (
+    select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+    where 100 * common >= 90 * (p.n + q.n - common)),
+ways as (select a, b from links union all select b, a from links),
+reached(doc_id, other) as (
+    select a, b from ways union select r.doc_id, w.b from reached r join ways w on w.a = r.other)
+select s.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, least(s.doc_id, coalesce(min(other), s.doc_id)) as component_id
+from split s left join sizes z on z.doc_id = s.doc_id left join reached r on r.doc_id = s.doc_id group by s.doc_id
+"""
+
 OPERATOR_ORACLES = {
+    "op3_jaccard_join": JACCARD_SQL,
     "op1_decontaminate": DECONTAMINATION_SQL,
     "op2_license_scan": license_sql(),
     "op4_balanced_shards": SHARDING_SQL,
