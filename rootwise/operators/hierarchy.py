@@ -129,7 +129,9 @@ def _descend(scratch, nodes: RoundTable, first: RoundTable, separator: str) -> l
     """``first`` and all levels below it, one join each."""
     levels, last = [first], first
     while last.rows:
-        last = scratch.write(_below(nodes.df, last.df, separator))
+        below = scratch.write(_below(nodes.df, last.df, separator))
+        scratch.drop_unless(levels, last)
+        last = below
         levels.append(last)
         if len(levels) > MERGE_EVERY:
             merged = scratch.write(scratch.scan(levels))

@@ -55,23 +55,21 @@ def peel(
     total = start_rows
     live = edges
     spent = 0
-    fresh = start
-    fresh_rows = start_rows
-    previous = None
+    fresh, fresh_rows = start, start_rows
+    newest = None
     while fresh_rows:
         table = scratch.write(
             _round(live.df, fresh, waiting, root_id),
             finished=F.count_if("finished"),
             spent=F.sum(F.when(F.col("finished"), F.col("got")).otherwise(0)),
         )
-        if previous is not None:
-            scratch.drop(previous)  # its waiting rows are in the new table
-        layer = scratch.write(table.df.where("finished").select("id", "depth"))
-        previous = table
-        fresh, fresh_rows = layer.df, layer.rows
+        if newest is not None:
+            scratch.drop_unless(layers, newest)
+        newest = table
+        fresh, fresh_rows = table.df.where("finished").select("id", "depth"), table.counts["finished"]
         waiting = table.df.where("not finished").drop("finished")
-        layers.append(layer)
-        total += layer.rows
+        layers.append(table)
+        total += fresh_rows
         spent += table.counts["spent"]
         if 2 * spent > live.rows:
             # Half of the edges lead to finished vertices: go on without them.
@@ -81,14 +79,16 @@ def peel(
                 scratch.drop(live)
             live, spent = rest, 0
         if len(layers) > MERGE_EVERY:
-            merged = scratch.write(scratch.scan(layers))
+            merged = scratch.write(scratch.scan(layers).where("finished"))
             scratch.drop(*layers[:-1])
             layers = [merged]
     return Peeled(_finished(scratch, start, layers), waiting, total)
 
 
 def _finished(scratch: Scratch, start: DataFrame, layers: list[RoundTable]) -> DataFrame:
-    return start.unionByName(scratch.scan(layers)) if layers else start
+    if not layers:
+        return start
+    return start.unionByName(scratch.scan(layers).where("finished").select("id", "depth"))
 
 
 def _round(live: DataFrame, fresh: DataFrame, waiting: DataFrame | None, root_id) -> DataFrame:

@@ -79,6 +79,7 @@ def propagate(
         )
         inbox = sent.groupBy("id").agg(*[merge[name](F.col(name)).alias(name) for name in message])
         inbox = scratch.write(inbox.select("id", F.struct(*message).alias("msg")))
+        scratch.drop_unless(known, changed)
         if not inbox.rows:
             break
         old = _latest(scratch, known, inbox.df.select("id"), names).select("id", F.struct(*names).alias("old"))

@@ -3,8 +3,9 @@
 Reachability, hop counts, weighted distances and component colours are all this: each
 round joins only the rows that improved with the edges, takes the minimum per target,
 and keeps what beats the value known so far. Known values are an append-only list of
-round tables. What a round tries is written before it meets them: the planner then knows
-its size, and known rows are neither sorted nor shuffled for a round of few.
+round tables. A round goes a fixed number of edges far, which share one shuffle of the edges where
+one is needed. What it tries is written before it meets the known rows: the planner then
+knows its size, and known rows are neither sorted nor shuffled for a round of few.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from rootwise.scratch import RoundTable, Scratch
 
+# Edges that a round goes far. A row may be looked at again for nothing inside a round only.
+HOPS = 3
 # Round tables to pile up before they are merged into one.
 MERGE_EVERY = 24
 
@@ -35,26 +38,47 @@ def spread_min(
     """
     keys = ["id", *labels]
     first = scratch.write(seeds.groupBy(*keys).agg(F.min("val").alias("val")))
-    kind = first.schema["val"].dataType
-    known, fresh = [first], first
-    while fresh.rows:
-        moved = edges.join(fresh.df.withColumnRenamed("id", "src"), "src").select(
-            F.col("dst").alias("id"), *labels, F.expr(step).cast(kind).alias("val")
-        )
-        tried = scratch.write(moved.groupBy(*keys).agg(F.min("val").alias("val")))
+    known, newest = [first], first
+    fresh, fresh_rows = first.df, first.rows
+    while fresh_rows:
+        tried = scratch.write(_hops(edges, fresh.select(*keys, "val"), step, labels))
+        scratch.drop_unless(known, newest)
         if not tried.rows:
+            scratch.drop(tried)
             break
-        rows = scratch.scan(known).join(tried.df.select(*keys), keys, "left_semi")
+        rows = scratch.scan(known).select(*keys, "val").join(tried.df.select(*keys), keys, "left_semi")
         best = _best(rows, keys, settled).withColumnRenamed("val", "old")
         better = tried.df.join(best, keys, "left").where("old IS NULL OR val < old")
-        fresh = scratch.write(better.select(*keys, "val"))
+        newest = scratch.write(better.select(*keys, "val", "fresh"), fresh=F.count_if("fresh"))
         scratch.drop(tried)
-        known.append(fresh)
+        fresh, fresh_rows = newest.df.where("fresh"), newest.counts["fresh"]
+        known.append(newest)
         if len(known) > MERGE_EVERY:
-            merged = scratch.write(_best(scratch.scan(known), keys, settled))
+            merged = scratch.write(_best(scratch.scan(known).select(*keys, "val"), keys, settled))
             scratch.drop(*known[:-1])
             known = [merged]
-    return _best(scratch.scan(known), keys, settled)
+    return _best(scratch.scan(known).select(*keys, "val"), keys, settled)
+
+
+def _hops(edges: DataFrame, fresh: DataFrame, step: str, labels: tuple[str, ...]) -> DataFrame:
+    """What ``fresh`` gives the vertices up to ``HOPS`` edges on.
+
+    ``fresh`` is then true for rows that got their value from the last edge: theirs are still to go.
+    """
+    keys = ["id", *labels]
+    kind = fresh.schema["val"].dataType
+    out = None
+    for hop in range(1, HOPS + 1):
+        moved = edges.join(fresh.withColumnRenamed("id", "src"), "src").select(
+            F.col("dst").alias("id"), *labels, F.expr(step).cast(kind).alias("val")
+        )
+        fresh = moved.groupBy(*keys).agg(F.min("val").alias("val"))
+        tagged = fresh.withColumn("last", F.lit(hop == HOPS))
+        out = tagged if out is None else out.unionByName(tagged)
+    early, late = (F.min(F.when(F.col("last") == last, F.col("val"))) for last in (False, True))
+    least = out.groupBy(*keys).agg(early.alias("early"), late.alias("late"))
+    going = F.col("early").isNull() | (F.col("late") < F.col("early"))
+    return least.select(*keys, F.least("early", "late").alias("val"), F.coalesce(going, F.lit(False)).alias("fresh"))
 
 
 def _best(rows: DataFrame, keys: list[str], settled: bool) -> DataFrame:

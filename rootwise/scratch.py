@@ -83,6 +83,11 @@ class Scratch:
         for table in tables:
             _delete(self.spark, table.path)
 
+    def drop_unless(self, kept: list[RoundTable], table: RoundTable) -> None:
+        """Delete ``table`` if it has been merged into another: it is not among ``kept``."""
+        if all(table is not other for other in kept):
+            self.drop(table)
+
 
 def clear_round_tables(spark: SparkSession) -> None:
     """Delete this application's round tables.
