@@ -35,7 +35,8 @@ def propagate(
       ends. It is sent where ``send_if`` holds, to the ``send_to`` end.
     - ``merge``: the aggregate that joins the messages for one vertex, such as ``F.max``.
     - ``update``: new state of a vertex that got messages, from ``old.<state>`` and
-      ``msg.<message>``; state columns it leaves out keep their value.
+      ``msg.<message>``; state columns it leaves out keep their value. A state column keeps
+      the type it begins with.
 
     In the first round every vertex is active, later those that just got a message.
     ``active="out"`` looks at edges out of an active vertex, ``"any"`` at edges with an
@@ -52,6 +53,7 @@ def propagate(
     links = scratch.write(edges.select("src", "dst", F.struct(*edges.columns).alias("edge"))).df
     started = vertices.select("id", *[column.alias(name) for name, column in state.items()], F.lit(0).alias("round"))
     changed = scratch.write(started)
+    kinds = {name: changed.schema[name].dataType for name in names}
     known = [changed]
     needs_target = reads_target or active == "any"
     rounds = 0
@@ -85,7 +87,7 @@ def propagate(
         old = _latest(scratch, known, inbox.df.select("id"), names).select("id", F.struct(*names).alias("old"))
         following = inbox.df.join(old, "id").select(
             "id",
-            *[(update[name] if name in update else F.col(f"old.{name}")).alias(name) for name in names],
+            *[update.get(name, F.col(f"old.{name}")).cast(kinds[name]).alias(name) for name in names],
             F.lit(rounds).alias("round"),
         )
         changed = scratch.write(following)
