@@ -160,6 +160,10 @@ ORACLES = {
     "formula_vertices": f"{_FORMULAS} UNION ALL SELECT 'r00t', 'root', '', 0",
     "formula_edges": f"SELECT 'P' || dst AS dst, 'P' || src AS src FROM ({_SUM_LINKS})",
     "formula_root_edges": "SELECT 'P' || p_partkey AS dst, 'r00t' AS src FROM part WHERE p_partkey < 2",
+    "named_views": f"""
+        SELECT 'P' || p_partkey AS id, CASE WHEN p_partkey < 2 THEN 1 ELSE count(src) END AS parents
+        FROM part LEFT JOIN ({_SUM_LINKS}) ON dst = p_partkey GROUP BY p_partkey
+        UNION ALL SELECT 'r00t', 0""",
     "graph_problems": """
         SELECT CASE WHEN v > 1 THEN 'duplicate_id' ELSE 'dangling_end' END AS problem, id,
                CAST(CASE WHEN v > 1 THEN v ELSE e END AS BIGINT) AS n

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from rootwise.functions.arith import evaluate_expressions
 from rootwise.model import FormulaGraph
-from rootwise.operators.build import add_root, formula_graph, reference_edges, root_edges
+from rootwise.operators.build import (
+    add_root,
+    collect_edges,
+    formula_graph,
+    reference_edges,
+    root_edges,
+)
 from rootwise.operators.cycles import (
     affected_by_any,
     cycle_affected,
@@ -42,6 +48,17 @@ def formula_root_edges(spark, folder):
     return root_edges(formula_vertices(spark, folder))
 
 
+def named_views(spark, folder):
+    """The graph as views, joined and ordered in SQL."""
+    vertices = formula_vertices(spark, folder)
+    vertices.createOrReplaceTempView("formulas_vertices")
+    collect_edges(vertices).createOrReplaceTempView("formulas_edges")
+    return spark.sql("""
+        SELECT v.id, count(e.src) AS parents
+        FROM formulas_vertices v LEFT JOIN formulas_edges e ON e.dst = v.id
+        GROUP BY v.id ORDER BY parents DESC, v.id""")
+
+
 def graph_problems(spark, folder):
     """Order lines as vertices repeat an order; orders without lines dangle."""
     lines = graphs.table(spark, folder, "lineitem").select(graphs.tag("O", "l_orderkey").alias("id"))
@@ -277,6 +294,7 @@ QUERIES = {
         formula_vertices,
         formula_edges,
         formula_root_edges,
+        named_views,
         graph_problems,
         induced_subgraph_vertices,
         induced_subgraph_edges,
