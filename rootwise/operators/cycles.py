@@ -27,20 +27,17 @@ def strong_components(scratch: Scratch, edges: DataFrame) -> RoundTable | None:
     while live.rows:
         forth = live.df.select("src", "dst", F.lit(True).alias("forth"))
         back = live.df.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(False).alias("forth"))
-        both = scratch.write(
-            forth.unionByName(back).select(
-                F.struct("forth", F.col("src").alias("id")).alias("src"),
-                F.struct("forth", F.col("dst").alias("id")).alias("dst"),
-            )
+        both = forth.unionByName(back).select(
+            F.struct("forth", F.col("src").alias("id")).alias("src"),
+            F.struct("forth", F.col("dst").alias("id")).alias("dst"),
         )
-        seeds = both.df.select(F.explode(F.array("src", "dst")).alias("id")).select("id", F.col("id.id").alias("val"))
-        seen = spread_min(scratch, both.df, seeds, "val", settled=False)
+        seeds = both.select(F.explode(F.array("src", "dst")).alias("id")).select("id", F.col("id.id").alias("val"))
+        seen = spread_min(scratch, both, seeds, "val", settled=False)
         from_, to = (F.max(F.when(F.col("id.forth") == way, F.col("val"))) for way in (True, False))
         colours = scratch.write(
             seen.groupBy(F.col("id.id").alias("id")).agg(from_.alias("low"), to.alias("high"))
         )
-        scratch.drop(both)
-        found.append(scratch.write(colours.df.where("low = high").select(F.col("low").alias("cycle_id"), "id")))
+        found.append(colours)
         open_ = colours.df.where("low <> high")
         rest = (
             live.df.join(open_.toDF("src", "low", "high"), "src")
@@ -48,12 +45,12 @@ def strong_components(scratch: Scratch, edges: DataFrame) -> RoundTable | None:
             .select("src", "dst")
         )
         inside = scratch.write(rest)
-        scratch.drop(live, colours)
+        scratch.drop(live)
         live = inside
     if not found:
         return None
     # A vertex that is the smallest above and below it may be alone.
-    members = scratch.scan(found)
+    members = scratch.scan(found).where("low = high").select(F.col("low").alias("cycle_id"), "id")
     sizes = members.groupBy("cycle_id").count().where("count > 1").select("cycle_id")
     return scratch.write(members.join(sizes, "cycle_id", "left_semi"))
 
