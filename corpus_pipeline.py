@@ -28,8 +28,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that near copies link."""
-    return near_deduplicated(docs)
+    """One document of each group that near copies link: 0.8 or more of their shingles of 5 words."""
+    return near_deduplicated(docs, shingle=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,10 @@ cut into first-level partitions so many that one of them holds at most one
 difference; that one is cut into cells, and every subset that leaves out one cell is a
 signature. One of these subsets leaves out the difference, so linked sets share a signature.
 
+Below a similarity of 0.9 the cells would hold so few elements that unlike sets share them. There a
+set's signatures are its first elements in an order of all elements, common ones last: so
+many that the rest alone is too small for a link. Linked sets share one of these as well.
+
 Sets that share one are compared by parity sketches first: a sketch's distance is never
 more than the sets', so nothing linked is lost. What is left is checked exactly.
 """
@@ -28,6 +32,10 @@ from rootwise.scratch import RoundTable, Scratch
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE = 3
+PERCENT = 90
+PARTITIONED = 90  # similarity in percent from which on signatures are PartEnum's
+COMMON_IN_BATCH = 4  # sets of a batch that share an element from which on it is counted
+COMMON = 200_000  # common elements that every task holds
 SHARD_BYTES = 4 << 20
 SKETCH_BITS = 2048
 HOT_IN_BATCH = 64  # sets of one signature in a batch from which on it needs no detection
@@ -36,27 +44,32 @@ BLOCK = 1024  # sets compared with as many at once
 SETS = "class long, n_shingles long, sketch binary"
 
 
-def bands(largest: int) -> np.ndarray:
-    """Smallest size of each band, until past ``largest``; a band's sizes are within 10 to 9."""
+def bands(largest: int, percent: int = PERCENT) -> np.ndarray:
+    """Smallest size of each band, until past ``largest``; a band's sizes are within 100 to ``percent``."""
     low = [1]
     while low[-1] <= largest:
-        low.append(low[-1] * 10 // 9 + 1)
-    return np.array([*low, low[-1] * 10 // 9 + 1])
+        low.append(low[-1] * 100 // percent + 1)
+    return np.array([*low, low[-1] * 100 // percent + 1])
+
 
+def least_size(percent: int) -> int:
+    """The size from which on a set may link with one that is not equal."""
+    return -(-percent // (100 - percent))
 
-def may_link(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
-    """Whether sets of ``a`` and ``b`` elements that differ in ``distance`` reach 0.9."""
-    return 19 * distance <= a + b
+
+def may_link(a: np.ndarray, b: np.ndarray, distance: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether sets of ``a`` and ``b`` elements that differ in ``distance`` reach the similarity."""
+    return (100 + percent) * distance <= (100 - percent) * (a + b)
 
 
 # -- sets ------------------------------------------------------------------------------
 
 
-def _shingles(hashes: np.ndarray) -> np.ndarray:
+def _shingles(hashes: np.ndarray, shingle: int) -> np.ndarray:
     """The distinct shingles of one text's words, sorted; all its words as one if there are fewer."""
     if not len(hashes):
         return hashes
-    n = min(SHINGLE, len(hashes))
+    n = min(shingle, len(hashes))
     total = np.full(len(hashes) - n + 1, n, np.uint64)
     with np.errstate(over="ignore"):
         for j in range(n):
@@ -76,45 +89,48 @@ def _sketch(elements: np.ndarray) -> bytes:
     return np.packbits((count & 1).astype(np.uint8)).tobytes()
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     hasher = WordHasher.unbroken()
     for batch in shards(batches, "text", SHARD_BYTES):
         hashes, counts = hasher.words(batch.column("text"))
         cuts = np.concatenate([[0], np.cumsum(counts)])
-        yield batch, [_shingles(hashes[cuts[i] : cuts[i + 1]]) for i in range(len(counts))]
-
-
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, sets in _sets(batches):
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("text_hash"),
-                pa.array([_class(s) if len(s) else None for s in sets], pa.int64()),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([_sketch(s) if len(s) else None for s in sets], pa.binary()),
-            ],
-            names=["doc_id", "text_hash", "class", "n_shingles", "sketch"],
-        )
+        yield batch, [_shingles(hashes[cuts[i] : cuts[i + 1]], shingle) for i in range(len(counts))]
+
+
+def _describe(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in _sets(batches, shingle):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("text_hash"),
+                    pa.array([_class(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([_sketch(s) if len(s) else None for s in sets], pa.binary()),
+                ],
+                names=["doc_id", "text_hash", "class", "n_shingles", "sketch"],
+            )
+
+    return run
 
 
 # -- signatures ------------------------------------------------------------------------
 
 
-def signatures(elements: np.ndarray, low: np.ndarray) -> np.ndarray:
+def signatures(elements: np.ndarray, low: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The signatures of one sorted set, for its band with the next and with the one before.
 
     Cells are ranges of the hashed elements, so a cell's elements stand together.
     """
     size = len(elements)
-    if size < 9:  # smaller sets are linked with equal ones only
+    if size < least_size(percent):  # smaller sets are linked with equal ones only
         return np.empty(0, np.uint64)
     own = int(np.searchsorted(low, size, side="right")) - 1
     found = []
     with np.errstate(over="ignore"):
         upto = np.concatenate([[np.uint64(0)], np.cumsum(mix(elements ^ np.uint64(0xA5A5A5A5A5A5A5A5)))])
         for band in (own - 1, own):
-            most = (int(low[band + 1]) - 1 + int(low[band + 2]) - 1) // 19
+            most = (100 - percent) * (int(low[band + 1]) - 1 + int(low[band + 2]) - 1) // (100 + percent)
             first, cells = most // 2 + 1, 5 if most <= 8 else 3
             width = (1 << 64) // (first * cells) + 1
             edges = np.arange(1, first * cells, dtype=np.uint64) * np.uint64(width)
@@ -126,7 +142,53 @@ def signatures(elements: np.ndarray, low: np.ndarray) -> np.ndarray:
     return np.concatenate(found)
 
 
-def _signer(low: np.ndarray, parts: int):
+def prefix(elements: np.ndarray, common: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
+    """The elements of one sorted set that come first: those not common, then the least common.
+
+    ``common`` is sorted, and ``rank`` tells how common each is. Any order of all elements finds the same links.
+    """
+    size = len(elements)
+    if size < least_size(percent):
+        return np.empty(0, np.uint64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, elements), len(common) - 1)
+        elements = elements[np.argsort(np.where(common[at] == elements, rank[at], -1), kind="stable")]
+    return elements[: size - -(-percent * size // 100) + 1]
+
+
+def _common_counter(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sets in _sets(batches, shingle):
+            elements, n = np.unique(np.concatenate(sets or [np.empty(0, np.uint64)]), return_counts=True)
+            many = n >= COMMON_IN_BATCH
+            columns = [pa.array(elements[many].view(np.int64)), pa.array(n[many])]
+            yield pa.RecordBatch.from_arrays(columns, names=["element", "n"])
+
+    return run
+
+
+def _common(scratch: Scratch, docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most common elements, sorted, and the rank of each, from 0 for the least common."""
+    counted = docs.select("text").mapInArrow(_common_counter(shingle), "element long, n long")
+    counted = scratch.write(counted.groupBy("element").agg(F.sum("n").alias("n"))).df
+    # The least count at which no more than COMMON elements are left, from a histogram.
+    step = F.floor(F.log2("n") * 16)
+    histogram = counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("elements"), F.min("n").alias("least"))
+    room, least = COMMON, None
+    for row in sorted(histogram.collect(), reverse=True):
+        room -= row["elements"]
+        if room < 0:
+            break
+        least = row["least"]
+    most = counted.where(F.col("n") >= least if least is not None else F.lit(False)).toArrow()
+    elements = most["element"].to_numpy().view(np.uint64)
+    order = np.argsort(elements)
+    rank = np.empty(len(elements), np.int64)
+    rank[np.lexsort((elements, most["n"].to_numpy()))] = np.arange(len(elements))
+    return elements[order], rank[order]
+
+
+def _signer(signed, shingle: int, least: int, parts: int):
     """A task's function: blocks of ``(signature, class)`` for the tasks that look for shared ones.
 
     A signature that many sets of a batch share is known to be shared. Its sets go, marked
@@ -137,13 +199,13 @@ def _signer(low: np.ndarray, parts: int):
         seen: set[int] = set()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
-        for _, sets in _sets(batches):
+        for _, sets in _sets(batches, shingle):
             for elements in sets:
-                name = _class(elements) if len(elements) >= 9 else None
+                name = _class(elements) if len(elements) >= least else None
                 if name is None or name in seen:
                     continue
                 seen.add(name)
-                own = signatures(elements, low)
+                own = signed(elements)
                 held.append((own, np.full(len(own), name, np.int64)))
                 size += len(own)
             if len(seen) > 500_000:
@@ -206,7 +268,7 @@ def _shared(group: pa.Table) -> pa.Table:
 # -- candidates ------------------------------------------------------------------------
 
 
-def _candidates(every: bool):
+def _candidates(every: bool, percent: int):
     """Pairs of a group's buckets whose sketches allow a link.
 
     Either a spanning forest of them in each bucket, or every pair of different components.
@@ -226,7 +288,7 @@ def _candidates(every: bool):
         for start, end in zip(starts, np.append(starts[1:], len(name)), strict=True):
             own = slice(start, end)
             whole = unit[1, start] == unit[2, start]
-            near = _near(bits[own], size[own])
+            near = _near(bits[own], size[own], percent)
             if not whole:
                 near &= side[own][:, None] != side[own][None, :]
             near &= component[own][:, None] != component[own][None, :]
@@ -242,11 +304,11 @@ def _candidates(every: bool):
     return run
 
 
-def _near(bits: np.ndarray, size: np.ndarray) -> np.ndarray:
+def _near(bits: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
     near = np.zeros((len(size), len(size)), bool)
     for i in range(len(size)):
         distance = np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
-        near[i] = may_link(size, size[i], distance)
+        near[i] = may_link(size, size[i], distance, percent)
     np.fill_diagonal(near, False)
     return near
 
@@ -268,7 +330,9 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _compared(scratch: Scratch, members: DataFrame, sets: DataFrame, labels: DataFrame | None, rows: int) -> DataFrame:
+def _compared(
+    members: DataFrame, sets: DataFrame, labels: DataFrame | None, rows: int, percent: int
+) -> DataFrame:
     """Distinct candidate pairs ``(a, b)``; with ``labels``, all those of different components."""
     known = members.join(sets, "class")
     if labels is not None:
@@ -292,7 +356,7 @@ def _compared(scratch: Scratch, members: DataFrame, sets: DataFrame, labels: Dat
     pairs = (
         units.select("signature", "left", "right", "side", "class", "component", "n_shingles", "sketch", key.alias("g"))
         .groupBy("g")
-        .applyInArrow(_candidates(labels is not None), "a long, b long")
+        .applyInArrow(_candidates(labels is not None, percent), "a long, b long")
     )
     return pairs.distinct()
 
@@ -300,25 +364,33 @@ def _compared(scratch: Scratch, members: DataFrame, sets: DataFrame, labels: Dat
 # -- exact check -----------------------------------------------------------------------
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, sets in _sets(batches):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([_class(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-            names=["class", "elements"],
-        )
+def _elements(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, sets in _sets(batches, shingle):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_class(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                names=["class", "elements"],
+            )
 
+    return run
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for left, right in zip(batch.column("elements_a"), batch.column("elements_b"), strict=True):
-            a, b = np.frombuffer(left.as_py(), np.uint64), np.frombuffer(right.as_py(), np.uint64)
-            both = len(a) + len(b) - len(np.union1d(a, b))
-            keep.append(100 * both >= 90 * (len(a) + len(b) - both))
-        yield batch.select(["a", "b"]).append_column("linked", pa.array(keep, pa.bool_()))
 
+def _linked(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for left, right in zip(batch.column("elements_a"), batch.column("elements_b"), strict=True):
+                a, b = np.frombuffer(left.as_py(), np.uint64), np.frombuffer(right.as_py(), np.uint64)
+                both = len(a) + len(b) - len(np.union1d(a, b))
+                keep.append(100 * both >= percent * (len(a) + len(b) - both))
+            yield batch.select(["a", "b"]).append_column("linked", pa.array(keep, pa.bool_()))
 
-def _checked(scratch: Scratch, docs: DataFrame, sets: DataFrame, pairs: RoundTable) -> RoundTable:
+    return run
+
+
+def _checked(
+    scratch: Scratch, docs: DataFrame, sets: DataFrame, pairs: RoundTable, shingle: int, percent: int
+) -> RoundTable:
     """``(a, b, linked)`` for the pairs, by their whole sets. Only texts of sets in a pair are sent."""
     asked = pairs.df.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     wanted = sets.join(asked, "class").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
@@ -326,7 +398,7 @@ def _checked(scratch: Scratch, docs: DataFrame, sets: DataFrame, pairs: RoundTab
         wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")),
         "left_semi",
     )
-    elements = scratch.write(texts.select("text").mapInArrow(_elements, "class long, elements binary")).df
+    elements = scratch.write(texts.select("text").mapInArrow(_elements(shingle), "class long, elements binary")).df
     elements = elements.dropDuplicates(["class"])
     sides = pairs.df
     for side in ("a", "b"):
@@ -334,17 +406,17 @@ def _checked(scratch: Scratch, docs: DataFrame, sets: DataFrame, pairs: RoundTab
             elements.select(F.col("class").alias(side), F.col("elements").alias(f"elements_{side}")), side
         )
     columns = ["a", "b", "elements_a", "elements_b"]
-    return scratch.write(sides.select(columns).mapInArrow(_linked, "a long, b long, linked boolean"))
+    return scratch.write(sides.select(columns).mapInArrow(_linked(percent), "a long, b long, linked boolean"))
 
 
 # -- the join --------------------------------------------------------------------------
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, n_links)``, one row per row of ``docs``.
 
-    A text's set is its distinct shingles of 3 words, or all its words as one if it has fewer. Two
-    texts link when their sets' Jaccard similarity is 0.9 or more; ``component_id`` is the
+    A text's set is its distinct shingles of ``shingle`` words, or all its words as one if it has fewer. Two
+    texts link when their sets' Jaccard similarity is ``percent`` hundredths or more; ``component_id`` is the
     smallest ``doc_id`` that links reach. ``n_links`` counts the different sets that the check
     has linked with the row's; links inside a group already connected are not all counted. NULL,
     empty and blank texts have no set and link with nothing; ties and repeated rows share a set and so
@@ -356,7 +428,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     under the threshold takes time with its square, but only links leave the tasks.
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
-    rows, labels, links = _joined(scratch, docs)
+    rows, labels, links = _joined(scratch, docs, shingle, percent)
     firsts = (
         rows.where("class is not null")
         .groupBy("class")
@@ -377,33 +449,40 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_deduplicated(docs: DataFrame) -> DataFrame:
+def near_deduplicated(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of each group of :func:`near_groups`, that with the smallest id, with its own columns.
 
     Rows without a set or an id all stay; of rows that repeat the id that stays, all do.
     """
-    groups = near_groups(docs)
+    groups = near_groups(docs, shingle, percent)
     dropped = groups.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(dropped.hint("merge"), F.col("doc_id") == F.col("_id"), "left_anti")
 
 
-def _joined(scratch: Scratch, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _joined(
+    scratch: Scratch, docs: DataFrame, shingle: int, percent: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
     )
     described = scratch.write(
-        docs.mapInArrow(_describe, "doc_id long, text_hash long, " + SETS),
+        docs.mapInArrow(_describe(shingle), "doc_id long, text_hash long, " + SETS),
         elements=F.sum("n_shingles"),
         largest=F.max("n_shingles"),
     )
     rows = described.df
     first = F.min(F.struct("doc_id", "text_hash", "n_shingles", "sketch")).alias("first")
     sets = scratch.write(rows.where("class is not null").groupBy("class").agg(first).select("class", "first.*")).df
-    low = bands(described.counts["largest"])
-    parts = max(1, -(-int(described.counts["elements"] * 0.4 * 16) // GROUP_BYTES))
+    if percent >= PARTITIONED:
+        low = bands(described.counts["largest"], percent)
+        signed, each = (lambda elements: signatures(elements, low, percent)), 0.4
+    else:
+        common = docs.sparkSession.sparkContext.broadcast(_common(scratch, docs, shingle))
+        signed, each = (lambda elements: prefix(elements, *common.value, percent)), 1 - percent / 100
+    parts = max(1, -(-int(described.counts["elements"] * each * 16) // GROUP_BYTES))
     members = (
         docs.select("text")
-        .mapInArrow(_signer(low, parts), "part long, hot boolean, signatures binary, classes binary")
+        .mapInArrow(_signer(signed, shingle, least_size(percent), parts), "part long, hot boolean, signatures binary, classes binary")
         .groupBy("part")
         .applyInArrow(_shared, "signature long, class long")
         .distinct()
@@ -419,13 +498,13 @@ def _joined(scratch: Scratch, docs: DataFrame) -> tuple[DataFrame, DataFrame, Da
     members = scratch.write(members.join(buckets.select("signature", "members"), "signature"))
     some = sets.select("class", "n_shingles", "sketch")
 
-    pairs = scratch.write(_compared(scratch, members.df, some, None, members.rows))
-    checked = _checked(scratch, docs, sets, pairs)
+    pairs = scratch.write(_compared(members.df, some, None, members.rows, percent))
+    checked = _checked(scratch, docs, sets, pairs, shingle, percent)
     labels = components(scratch, checked.df.where("linked"))
-    left = _compared(scratch, members.df, some, labels, members.rows)
+    left = _compared(members.df, some, labels, members.rows, percent)
     more = scratch.write(left.join(checked.df, ["a", "b"], "left_anti"))
     if more.rows:
-        checked_more = _checked(scratch, docs, sets, more)
+        checked_more = _checked(scratch, docs, sets, more, shingle, percent)
         links = scratch.scan([checked, checked_more]).where("linked")
         labels = components(scratch, links)
     else:
