@@ -1,7 +1,7 @@
 """Language-model scores of whole documents.
 
 Words are counted over all training documents; the counts give the base score and the model's
-vocabulary, classes and first biases. The recurrent model then learns from a share of the
+vocabulary, classes and first biases. The recurrent model then learns from all
 training documents: each task trains a copy, and the copies are averaged round by round. Scoring
 runs over every text. Frequent words' counts travel to the tasks; a rare word's count
 is joined by the word, so no table grows with the corpus in any one place.
@@ -169,25 +169,20 @@ def train_model(
     scratch: Scratch,
     training: DataFrame,
     vocabulary: Vocabulary,
-    share: float = 1 / 16,
-    least_texts: int = 2000,
     rounds: int = 3,
     rate: float = 0.006,
 ) -> list[np.ndarray]:
-    """The model's parameters, learned from a fixed share of the training documents.
+    """The model's parameters, learned from all training documents.
 
-    The share is told by a hash of id and text; of small tables it is raised to about ``least_texts``
-    documents. Every text of it is used whole, in one of the rounds. What is learned from grows
-    with the corpus, and so do the copies; averages are formed 64 at a time.
+    Every text is used whole, in one of the rounds. The copies grow with the corpus; averages
+    are formed 64 at a time.
     """
     spark = training.sparkSession
     counts = vocabulary.id_counts()
     model = gru.Gru(counts).parameters()
-    share = min(1.0, max(share, least_texts / max(1, vocabulary.texts)))
-    told = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
-    some = training.where(told < int(share * 1_000_000)).select("text", F.pmod(F.xxhash64("text"), F.lit(rounds)).alias("round"))
+    texts = training.select("text", F.pmod(F.xxhash64("text"), F.lit(rounds)).alias("round"))
     shared = spark.sparkContext.broadcast(vocabulary)
-    encoded = scratch.write(some.mapInArrow(_encoder(shared), "ids binary, round long")).df
+    encoded = scratch.write(texts.mapInArrow(_encoder(shared), "ids binary, round long")).df
     for number in range(rounds):
         current = spark.sparkContext.broadcast(model)
         copies = scratch.write(
@@ -266,7 +261,7 @@ def _scorer(shared, model_shared):
     return run
 
 
-def lm_scores(docs: DataFrame, share: float = 1 / 16) -> DataFrame:
+def lm_scores(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row of ``docs``.
 
     Tokens are a text's words, ``A-Z`` in lower case, and one end; NULL and empty texts are the
@@ -282,7 +277,7 @@ def lm_scores(docs: DataFrame, share: float = 1 / 16) -> DataFrame:
     docs = docs.select("doc_id", held_out(7, 2).alias("held_out"), "text")
     training = docs.where("not held_out")
     vocabulary, rest = count_words(scratch, training)
-    model = train_model(scratch, training, vocabulary, share)
+    model = train_model(scratch, training, vocabulary)
     shared, model_shared = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(model)
     rows = scratch.write(docs.mapInArrow(_scorer(shared, model_shared), ROWS)).df
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
