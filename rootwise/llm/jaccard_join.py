@@ -427,6 +427,12 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     all sets of a bucket, 30 nanoseconds a pair: a group of very many near copies that are just
     under the threshold takes time with its square, but only links leave the tasks.
     """
+    grouped = _grouped(docs, shingle, percent)
+    return grouped.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The columns of :func:`near_groups` and ``text_hash``, which tells texts of one id apart."""
     scratch = Scratch(docs.sparkSession, "jaccard")
     rows, labels, links = _joined(scratch, docs, shingle, percent)
     firsts = (
@@ -443,6 +449,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     by_class = firsts.join(smallest, "component").join(degree, "class", "left").select("class", "component_id", "n")
     return rows.join(by_class, "class", "left").select(
         "doc_id",
+        "text_hash",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
@@ -452,18 +459,25 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
 def near_deduplicated(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of each group of :func:`near_groups`, that with the smallest id, with its own columns.
 
-    Rows without a set or an id all stay; of rows that repeat the id that stays, all do.
+    Rows without a set or an id all stay; of rows that repeat the id that stays, all do. Where an id
+    stands on several texts, each goes or stays by itself.
     """
-    groups = near_groups(docs, shingle, percent)
-    dropped = groups.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(dropped.hint("merge"), F.col("doc_id") == F.col("_id"), "left_anti")
+    groups = _grouped(docs, shingle, percent)
+    dropped = groups.where("doc_id is not null and doc_id != component_id")
+    dropped = dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = (F.col("doc_id") == F.col("_id")) & (_text_hash() == F.col("_hash"))
+    return docs.join(dropped.hint("merge"), same, "left_anti")
+
+
+def _text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _joined(
     scratch: Scratch, docs: DataFrame, shingle: int, percent: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+        F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash().alias("text_hash")
     )
     described = scratch.write(
         docs.mapInArrow(_describe(shingle), "doc_id long, text_hash long, " + SETS),

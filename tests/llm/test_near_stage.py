@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from rootwise.llm.jaccard_join import near_groups
+from rootwise.llm.jaccard_join import near_deduplicated, near_groups
 from tests.llm import brute
 
 
@@ -60,3 +60,10 @@ def test_near_copies_around_the_threshold(spark, monkeypatch, n, percent):
     got = near_groups(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), n, percent)
     want = [(i, len(s), c) for (i, _), s, c in zip(docs, sets_of(docs, n), near_components(docs, n, percent), strict=True)]
     assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == want
+
+
+def test_one_id_on_two_texts(spark):
+    words = [f"w{i}" for i in range(100)]
+    docs = [(1, changed(words, ())), (2, changed(words, (50,))), (2, "a clean text that nothing else is like"), (2, None)]
+    got = near_deduplicated(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [docs[0], *docs[2:]]))
