@@ -115,6 +115,13 @@ class QualityNet:
         adam(self, "offset", np.array([wrong.sum()]), rate, step)
 
 
+def _unlearned() -> QualityNet:
+    """A network that scores every text 0.5."""
+    net = QualityNet()
+    net.weight[:] = 0
+    return net
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -154,14 +161,15 @@ def train_quality(
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-        net = QualityNet()
+        net = _unlearned()
         if held:
+            net = QualityNet()
             net.fit([row[2] for row in held], np.array([row[1] for row in held], float), epochs)
         net.moments, net.conv.moments = {}, {}
         yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(net)], pa.binary())], names=["net"])
 
     nets = rows.repartition(1).mapInArrow(fit, "net binary").collect()
-    return bytes(nets[0]["net"]) if nets else cloudpickle.dumps(QualityNet())
+    return bytes(nets[0]["net"]) if nets else cloudpickle.dumps(_unlearned())
 
 
 def with_scores(docs: DataFrame, net: bytes) -> DataFrame:
