@@ -142,7 +142,113 @@ select s.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, least(s.doc_id
 from split s left join sizes z on z.doc_id = s.doc_id left join reached r on r.doc_id = s.doc_id group by s.doc_id
 """
 
+LINE_DEDUP_SQL = r"""
+with split as (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as nth
+    from documents),
+keyed as (
+    select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from split),
+common as (select key from keyed where length(key) >= 1 group by key having count(distinct doc_id) >= 10)
+select doc_id, count(*) as n_lines, count(common.key) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by nth) filter (common.key is null), '')) as kept_sha256
+from keyed left join common using (key) group by doc_id
+"""
+
+COLLOCATION_SQL = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents),
+split as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+    select lang, array_to_string(w[i:i + m - 1], ' ') as phrase, m, count(*) as a
+    from split, unnest([1, 2, 3]) as s(m), unnest(range(1, len(w) - m + 2)) as u(i) group by all),
+totals as (select lang, sum(len(w)) as n from split group by lang),
+candidates as (select lang, phrase, m, a, string_split(phrase, ' ') as w from grams where m >= 2 and a >= 10),
+cuts as (
+    select c.lang, c.phrase, c.a, k, p.a as l, q.a as r, (1000000::hugeint * c.a * c.a) // (p.a::hugeint * q.a) as score
+    from (select *, unnest(range(1, m)) as k from candidates) c
+    join grams p on p.lang = c.lang and p.phrase = array_to_string(c.w[1:k], ' ')
+    join grams q on q.lang = c.lang and q.phrase = array_to_string(c.w[k + 1:], ' ')),
+weakest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (
+    select lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase, a from candidates where m = 3),
+holders as (select lang, phrase, max(a) as longer from inside group by all),
+kept as (
+    select x.* from weakest x left join holders h on h.lang = x.lang and h.phrase = x.phrase
+    where longer is null or 100 * longer < 50 * x.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r,
+    n::bigint as n, score::bigint as score
+from kept join totals using (lang) qualify rank <= 2000
+"""
+
+CONVERSATION_SQL = r"""
+with recursive steps(i, n, c) as (
+    select r, 0, r from range(256) as x(r) union all
+    select i, n + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from steps where n < 8),
+crc as (select list(c order by i) as t from steps where n = 8),
+named as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        regexp_extract_all(hex(encode(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))), '..') as digits
+    from conversations),
+marked as (
+    select conv_id, turn, role, text, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(digits, lambda x: ('0x' || x)::bigint)),
+        lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]))) % 20 as kind
+    from named, crc),
+turns as (
+    select conv_id, turn, case kind when 4 then 'user' else role end as role,
+        case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+    from marked, unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end))),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as nth from turns),
+seen as (
+    select *, row_number() over (partition by conv_id, role, text order by nth) > 1 as again,
+        regexp_replace(text, '[\x20\x09-\x0D]+$', '') as body, lag(role) over (partition by conv_id order by nth) as before
+    from placed),
+faulty as (
+    select *, case when body = '' then 1 when again then 2 when right(body, 1) not in ('.', '!', '?') then 3 else 0 end as fault,
+        before is not null and left(before, 1) || left(role, 1) not in ('su', 'ua', 'au') as illegal from seen),
+rules(p, q, symbol) as (values (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (2, 3, 'a'), (3, 2, 'u')),
+inserts(p, q, cost, edits, more) as (
+    select s, s, 0, '', '' from range(4) as x(s) union all
+    select i.p, r.q, i.cost + 5, i.edits || 'I', i.more || case r.symbol when 'u' then chr(10) || 'user:' else chr(10) || 'assistant:' end
+    from inserts i join rules r on r.p = i.q where r.symbol <> 's' and i.cost < 15),
+edits as (
+    select conv_id, nth, s as p, s as q, 2 as cost, 'D' as edit, '' as made from faulty, range(4) as x(s) union all
+    select conv_id, nth, p, q, (case when fault = 3 then 5 else 0 end) + (case when symbol = left(role, 1) then 0 else 1 end),
+        case when symbol = left(role, 1) then 'K' else 'R' end,
+        chr(10) || case when symbol = left(role, 1) then role when symbol = 'u' then 'user' else 'assistant' end || ':' || text
+    from faulty, rules where fault not in (1, 2) and (symbol = left(role, 1) or symbol <> 's')),
+moves as (
+    select e.conv_id, e.nth, i.p, e.q, i.cost + e.cost as cost, i.edits || e.edit as edit, i.more || e.made as made
+    from edits e join inserts i on i.q = e.p),
+ways(conv_id, nth, state, best) as (
+    select conv_id, 0::bigint, 0::bigint, {'cost': 0, 'audit': '', 'made': ''} from (select distinct conv_id from turns) union all
+    select w.conv_id, m.nth, m.q, min({'cost': w.best.cost + m.cost, 'audit': w.best.audit || m.edit, 'made': w.best.made || m.made})
+    from ways w join moves m on m.conv_id is not distinct from w.conv_id and m.nth = w.nth + 1 and m.p = w.state
+    group by w.conv_id, m.nth, m.q),
+lengths as (select conv_id, count(*) as size from turns group by conv_id),
+finished as (
+    select w.conv_id, min({'cost': w.best.cost + i.cost, 'audit': w.best.audit || i.edits, 'made': w.best.made || i.more}) as best
+    from ways w join lengths l on l.conv_id is not distinct from w.conv_id and l.size = w.nth
+    join inserts i on i.p = w.state and i.q in (0, 3) group by w.conv_id),
+counts as (
+    select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 1) as blank,
+        count(*) filter (fault = 2) as duplicate, count(*) filter (fault = 3) as truncated, count(*) filter (illegal) as illegal
+    from faulty group by conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+    coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(best.cost, 0)::bigint as cost,
+    coalesce(best.audit, '') as audit, sha256(coalesce(substr(best.made, 2), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counts c on c.conv_id is not distinct from o.conv_id
+left join finished f on f.conv_id is not distinct from o.conv_id
+"""
+
 OPERATOR_ORACLES = {
+    "op11_conversation_repair": CONVERSATION_SQL,
+    "op12_line_dedup": LINE_DEDUP_SQL,
+    "op13_collocations": COLLOCATION_SQL,
     "op3_jaccard_join": JACCARD_SQL,
     "op1_decontaminate": DECONTAMINATION_SQL,
     "op2_license_scan": license_sql(),

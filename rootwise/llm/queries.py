@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from corpus_pipeline import ORACLE_SQL, run
 from rootwise.llm.common import table
+from rootwise.llm.conversations import conversation_repairs, damaged
 from rootwise.llm.decontaminate import contamination
 from rootwise.llm.exact_dedup import exact_groups
 from rootwise.llm.jaccard_join import near_groups
 from rootwise.llm.language import languages
 from rootwise.llm.licenses import license_scan
+from rootwise.llm.lines import line_dedup
 from rootwise.llm.lm_scoring import lm_scores
 from rootwise.llm.oracles import OPERATOR_ORACLES
 from rootwise.llm.packing import packed, public_vocabulary
+from rootwise.llm.phrases import collocations
 from rootwise.llm.quality import quality_scores
 from rootwise.llm.sharding import balanced_shards
 from rootwise.llm.warc import archived_and_read
@@ -61,6 +64,18 @@ def op10_language(spark, folder):
     return languages(table(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark, folder):
+    return conversation_repairs(damaged(table(spark, folder, "conversations")))
+
+
+def op12_line_dedup(spark, folder):
+    return line_dedup(table(spark, folder, "documents"))
+
+
+def op13_collocations(spark, folder):
+    return collocations(table(spark, folder, "documents"))
+
+
 def pipeline(spark, folder):
     return run(spark, folder)
 
@@ -76,6 +91,9 @@ LLM_QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_language": op10_language,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
 

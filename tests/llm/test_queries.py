@@ -25,7 +25,7 @@ def duck():
 def test_registered():
     assert set(LLM_QUERIES) <= set(entry_points.queries())
     numbers = sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES if name != "pipeline")
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(LLM_ORACLES))
