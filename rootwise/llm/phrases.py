@@ -38,13 +38,16 @@ UNKNOWN = "und"
 SCALE = 1_000_000
 
 SHARD_BYTES = 4 << 20
-HELD_TYPES = 400_000  # different words that a task counts before it hands them on
+HELD_TYPES = 2_000_000  # words that a task counts before it hands them on
 HELD_SUFFIXES = 4_000_000  # suffixes that a task sorts at once
-GROUP_SUFFIXES = 2_000_000  # suffixes in a group, in the mean
-LONG_PREFIX = GROUP_SUFFIXES // 4  # occurrences from which on a prefix is lengthened
+GROUP_SUFFIXES = 500_000  # suffixes in a group, in the mean
+# A prefix is lengthened from so many occurrences on, or from this share of all words if that is less.
+LONG_PREFIX = GROUP_SUFFIXES
+LONG_SHARE = 1 / 2000
+PREFIX_BITS = 28  # of a prefix's hash, which say the group
 FILTER_BITS = 1 << 26
 SEGMENT_BITS = 1 << 18
-SALTS = 16
+SALTS = 8
 
 # What ends a piece, and what separates its words.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -103,38 +106,56 @@ def _placed_words(batch: pa.RecordBatch, hasher: PieceHasher):
     return mix(hashes ^ language[texts]), starts, pieces, texts
 
 
+def _types(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different word stands first, and each word's number among these."""
+    index = pa.array(words).dictionary_encode().indices.to_numpy()
+    new = np.maximum.accumulate(index)
+    return np.flatnonzero(np.diff(new, prepend=-1)), index
+
+
+def _gathered(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The stretches of ``data`` as strings."""
+    lengths = end - begin
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    place = np.arange(offsets[-1]) + np.repeat(begin - offsets[:-1], lengths)
+    kept = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[place])]
+    return pa.Array.from_buffers(pa.large_string(), len(begin), kept)
+
+
 def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(word, lang, text, n)`` of the different words of a task's texts."""
+    """``(word, n, lang, text)`` of the different words of a task's texts."""
     hasher = PieceHasher.of_pieces()
     lower = np.arange(256, dtype=np.uint8)
     lower[ord("A") : ord("Z") + 1] += 32
-    held: dict[int, list] = {}
+    held: list[pa.Table] = []
 
     def flush() -> pa.RecordBatch:
-        columns = [pa.array(np.fromiter(held, np.uint64, len(held)).view(np.int64))]
-        columns += [pa.array(c, kind) for c, kind in zip(zip(*held.values(), strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names=["word", "n", "lang", "text"])
+        table = pa.concat_tables(held)
+        first, index = _types(table["word"].to_numpy())
+        n = np.bincount(index, table["n"].to_numpy()).astype(np.int64)  # below 2**53
+        rows = table.take(pa.array(first))
+        columns = [rows["word"], pa.chunked_array([n]), rows["lang"].cast(pa.string()), rows["text"].cast(pa.string())]
+        return pa.table(columns, names=["word", "n", "lang", "text"]).combine_chunks().to_batches()[0]
 
-    kinds = [pa.int64(), pa.string(), pa.string()]
     for batch in shards(batches, "text", SHARD_BYTES):
         words, starts, _, texts = _placed_words(batch, hasher)
         if not len(words):
             continue
-        keys, first, n = np.unique(words, return_index=True, return_counts=True)
+        first, index = _types(words)
         data, offsets = _bytes_of(batch.column("text"))
         gaps = np.append(np.flatnonzero(~hasher.is_word[data[: offsets[-1]]]), offsets[-1])
         begin, owner = starts[first], texts[first]
         end = np.minimum(gaps[np.searchsorted(gaps, begin)], offsets[owner + 1])
-        names = batch.column("lang").to_pylist()
-        for key, count, at, to, text in zip(*(c.tolist() for c in (keys, n, begin, end, owner)), strict=True):
-            known = held.get(key)
-            if known is None:
-                held[key] = [count, names[text], lower[data[at:to]].tobytes().decode()]
-            else:
-                known[0] += count
-        if len(held) >= HELD_TYPES:
+        columns = {
+            "word": pa.array(words[first].view(np.int64)),
+            "n": pa.array(np.bincount(index)),
+            "lang": batch.column("lang").take(pa.array(owner)).cast(pa.large_string()),
+            "text": _gathered(lower[data], begin, end),
+        }
+        held.append(pa.table(columns))
+        if sum(map(len, held)) >= HELD_TYPES:
             yield flush()
-            held = {}
+            held = []
     if held:
         yield flush()
 
@@ -205,16 +226,6 @@ def _suffixes(words: np.ndarray, pieces: np.ndarray, frequent: np.ndarray, depth
     return [column[long] for column in columns]
 
 
-def _counted(columns: list[np.ndarray], n: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
-    """The different rows, sorted by the first column, then the next; and how many of each there are."""
-    order = np.lexsort(columns[::-1])
-    columns = [column[order] for column in columns]
-    starts = np.flatnonzero(_changes(columns))
-    n = np.ones(len(order), np.int64) if n is None else n[order]
-    totals = np.add.reduceat(n, starts) if len(starts) else n
-    return [column[starts] for column in columns], totals
-
-
 def _changes(columns: list[np.ndarray]) -> np.ndarray:
     """Where rows differ from the row before."""
     new = np.zeros(len(columns[0]), bool)
@@ -224,20 +235,24 @@ def _changes(columns: list[np.ndarray]) -> np.ndarray:
     return new
 
 
-def _held_suffixes(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, depth: int):
-    """The counted suffixes of a task's texts, a good many at a time."""
+def _held_suffixes(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, depth: int, wanted=None):
+    """The suffixes of a task's texts, a good many at a time; ``wanted`` says which."""
     hasher = PieceHasher.of_pieces()
     held: list[list[np.ndarray]] = []
     size = 0
     for batch in shards(batches, "text", SHARD_BYTES):
         words, _, pieces, _ = _placed_words(batch, hasher)
-        held.append(_suffixes(words, pieces, frequent, depth))
-        size += len(held[-1][0])
+        columns = _suffixes(words, pieces, frequent, depth)
+        if wanted is not None:
+            some = wanted(columns)
+            columns = [column[some] for column in columns]
+        held.append(columns)
+        size += len(columns[0])
         if size >= HELD_SUFFIXES:
-            yield _counted([np.concatenate(column) for column in zip(*held, strict=True)], None)
+            yield [np.concatenate(column) for column in zip(*held, strict=True)]
             held, size = [], 0
     if size:
-        yield _counted([np.concatenate(column) for column in zip(*held, strict=True)], None)
+        yield [np.concatenate(column) for column in zip(*held, strict=True)]
 
 
 def _long_prefixes(filters, length: int):
@@ -245,12 +260,14 @@ def _long_prefixes(filters, length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, *heavy = filters.value
-        for columns, n in _held_suffixes(batches, frequent, length):
-            wanted = columns[length - 1] != 0
-            for level, bitmap in enumerate(heavy, 1):
-                wanted &= _held_by(bitmap, _prefix_key(columns[:level]))
+
+        def wanted(columns: list[np.ndarray]) -> np.ndarray:
+            return (columns[length - 1] != 0) & (_prefix_lengths(columns, heavy) == length)
+
+        for columns in _held_suffixes(batches, frequent, length, wanted):
+            first, index = _types(_prefix_key(columns))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c[wanted].view(np.int64)) for c in columns), pa.array(n[wanted])],
+                [*(pa.array(c[first].view(np.int64)) for c in columns), pa.array(np.bincount(index))],
                 names=[*(f"w{i}" for i in range(length)), "n"],
             )
 
@@ -267,24 +284,39 @@ def _prefix_lengths(columns: list[np.ndarray], heavy: list[np.ndarray]) -> np.nd
 
 
 def _to_groups(filters, depth: int, groups: int):
-    """A task's function: its suffixes, by the group of their prefix, as sorted blocks."""
+    """A task's function: its suffixes, by the group of their prefix, as sorted blocks.
+
+    A group is a range of prefix hashes. Suffixes are sorted by a number whose first bits are their prefix's
+    hash and whose others are those of longer and longer beginnings, so equal beginnings stand together. Where
+    two have one number, a suffix may be counted in two rows: groups add them up.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, *heavy = filters.value
-        for columns, n in _held_suffixes(batches, frequent, depth):
+        for columns in _held_suffixes(batches, frequent, depth):
             lengths = _prefix_lengths(columns, heavy)
-            group = np.empty(len(n), np.int64)
+            prefix = np.empty(len(lengths), np.uint64)
             for length in range(1, len(heavy) + 2):
                 mine = lengths == length
-                key = _prefix_key([column[mine] for column in columns[:length]])
-                group[mine] = (mix(key + np.uint64(length)) % np.uint64(groups)).astype(np.int64)
-            order = np.argsort(group, kind="stable")
-            cuts = np.searchsorted(group[order], np.arange(groups + 1))
-            for g in np.flatnonzero(np.diff(cuts)).tolist():
-                own = order[cuts[g] : cuts[g + 1]]
-                block = _packed([column[own] for column in columns], n[own])
+                prefix[mine] = mix(_prefix_key([column[mine] for column in columns[:length]]) + np.uint64(length))
+            number, free = prefix >> np.uint64(64 - PREFIX_BITS) << np.uint64(64 - PREFIX_BITS), 64 - PREFIX_BITS
+            width = free // (depth - 1)
+            for level in range(2, depth + 1):
+                free -= width
+                number |= mix(_prefix_key(columns[:level])) >> np.uint64(64 - width) << np.uint64(free)
+            order = np.argsort(number)
+            columns = [column[order] for column in columns]
+            starts = np.flatnonzero(_changes(columns))
+            n = np.diff(starts, append=len(order))
+            columns = [column[starts] for column in columns]
+            first = (number[order][starts] >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)
+            group = first * groups >> PREFIX_BITS
+            cuts = np.flatnonzero(np.diff(group, prepend=-1))
+            for at, to in zip(cuts, np.append(cuts[1:], len(group)), strict=True):
+                block = _packed([column[at:to] for column in columns], n[at:to])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([g], pa.int64()), pa.array([block], pa.list_(pa.binary()))], names=["group", "block"]
+                    [pa.array([int(group[at])], pa.int64()), pa.array([block], pa.list_(pa.binary()))],
+                    names=["group", "block"],
                 )
 
     return run
@@ -312,7 +344,9 @@ def _subtrees(filters, min_count: int):
     def run(group: pa.Table) -> pa.Table:
         blocks = [_unpacked(block) for block in group["block"].to_pylist()]
         columns = [np.concatenate(column) for column in zip(*(c for c, _ in blocks), strict=True)]
-        columns, n = _counted(columns, np.concatenate([n for _, n in blocks]))
+        n = np.concatenate([n for _, n in blocks])
+        order = np.lexsort(columns[::-1])
+        columns, n = [column[order] for column in columns], n[order]
         lengths = _prefix_lengths(columns, filters.value[1:])
         words, counts = [], []
         for level in range(2, len(columns) + 1):
@@ -348,11 +382,12 @@ def _nodes(scratch: Scratch, docs: DataFrame, words: RoundTable, depth: int, min
     often = words.df.where(F.col("n") >= min_count)
     filters = [_bitmap(often.select("word"))]
     prefixes, tables = words.df.select(F.col("word").alias("w0"), "n"), [words]
+    long = max(1, min(LONG_PREFIX, int(words.counts["all"] * LONG_SHARE)))
     for length in range(1, depth):
-        if (tables[-1].counts["most"] or 0) < LONG_PREFIX:
+        if (tables[-1].counts["most"] or 0) < long:
             break
         names = [f"w{i}" for i in range(length + 1)]
-        filters.append(_bitmap(prefixes.where(F.col("n") >= LONG_PREFIX).select(*names[:-1])))
+        filters.append(_bitmap(prefixes.where(F.col("n") >= long).select(*names[:-1])))
         if length + 1 == depth:
             break
         schema = ", ".join(f"{name} long" for name in [*names, "n"])
@@ -404,6 +439,7 @@ def collocations(
     words = scratch.write(
         counted.groupBy("word", "lang", "text").agg(F.sum("n").alias("n")),
         often=F.sum(F.when(F.col("n") >= min_count, F.col("n")).otherwise(0)),
+        all=F.sum("n"),
         most=F.max("n"),
     )
     nodes = _nodes(scratch, read.select("text", "lang_hash"), words, max_words, min_count).df

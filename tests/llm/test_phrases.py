@@ -80,6 +80,7 @@ def test_long_prefixes_and_many_groups(spark, monkeypatch):
     monkeypatch.setattr(phrases, "HELD_SUFFIXES", 500)
     monkeypatch.setattr(phrases, "HELD_TYPES", 50)
     monkeypatch.setattr(phrases, "SHARD_BYTES", 1000)
+    monkeypatch.setattr(phrases, "PREFIX_BITS", 10)  # and numbers that many suffixes share
     docs = spark.createDataFrame(list(texts(4, 400)), SCHEMA).repartition(3)
     check(docs, args=(2, 4, 3, 50, 2000))
     monkeypatch.setattr(phrases, "FILTER_BITS", 64)
