@@ -26,3 +26,15 @@ def ascii_lower(text: Column) -> Column:
 def words(text: Column) -> Column:
     """The words of a text; NULL has none."""
     return F.regexp_extract_all(F.coalesce(ascii_lower(text), F.lit("")), F.lit(WORD), F.lit(0))
+
+
+def free_names(docs: DataFrame, *wanted: str) -> list[str]:
+    """Names like the ``wanted`` ones that no column of ``docs`` has."""
+    taken = {name.lower() for name in docs.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -19,6 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rootwise.llm.common import free_names
 from rootwise.llm.hashing import WordHasher, shards
 from rootwise.scratch import Scratch
 
@@ -329,11 +330,17 @@ def contamination(
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with their own columns."""
-    own = [F.col(f"`{name}`") for name in docs.columns]
-    others = [F.col(f"`{name}`") for name in docs.columns if name != "text"]
-    clean = contamination(docs.select(F.struct(F.lit(0).alias("_"), *others).alias("row"), "text"), benchmark)
-    return clean.where("not contaminated").select("row.*", "text").select(*own)
+    """The rows of ``docs`` that are not contaminated, with their own columns, whatever their names.
+
+    NULL and empty texts have no words and stay; repeated rows stay or go together; an empty benchmark
+    takes nothing away and an empty table gives no rows.
+    """
+    others = [F.col(f"`{name}`") for name in docs.columns if name.lower() != "text"]
+    packed = F.struct(F.lit(0).alias(free_names(docs, "none")[0]), *others).alias("row")
+    clean = contamination(docs.select(packed, "text"), benchmark).where("not contaminated")
+    return clean.select(
+        *[F.col("text" if name.lower() == "text" else f"row.`{name}`").alias(name) for name in docs.columns]
+    )
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = WINDOW) -> DataFrame:

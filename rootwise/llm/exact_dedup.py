@@ -19,6 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rootwise.llm.common import free_names
 from rootwise.scratch import RoundTable, Scratch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -173,17 +174,21 @@ def exact_groups(docs: DataFrame, n_batches: int = 3) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, n_batches: int = 3) -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_groups` keeps, with all their columns."""
+    """The rows of ``docs`` that :func:`exact_groups` keeps, with all their columns, whatever their names.
+
+    One row of each group of equal texts stays, NULL and empty ones too: that with the smallest id, of
+    rows that repeat it any one; a group of a NULL id alone keeps one row. An empty table gives no rows.
+    """
+    id_, kept_digest, digest = free_names(docs, "id", "kept_digest", "digest")
     rows, groups = _grouped(docs, n_batches)
-    kept = groups.select(F.col("keep_id").alias("_id"), F.col("digest").alias("_kept"))
-    digest = F.unhex(F.sha2(normalised(F.col("text")), 256))
-    stay = docs.withColumn("_digest", digest).join(
-        kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_kept")), "left_semi"
+    kept = groups.select(F.col("keep_id").alias(id_), F.col("digest").alias(kept_digest))
+    stay = docs.withColumn(digest, F.unhex(F.sha2(normalised(F.col("text")), 256))).join(
+        kept, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(digest) == F.col(kept_digest)), "left_semi"
     )
     # One id on several rows with one text: the same row, repeated.
     if rows.groupBy("doc_id", "digest").count().where("count > 1").take(1):
-        stay = stay.dropDuplicates(["doc_id", "_digest"])
-    return stay.drop("_digest")
+        stay = stay.dropDuplicates(["doc_id", digest])
+    return stay.drop(digest)
 
 
 def _grouped(docs: DataFrame, n_batches: int) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,9 @@ set's signatures are its first elements in an order of all elements, common ones
 many that the rest alone is too small for a link. Linked sets share one of these as well.
 
 Sets that share one are compared by parity sketches first: a sketch's distance is never
-more than the sets', so nothing linked is lost. What is left is checked exactly.
+more than the sets', so nothing linked is lost. A sketch has bits in proportion to the distance that its set's
+links may have, so that it tells unlike sets apart at every size; a longer sketch folds to a shorter
+one. What is left is checked exactly, each set being sent once for all pairs of its cluster.
 """
 
 from __future__ import annotations
@@ -21,10 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext, cloudpickle
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rootwise.llm.bitmaps import bitmap_of, held_by, joint_key
+from rootwise.llm.common import free_names
 from rootwise.llm.components import components
 from rootwise.llm.hashing import WordHasher, mix, shards
 from rootwise.scratch import RoundTable, Scratch
@@ -37,10 +42,13 @@ PARTITIONED = 90  # similarity in percent from which on signatures are PartEnum'
 COMMON_IN_BATCH = 4  # sets of a batch that share an element from which on it is counted
 COMMON = 200_000  # common elements that every task holds
 SHARD_BYTES = 4 << 20
-SKETCH_BITS = 2048
-HOT_IN_BATCH = 64  # sets of one signature in a batch from which on it needs no detection
+SKETCH_BITS = 2048  # the least
+BITS_PER_DIFFERENCE = 8  # of a sketch, for each element that linked sets of its size may differ in
+HOT_IN_BATCH = 1  # sets of one signature in a batch beyond which it needs no detection
 GROUP_BYTES = 24 << 20  # signatures that one detecting task sorts at once
 BLOCK = 1024  # sets compared with as many at once
+SKETCH_BYTES = 8 << 20  # sketches that one comparing task holds, about
+CHECK_BYTES = 16 << 20  # elements that one checking task holds, about
 SETS = "class long, n_shingles long, sketch binary"
 
 
@@ -83,9 +91,16 @@ def _class(elements: np.ndarray) -> int:
         return int(mix(np.array([mix(elements).sum() + np.uint64(len(elements))]))[0].view(np.int64))
 
 
-def _sketch(elements: np.ndarray) -> bytes:
+def sketch_bits(size: int, percent: int) -> int:
+    """A power of two, in proportion to the most that linked sets of ``size`` elements differ in."""
+    wanted = BITS_PER_DIFFERENCE * (100 - percent) * 2 * size // (100 + percent)
+    return max(SKETCH_BITS, 1 << max(0, wanted - 1).bit_length())
+
+
+def _sketch(elements: np.ndarray, percent: int) -> bytes:
     """Bit i: whether an odd number of elements fall on i."""
-    count = np.bincount((elements >> np.uint64(7)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS)
+    bits = sketch_bits(len(elements), percent)
+    count = np.bincount(((elements >> np.uint64(7)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((count & 1).astype(np.uint8)).tobytes()
 
 
@@ -97,7 +112,7 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[tuple[pa.
         yield batch, [_shingles(hashes[cuts[i] : cuts[i + 1]], shingle) for i in range(len(counts))]
 
 
-def _describe(shingle: int):
+def _describe(shingle: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, shingle):
             yield pa.RecordBatch.from_arrays(
@@ -106,7 +121,7 @@ def _describe(shingle: int):
                     batch.column("text_hash"),
                     pa.array([_class(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_sketch(s) if len(s) else None for s in sets], pa.binary()),
+                    pa.array([_sketch(s, percent) if len(s) else None for s in sets], pa.binary()),
                 ],
                 names=["doc_id", "text_hash", "class", "n_shingles", "sketch"],
             )
@@ -282,13 +297,13 @@ def _candidates(every: bool, percent: int):
         name, size, component, side = (
             group[c].to_numpy() for c in ("class", "n_shingles", "component", "side")
         )
-        bits = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint64).reshape(len(name), -1)
+        sketches = group["sketch"].to_pylist()
         starts = np.flatnonzero(np.concatenate([[True], (unit[:, 1:] != unit[:, :-1]).any(axis=0)]))
         found = set()
         for start, end in zip(starts, np.append(starts[1:], len(name)), strict=True):
             own = slice(start, end)
             whole = unit[1, start] == unit[2, start]
-            near = _near(bits[own], size[own], percent)
+            near = _near(sketches[own], size[own], percent)
             if not whole:
                 near &= side[own][:, None] != side[own][None, :]
             near &= component[own][:, None] != component[own][None, :]
@@ -304,15 +319,31 @@ def _candidates(every: bool, percent: int):
     return run
 
 
-def _near(bits: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+def _near(sketches: list[bytes], size: np.ndarray, percent: int) -> np.ndarray:
     near = np.zeros((len(size), len(size)), bool)
-    for i in range(len(size)):
-        distance = np.bitwise_count(bits ^ bits[i]).sum(axis=1, dtype=np.int64)
-        near[i] = may_link(size, size[i], distance, percent)
+    width = np.array([len(sketch) for sketch in sketches])
+    by_width = {}
+    for w in np.unique(width).tolist():
+        rows = np.flatnonzero(width == w)
+        by_width[w] = rows, np.frombuffer(b"".join(sketches[i] for i in rows), np.uint64).reshape(len(rows), -1)
+    for w, (rows, bits) in by_width.items():
+        _mark(near, size, percent, rows, bits, rows, bits)
+        # The next width, folded; sets still wider are too large for a link.
+        if 2 * w in by_width:
+            wider, halves = by_width[2 * w]
+            _mark(near, size, percent, rows, bits, wider, halves[:, : w // 8] ^ halves[:, w // 8 :])
     np.fill_diagonal(near, False)
     return near
 
 
+def _mark(near, size, percent, left, left_bits, right, right_bits) -> None:
+    for i, bits in zip(left.tolist(), left_bits, strict=True):
+        fit = np.flatnonzero(may_link(size[right], size[i], np.abs(size[right] - size[i]), percent))
+        distance = np.bitwise_count(right_bits[fit] ^ bits).sum(axis=1, dtype=np.int64)
+        found = right[fit[may_link(size[right[fit]], size[i], distance, percent)]]
+        near[i, found] = near[found, i] = True
+
+
 def _forest(near: np.ndarray) -> list[tuple[int, int]]:
     new = np.ones(len(near), bool)
     edges = []
@@ -331,7 +362,7 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _compared(
-    members: DataFrame, sets: DataFrame, labels: DataFrame | None, rows: int, percent: int
+    members: DataFrame, sets: DataFrame, labels: DataFrame | None, groups: int, percent: int
 ) -> DataFrame:
     """Distinct candidate pairs ``(a, b)``; with ``labels``, all those of different components."""
     known = members.join(sets, "class")
@@ -351,7 +382,6 @@ def _compared(
         .withColumn("left", F.least("side", "other"))
         .withColumn("right", F.greatest("side", "other"))
     )
-    groups = max(1, -(-rows // 20_000))
     key = F.pmod(F.xxhash64("signature", "left", "right"), F.lit(groups))
     pairs = (
         units.select("signature", "left", "right", "side", "class", "component", "n_shingles", "sketch", key.alias("g"))
@@ -364,9 +394,16 @@ def _compared(
 # -- exact check -----------------------------------------------------------------------
 
 
-def _elements(shingle: int):
+def _elements(shingle: int, wanted):
+    """A task's function: the sets of the rows that the bitmap holds, and perhaps of a few others."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _sets(batches, shingle):
+        def some() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = [pc.fill_null(batch.column(name), 0).to_numpy().view(np.uint64) for name in ("doc_id", "text_hash")]
+                yield batch.filter(pa.array(held_by(wanted.value, joint_key(ids))))
+
+        for _, sets in _sets(some(), shingle):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_class(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 names=["class", "elements"],
@@ -376,14 +413,14 @@ def _elements(shingle: int):
 
 
 def _linked(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for left, right in zip(batch.column("elements_a"), batch.column("elements_b"), strict=True):
-                a, b = np.frombuffer(left.as_py(), np.uint64), np.frombuffer(right.as_py(), np.uint64)
-                both = len(a) + len(b) - len(np.union1d(a, b))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["a", "b"]).append_column("linked", pa.array(keep, pa.bool_()))
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        elements = dict(zip(sets["class"].to_pylist(), sets["elements"].to_pylist(), strict=True))
+        linked = []
+        for one, other in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist(), strict=True):
+            a, b = (np.frombuffer(elements[name], np.uint64) for name in (one, other))
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            linked.append(100 * both >= percent * (len(a) + len(b) - both))
+        return pairs.select(["a", "b"]).append_column("linked", pa.array(linked, pa.bool_()))
 
     return run
 
@@ -391,50 +428,67 @@ def _linked(percent: int):
 def _checked(
     scratch: Scratch, docs: DataFrame, sets: DataFrame, pairs: RoundTable, shingle: int, percent: int
 ) -> RoundTable:
-    """``(a, b, linked)`` for the pairs, by their whole sets. Only texts of sets in a pair are sent."""
+    """``(a, b, linked)`` for the pairs, by their whole sets.
+
+    Only sets in a pair are sent, each once to the task of its cluster of pairs. The pairs of a cluster
+    that is too large for a task are dealt out by one of their sets, the other, a hub of many pairs, is sent to all.
+    """
+    if not pairs.rows:
+        return scratch.write(pairs.df.withColumn("linked", F.lit(False)))
+    context = docs.sparkSession.sparkContext
     asked = pairs.df.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    wanted = sets.join(asked, "class").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    texts = docs.join(
-        wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")),
-        "left_semi",
-    )
-    elements = scratch.write(texts.select("text").mapInArrow(_elements(shingle), "class long, elements binary")).df
-    elements = elements.dropDuplicates(["class"])
-    sides = pairs.df
-    for side in ("a", "b"):
-        sides = sides.join(
-            elements.select(F.col("class").alias(side), F.col("elements").alias(f"elements_{side}")), side
-        )
-    columns = ["a", "b", "elements_a", "elements_b"]
-    return scratch.write(sides.select(columns).mapInArrow(_linked(percent), "a long, b long, linked boolean"))
+    chosen = scratch.write(sets.join(asked, "class").select("class", "doc_id", "text_hash", "n_shingles")).df
+    wanted = context.broadcast(bitmap_of(chosen.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "text_hash")))
+    clusters = components(scratch, pairs.df)
+    sized = clusters.join(chosen.select("class", (F.col("n_shingles") * 8).alias("bytes")), "class")
+    parts = F.ceil(F.sum("bytes") / CHECK_BYTES).cast("long")
+    dealt = sized.groupBy("component").agg(parts.alias("parts"))
+    placed = pairs.df.join(clusters.toDF("a", "component"), "a").join(dealt, "component")
+    placed = scratch.write(
+        placed.select("a", "b", "component", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+    ).df
+    needed = placed.select(F.explode(F.array("a", "b")).alias("class"), "component", "part").distinct()
+    needed = scratch.write(
+        needed.join(chosen.select("class", (F.col("n_shingles") * 8).alias("bytes")), "class"), bytes=F.sum("bytes")
+    )
+    tasks = max(1, -(-needed.counts["bytes"] // CHECK_BYTES))
+    task = F.pmod(F.xxhash64("component", "part"), F.lit(tasks)).alias("task")
+    elements = docs.mapInArrow(_elements(shingle, wanted), "class long, elements binary")
+    sent = elements.join(needed.df.select("class", task).distinct(), "class")
+    checked = scratch.write(
+        placed.select("a", "b", task)
+        .groupBy("task")
+        .cogroup(sent.groupBy("task"))
+        .applyInArrow(_linked(percent), "a long, b long, linked boolean")
+    )
+    wanted.unpersist()
+    return checked
 
 
 # -- the join --------------------------------------------------------------------------
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, n_links)``, one row per row of ``docs``.
+    """``(doc_id, n_shingles, component_id)``, one row per row of ``docs``.
 
     A text's set is its distinct shingles of ``shingle`` words, or all its words as one if it has fewer. Two
     texts link when their sets' Jaccard similarity is ``percent`` hundredths or more; ``component_id`` is the
-    smallest ``doc_id`` that links reach. ``n_links`` counts the different sets that the check
-    has linked with the row's; links inside a group already connected are not all counted. NULL,
-    empty and blank texts have no set and link with nothing; ties and repeated rows share a set and so
-    a component; a component without any id has component NULL; an empty table gives no rows.
+    smallest ``doc_id`` that links reach. NULL, empty and blank texts have no set and link with nothing; ties and
+    repeated rows share a set and so a component; a component without any id has component NULL; an
+    empty table gives no rows.
 
-    Equal sets are one from the start. A signature's blocks hold at most 64 sets per batch in a detecting
-    task, others pass it by; large buckets are compared block by block. Exactness costs comparing
+    Equal sets are one from the start. Of a signature a batch sends one set to a detecting task, whatever
+    number shares it; large buckets are compared block by block. Exactness costs comparing
     all sets of a bucket, 30 nanoseconds a pair: a group of very many near copies that are just
     under the threshold takes time with its square, but only links leave the tasks.
     """
-    grouped = _grouped(docs, shingle, percent)
-    return grouped.select("doc_id", "n_shingles", "component_id", "n_links")
+    return _grouped(docs, shingle, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The columns of :func:`near_groups` and ``text_hash``, which tells texts of one id apart."""
     scratch = Scratch(docs.sparkSession, "jaccard")
-    rows, labels, links = _joined(scratch, docs, shingle, percent)
+    rows, labels = _joined(scratch, docs, shingle, percent)
     firsts = (
         rows.where("class is not null")
         .groupBy("class")
@@ -443,16 +497,12 @@ def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         .withColumn("component", F.coalesce("component", "class"))
     )
     smallest = firsts.groupBy("component").agg(F.min("first").alias("component_id"))
-    degree = (
-        links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
-    )
-    by_class = firsts.join(smallest, "component").join(degree, "class", "left").select("class", "component_id", "n")
+    by_class = firsts.join(smallest, "component").select("class", "component_id")
     return rows.join(by_class, "class", "left").select(
         "doc_id",
         "text_hash",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
     )
 
 
@@ -460,12 +510,12 @@ def near_deduplicated(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     """One row of each group of :func:`near_groups`, that with the smallest id, with its own columns.
 
     Rows without a set or an id all stay; of rows that repeat the id that stays, all do. Where an id
-    stands on several texts, each goes or stays by itself.
+    stands on several texts, each goes or stays by itself. Columns may have any names; an empty table gives no rows.
     """
-    groups = _grouped(docs, shingle, percent)
-    dropped = groups.where("doc_id is not null and doc_id != component_id")
-    dropped = dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = (F.col("doc_id") == F.col("_id")) & (_text_hash() == F.col("_hash"))
+    id_, hash_ = free_names(docs, "dropped_id", "dropped_hash")
+    dropped = _grouped(docs, shingle, percent).where("doc_id is not null and doc_id != component_id")
+    dropped = dropped.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).distinct()
+    same = (F.col("doc_id") == F.col(id_)) & (_text_hash() == F.col(hash_))
     return docs.join(dropped.hint("merge"), same, "left_anti")
 
 
@@ -475,18 +525,23 @@ def _text_hash():
 
 def _joined(
     scratch: Scratch, docs: DataFrame, shingle: int, percent: int
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame]:
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash().alias("text_hash")
     )
     described = scratch.write(
-        docs.mapInArrow(_describe(shingle), "doc_id long, text_hash long, " + SETS),
+        docs.mapInArrow(_describe(shingle, percent), "doc_id long, text_hash long, " + SETS),
         elements=F.sum("n_shingles"),
         largest=F.max("n_shingles"),
     )
     rows = described.df
     first = F.min(F.struct("doc_id", "text_hash", "n_shingles", "sketch")).alias("first")
-    sets = scratch.write(rows.where("class is not null").groupBy("class").agg(first).select("class", "first.*")).df
+    sets = scratch.write(
+        rows.where("class is not null").groupBy("class").agg(first).select("class", "first.*"),
+        # The mean sketch of a signature: sets have signatures in proportion to their size.
+        weight=F.sum(F.col("n_shingles") * F.octet_length("sketch")) / F.sum("n_shingles"),
+    )
+    weight, sets = max(SKETCH_BITS // 8, int(sets.counts["weight"])), sets.df
     if percent >= PARTITIONED:
         low = bands(described.counts["largest"], percent)
         signed, each = (lambda elements: signatures(elements, low, percent)), 0.4
@@ -512,15 +567,13 @@ def _joined(
     members = scratch.write(members.join(buckets.select("signature", "members"), "signature"))
     some = sets.select("class", "n_shingles", "sketch")
 
-    pairs = scratch.write(_compared(members.df, some, None, members.rows, percent))
+    groups = max(1, -(-members.rows * weight // SKETCH_BYTES))
+    pairs = scratch.write(_compared(members.df, some, None, groups, percent))
     checked = _checked(scratch, docs, sets, pairs, shingle, percent)
     labels = components(scratch, checked.df.where("linked"))
-    left = _compared(members.df, some, labels, members.rows, percent)
+    left = _compared(members.df, some, labels, groups, percent)
     more = scratch.write(left.join(checked.df, ["a", "b"], "left_anti"))
     if more.rows:
         checked_more = _checked(scratch, docs, sets, more, shingle, percent)
-        links = scratch.scan([checked, checked_more]).where("linked")
-        labels = components(scratch, links)
-    else:
-        links = checked.df.where("linked")
-    return rows, labels, links
+        labels = components(scratch, scratch.scan([checked, checked_more]).where("linked"))
+    return rows, labels

@@ -24,6 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rootwise.llm.bitmaps import bitmap_of, held_by, joint_key
 from rootwise.llm.hashing import CHUNK, WordHasher, mix, shards
 from rootwise.scratch import RoundTable, Scratch
 
@@ -45,8 +46,6 @@ GROUP_SUFFIXES = 500_000  # suffixes in a group, in the mean
 LONG_PREFIX = GROUP_SUFFIXES
 LONG_SHARE = 1 / 2000
 PREFIX_BITS = 28  # of a prefix's hash, which say the group
-FILTER_BITS = 1 << 26
-SEGMENT_BITS = 1 << 18
 SALTS = 8
 
 # What ends a piece, and what separates its words.
@@ -160,59 +159,13 @@ def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield flush()
 
 
-# -- bitmaps ---------------------------------------------------------------------------
-
-
-def _bit(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-
-
-def _held_by(bitmap: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
-    if bitmap is None:
-        return np.zeros(len(keys), bool)
-    at = _bit(keys)
-    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
-def _bit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = np.unique(_bit(_prefix_key([c.to_numpy().view(np.uint64) for c in batch.columns])))
-        yield pa.RecordBatch.from_arrays([pa.array(at // SEGMENT_BITS), pa.array(at)], names=["segment", "bit"])
-
-
-def _segment(group: pa.Table) -> pa.Table:
-    bits = np.zeros(SEGMENT_BITS, bool)
-    bits[group["bit"].to_numpy() % SEGMENT_BITS] = True
-    packed = np.packbits(bits, bitorder="little").tobytes()
-    return pa.table({"segment": group["segment"][:1], "bits": pa.array([packed], pa.binary())})
-
-
-def _bitmap(prefixes: DataFrame) -> np.ndarray:
-    """The bitmap of prefixes, whose words are the columns: 8 MB, however many they are."""
-    bits = prefixes.mapInArrow(_bit_rows, "segment long, bit long").distinct()
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    width = SEGMENT_BITS // 8
-    for row in bits.groupBy("segment").applyInArrow(_segment, "segment long, bits binary").collect():
-        out[row["segment"] * width : (row["segment"] + 1) * width] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
-def _prefix_key(words: list[np.ndarray]) -> np.ndarray:
-    """One number for the words of a prefix."""
-    key = words[0]
-    with np.errstate(over="ignore"):
-        for word in words[1:]:
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + word)
-    return key
-
-
 # -- suffixes --------------------------------------------------------------------------
 
 
 def _suffixes(words: np.ndarray, pieces: np.ndarray, frequent: np.ndarray, depth: int) -> list[np.ndarray]:
     """The suffixes of two or more words, a column a word, 0 after a suffix's end."""
     n = len(words)
-    good = _held_by(frequent, words)
+    good = held_by(frequent, words)
     alive = good.copy()
     columns = [words]
     for step in range(1, depth):
@@ -265,7 +218,7 @@ def _long_prefixes(filters, length: int):
             return (columns[length - 1] != 0) & (_prefix_lengths(columns, heavy) == length)
 
         for columns in _held_suffixes(batches, frequent, length, wanted):
-            first, index = _types(_prefix_key(columns))
+            first, index = _types(joint_key(columns))
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c[first].view(np.int64)) for c in columns), pa.array(np.bincount(index))],
                 names=[*(f"w{i}" for i in range(length)), "n"],
@@ -278,7 +231,7 @@ def _prefix_lengths(columns: list[np.ndarray], heavy: list[np.ndarray]) -> np.nd
     """The number of words in each suffix's prefix: the shortest that doesn't occur too often."""
     lengths = np.ones(len(columns[0]), np.int64)
     for level, bitmap in enumerate(heavy, 1):
-        longer = (lengths == level) & _held_by(bitmap, _prefix_key(columns[:level]))
+        longer = (lengths == level) & held_by(bitmap, joint_key(columns[:level]))
         lengths[longer] = level + 1
     return lengths
 
@@ -298,12 +251,12 @@ def _to_groups(filters, depth: int, groups: int):
             prefix = np.empty(len(lengths), np.uint64)
             for length in range(1, len(heavy) + 2):
                 mine = lengths == length
-                prefix[mine] = mix(_prefix_key([column[mine] for column in columns[:length]]) + np.uint64(length))
+                prefix[mine] = mix(joint_key([column[mine] for column in columns[:length]]) + np.uint64(length))
             number, free = prefix >> np.uint64(64 - PREFIX_BITS) << np.uint64(64 - PREFIX_BITS), 64 - PREFIX_BITS
             width = free // (depth - 1)
             for level in range(2, depth + 1):
                 free -= width
-                number |= mix(_prefix_key(columns[:level])) >> np.uint64(64 - width) << np.uint64(free)
+                number |= mix(joint_key(columns[:level])) >> np.uint64(64 - width) << np.uint64(free)
             order = np.argsort(number)
             columns = [column[order] for column in columns]
             starts = np.flatnonzero(_changes(columns))
@@ -368,7 +321,7 @@ def _split_above(filters, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [column.to_numpy() for column in batch.columns[:level]]
-            own = _held_by(filters.value[level], _prefix_key([w.view(np.uint64) for w in words]))
+            own = held_by(filters.value[level], joint_key([w.view(np.uint64) for w in words]))
             found = np.stack([w[own] for w in words], axis=1).tolist()
             columns = [pa.array(found, pa.list_(pa.int64())), batch.column("n").filter(pa.array(own))]
             yield pa.RecordBatch.from_arrays(columns, names=["words", "n"])
@@ -380,14 +333,14 @@ def _nodes(scratch: Scratch, docs: DataFrame, words: RoundTable, depth: int, min
     """``(words, n)`` of all phrases of 1 to ``depth`` words that occur ``min_count`` times or more."""
     context = docs.sparkSession.sparkContext
     often = words.df.where(F.col("n") >= min_count)
-    filters = [_bitmap(often.select("word"))]
+    filters = [bitmap_of(often.select("word"))]
     prefixes, tables = words.df.select(F.col("word").alias("w0"), "n"), [words]
     long = max(1, min(LONG_PREFIX, int(words.counts["all"] * LONG_SHARE)))
     for length in range(1, depth):
         if (tables[-1].counts["most"] or 0) < long:
             break
         names = [f"w{i}" for i in range(length + 1)]
-        filters.append(_bitmap(prefixes.where(F.col("n") >= long).select(*names[:-1])))
+        filters.append(bitmap_of(prefixes.where(F.col("n") >= long).select(*names[:-1])))
         if length + 1 == depth:
             break
         schema = ", ".join(f"{name} long" for name in [*names, "n"])

@@ -151,10 +151,10 @@ def train_quality(
 
     The fit uses about ``max_rows`` of them, told by a hash of the id, and of a longer text a
     stretch of ``max_chars`` characters. It runs in one task, which that bound keeps small;
-    the network alone reaches the driver.
+    the network alone reaches the driver. Of two labels that one id has, the lower counts.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
-    known = known.where(~held_out(3, 1) & F.col("label").isin(0, 1)).dropDuplicates(["doc_id"])
+    known = known.where(~held_out(3, 1) & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.min("label").alias("label"))
     chosen = sampled(known, max_rows, known)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("body")).join(chosen, "doc_id")
     rows = rows.select("doc_id", "label", _slice(F.coalesce("body", F.lit("")), max_chars).alias("body"))
@@ -207,7 +207,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = 3000) ->
 
 
 def of_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 3000) -> DataFrame:
-    """The rows of ``docs`` that the classifier takes for quality 1, with their own columns."""
+    """The rows of ``docs`` that the classifier takes for quality 1, with their own columns, whatever their names.
+
+    A score of exactly 0.5 stays, so without any label to learn from all rows do; NULL and empty texts have a
+    score as well; repeated rows share one; an empty table gives no rows.
+    """
     net = train_quality(docs, labels, max_rows)
     own = [F.col(f"`{name}`") for name in docs.columns]
     rows = with_scores(docs.select(F.struct(*own).alias("row"), "text"), net)

@@ -36,14 +36,14 @@ def contamination(text, items, window=13):
     return len(own), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(own)
 
 
-def shingles(text):
+def shingles(text, n=3):
     own = tokens(text)
-    return frozenset(tuple(own[i : i + 3]) for i in range(max(1, len(own) - 2))) if own else frozenset()
+    return frozenset(tuple(own[i : i + n]) for i in range(max(1, len(own) - n + 1))) if own else frozenset()
 
 
-def near_components(docs):
-    """``(n_shingles, component)`` per row of ``(doc_id, text)``, by all pairs that share a shingle."""
-    sets = [shingles(text) for _, text in docs]
+def near_components(docs, n=3, percent=90):
+    """``(n_shingles, component)`` per row of ``(doc_id, text)``, by all pairs that share a shingle of ``n`` words."""
+    sets = [shingles(text, n) for _, text in docs]
     parent = list(range(len(docs)))
 
     def top(i):
@@ -57,7 +57,7 @@ def near_components(docs):
             holders[shingle].append(i)
     shared = Counter((a, b) for at in holders.values() for k, b in enumerate(at) for a in at[:k])
     for (a, b), both in shared.items():
-        if 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
             parent[top(a)] = top(b)
     smallest = {}
     for i, (doc_id, _) in enumerate(docs):

@@ -3,7 +3,10 @@
 import pytest
 
 PASSAGE = " ".join(f"alpha{i} beta{i}" for i in range(12))
-CLASHING = ("n_words", "score", "size", "shard", "digest", "class", "hits", "row", "items", "batch", "first")
+CLASHING = (
+    "n_words", "score", "size", "shard", "digest", "class", "hits", "row", "items", "batch", "first",
+    "_id", "_kept", "_hash", "_digest", "_", "id", "kept_digest", "dropped_id", "Dropped_Hash", "none", "whole", "hash", "keep",
+)
 
 
 @pytest.fixture(scope="session")

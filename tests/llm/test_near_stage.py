@@ -4,29 +4,10 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from rootwise.llm.jaccard_join import near_deduplicated, near_groups
+from rootwise.llm.jaccard_join import _near, _sketch, may_link, near_deduplicated, near_groups, sketch_bits
 from tests.llm import brute
 
 
-def sets_of(docs, n):
-    words = [brute.tokens(text) for _, text in docs]
-    return [frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset() for w in words]
-
-
-def near_components(docs, n=5, percent=80):
-    """The smallest id that links reach, per row of ``(doc_id, text)``."""
-    sets = sets_of(docs, n)
-    group = list(range(len(docs)))
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if a and b and group[i] != group[j] and 100 * len(a & b) >= percent * len(a | b):
-                group = [group[j] if g == group[i] else g for g in group]
-    smallest = {}
-    for g, (doc_id, _) in zip(group, docs, strict=True):
-        smallest[g] = min(smallest.get(g, doc_id), doc_id)
-    return [smallest[g] for g in group]
-
-
 def changed(words, places):
     return " ".join("other" if i in places else word for i, word in enumerate(words))
 
@@ -42,7 +23,7 @@ def test_the_stage_on_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
     got = corpus_pipeline.drop_near_copies(spark, docs, "")
-    want = [row for row, c in zip(rows, near_components(rows), strict=True) if row[0] == c]
+    want = [row for row, (_, c) in zip(rows, brute.near_components(rows, 5, 80), strict=True) if row[0] == c]
     assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == want
 
 
@@ -58,8 +39,8 @@ def test_near_copies_around_the_threshold(spark, monkeypatch, n, percent):
             own = changed(base, set(random.integers(0, size, changes).tolist()))
             docs.append((len(docs), own + " a line that very many of the texts share" * (len(docs) % 3)))
     got = near_groups(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), n, percent)
-    want = [(i, len(s), c) for (i, _), s, c in zip(docs, sets_of(docs, n), near_components(docs, n, percent), strict=True)]
-    assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == want
+    want = [(i, *c) for (i, _), c in zip(docs, brute.near_components(docs, n, percent), strict=True)]
+    assert sorted(map(tuple, got.collect())) == want
 
 
 def test_one_id_on_two_texts(spark):
@@ -67,3 +48,49 @@ def test_one_id_on_two_texts(spark):
     docs = [(1, changed(words, ())), (2, changed(words, (50,))), (2, "a clean text that nothing else is like"), (2, None)]
     got = near_deduplicated(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [docs[0], *docs[2:]]))
+
+
+def test_long_sets_and_clusters_over_several_tasks(spark, monkeypatch):
+    """Sketches of several widths, folded to meet; clusters whose sets no task takes together."""
+    monkeypatch.setattr("rootwise.llm.jaccard_join.CHECK_BYTES", 100_000)
+    random = np.random.default_rng(1)
+    docs = []
+    for size in (600, 1150, 1300, 2400, 5000):
+        base = [f"w{k}" for k in random.integers(0, 10**6, size)]
+        for n in range(6):
+            own = changed(base[: size - n * size // 40], set(random.integers(0, size, n * size // 100).tolist()))
+            docs.append((len(docs), own))
+    for n, percent in ((5, 80), (3, 90)):
+        got = near_groups(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), n, percent)
+        want = [(i, *c) for (i, _), c in zip(docs, brute.near_components(docs, n, percent), strict=True)]
+        assert sorted(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+@pytest.mark.parametrize("size", [100, 4000, 20_000])
+def test_sketches_rule_out_unlike_sets_at_every_size(size, percent):
+    """Sets of no similarity, and of half, never pass; linked ones always do."""
+    random = np.random.default_rng(size)
+    for common in (0, 2 * size // 3):
+        a, b = random.integers(0, 1 << 63, (2, size), np.uint64)
+        b[:common] = a[:common]
+        assert not _near([_sketch(np.unique(x), percent) for x in (a, b)], np.array([size, size]), percent).any()
+    less = size * percent // 100 + 1
+    for other in (a[:less], np.concatenate([a[: size - size * (100 - percent) // 250], b[: size * (100 - percent) // 250]])):
+        sizes = np.array([size, len(other)])
+        distance = len(np.setxor1d(a, other))
+        assert may_link(sizes[0], sizes[1], distance, percent)
+        assert _near([_sketch(np.unique(x), percent) for x in (a, other)], sizes, percent).sum() == 2
+    assert sketch_bits(size, percent) >= 8 * (100 - percent) * 2 * size // (100 + percent)
+
+
+def test_stage_of_nothing(spark, odd_docs):
+    assert near_deduplicated(odd_docs.limit(0), 5, 80).collect() == []
+    assert near_groups(odd_docs.limit(0), 5, 80).count() == 0
+
+
+def test_odd_rows_at_0_8(odd_docs):
+    rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_groups(odd_docs, 5, 80).collect()]
+    want = [(i, *c) for (i, _), c in zip(rows, brute.near_components(rows, 5, 80), strict=True)]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))

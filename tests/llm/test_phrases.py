@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from rootwise.llm import phrases
+from rootwise.llm import bitmaps, phrases
 from rootwise.llm.phrases import collocations
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -83,8 +83,8 @@ def test_long_prefixes_and_many_groups(spark, monkeypatch):
     monkeypatch.setattr(phrases, "PREFIX_BITS", 10)  # and numbers that many suffixes share
     docs = spark.createDataFrame(list(texts(4, 400)), SCHEMA).repartition(3)
     check(docs, args=(2, 4, 3, 50, 2000))
-    monkeypatch.setattr(phrases, "FILTER_BITS", 64)
-    monkeypatch.setattr(phrases, "SEGMENT_BITS", 16)
+    monkeypatch.setattr(bitmaps, "FILTER_BITS", 64)
+    monkeypatch.setattr(bitmaps, "SEGMENT_BITS", 16)
     check(docs, args=(2, 4, 3, 50, 2000))
 
 

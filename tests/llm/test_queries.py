@@ -63,8 +63,32 @@ def test_pipeline_stage_by_stage(spark):
                 firsts.setdefault(brute.normalised(t), (i, t))
             assert kept[name] == sorted(firsts.values())
         if name == "near dedup":
-            groups = brute.near_components(before)
+            groups = brute.near_components(before, 5, 80)
             assert kept[name] == sorted(row for row, (_, c) in zip(before, groups, strict=True) if row[0] == c)
         if name == "decontamination":
             assert kept[name] == sorted(row for row in before if not brute.contamination(row[1], items)[-1])
     assert 0 < len(kept["decontamination"]) < 200
+
+
+def test_pipeline_on_odd_rows(spark, odd_docs, tmp_path):
+    """Every stage keeps rows and columns as they are, whatever these hold, with and without any row."""
+    for name, docs in (("odd", odd_docs), ("empty", odd_docs.limit(0))):
+        folder = f"{tmp_path}/{name}"
+        docs.write.parquet(f"{folder}/documents.parquet")
+        labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, None), (None, "x")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        scratch = Scratch(spark, "test-pipeline-odd")
+        rows = spark.read.parquet(f"{folder}/documents.parquet")
+        for stage, function in corpus_pipeline.STAGES[:-1]:
+            before = {repr(tuple(r)) for r in rows.collect()}
+            rows = scratch.write(function(spark, rows, folder)).df
+            assert rows.columns == docs.columns
+            after = [repr(tuple(r)) for r in rows.collect()]
+            assert set(after) <= before
+            assert stage in ("exact dedup", "near dedup") or set(after) == before
+        pieces = corpus_pipeline.pack(spark, rows, folder).collect()
+        if name == "empty":
+            assert pieces == []
+        else:
+            check_packing(pieces, pairs(rows), 1024)
