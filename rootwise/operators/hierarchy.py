@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rootwise.model import GraphError
-from rootwise.operators.cycles import strong_components
 from rootwise.scratch import RoundTable, Scratch
 
-# Levels to pile up before they are merged into one table.
-MERGE_EVERY = 24
-
 _COLUMNS = ["id", "level", "root", "path", "isleaf"]
 
 
@@ -35,17 +33,11 @@ def hierarchy_columns(
     """
     scratch = Scratch(vertices.sparkSession, "hierarchy")
     nodes = _nodes(scratch, vertices, edges, multi_parent, orphan)
-    tops = nodes.df.where("parent is null").select(
-        "id",
-        F.lit(1).alias("level"),
-        "root",
-        F.concat(F.lit(separator), "seg").alias("path"),
-        "isleaf",
-    )
-    levels = _descend(scratch, nodes, scratch.write(tops), separator)
-    out = scratch.scan(levels).withColumn("iscyclic", F.lit(0))
-    if sum(level.rows for level in levels) < nodes.rows:
-        tied = scratch.write(nodes.df.join(scratch.scan(levels).select("id"), "id", "left_anti"))
+    text = F.concat(F.lit(separator), "seg")
+    found = _lifted(scratch, _unlifted(nodes.df, text), nodes.rows)
+    out = found.df.withColumn("iscyclic", F.lit(0))
+    if found.rows < nodes.rows:
+        tied = scratch.write(nodes.df.join(found.df.select("id"), "id", "left_anti"))
         out = out.unionByName(_cyclic(scratch, tied, separator).withColumn("iscyclic", F.lit(1)))
     return out.select("id", "level", "root", "path", "iscyclic", "isleaf")
 
@@ -58,13 +50,19 @@ def with_hierarchy(
     path: Column,
     **options,
 ) -> DataFrame:
-    """``df`` with the hierarchy columns of its own ``pk``/``parent`` relation."""
+    """``df`` with the hierarchy columns of its own ``pk``/``parent`` relation.
+
+    Columns of ``df`` with the names of these are replaced, as ``withColumn`` does.
+    """
     vertices = df.select(F.col(pk).alias("id"), root.alias("root"), path.alias("path"))
     edges = df.where(F.col(parent).isNotNull()).select(
         F.col(parent).alias("parent"), F.col(pk).alias("child")
     )
-    found = hierarchy_columns(vertices, edges, **options).withColumnRenamed("id", pk)
-    return df.join(found, pk).select(*df.columns, "level", "root", "path", "iscyclic", "isleaf")
+    found = hierarchy_columns(vertices, edges, **options)
+    own = df.select(F.col(pk).alias("id"), F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("own"))
+    added = ["level", "root", "path", "iscyclic", "isleaf"]
+    kept = [F.col(f"own.`{name}`") for name in df.columns if name.lower() not in added]
+    return own.join(found, "id").select(*kept, *added)
 
 
 def _nodes(scratch, vertices, edges, multi_parent, orphan) -> RoundTable:
@@ -113,45 +111,101 @@ def _nodes(scratch, vertices, edges, multi_parent, orphan) -> RoundTable:
     )
 
 
-def _below(nodes: DataFrame, fresh: DataFrame, separator: str) -> DataFrame:
-    """The children of ``fresh``, one level down."""
-    above = fresh.select(F.col("id").alias("parent"), "level", F.col("root").alias("top"), F.col("path"))
-    return nodes.join(above, "parent").select(
+@dataclass(frozen=True)
+class _Lifted:
+    """Rows ``(id, level, root, path, isleaf)`` that a top was found for, and their number."""
+
+    df: DataFrame
+    rows: int
+
+
+def _unlifted(nodes: DataFrame, text: Column) -> DataFrame:
+    """Every vertex with its parent ``up`` and the path from below that, here its own entry."""
+    return nodes.select(
         "id",
-        (F.col("level") + 1).alias("level"),
-        F.col("top").alias("root"),
-        F.concat("path", F.lit(separator), "seg").alias("path"),
+        F.col("parent").alias("up"),
+        F.lit(1).alias("level"),
+        F.when(F.col("parent").isNull(), F.col("root")).alias("root"),
+        text.alias("path"),
         "isleaf",
     )
 
 
-def _descend(scratch, nodes: RoundTable, first: RoundTable, separator: str) -> list[RoundTable]:
-    """``first`` and all levels below it, one join each."""
-    levels, last = [first], first
-    while last.rows:
-        below = scratch.write(_below(nodes.df, last.df, separator))
-        scratch.drop_unless(levels, last)
-        last = below
-        levels.append(last)
-        if len(levels) > MERGE_EVERY:
-            merged = scratch.write(scratch.scan(levels))
-            scratch.drop(*levels[:-1])
-            levels = [merged]
-    return levels
+def _lifted(scratch, start: DataFrame, rows: int) -> _Lifted:
+    """Double the way up of every vertex of ``start`` until it ends at a top, which has ``up`` NULL.
+
+    A round puts the path of ``up``, as far as it is known, before a vertex's own, so levels from ``2**k`` on
+    are found in round k. A round that finds none means that what is left has no top: were there a
+    deeper vertex with one, some vertex above it would have been found.
+    """
+    is_top = F.col("up").isNull()
+    last = scratch.write(start, tops=F.count_if(is_top))
+    tables, found = [last], last.counts["tops"]
+    fresh = found
+    while fresh and found < rows:
+        here = last.df.where(~is_top)
+        known = scratch.scan(tables).where(is_top).unionByName(here)
+        above = known.select(
+            F.col("id").alias("at"), F.col("up").alias("next"), F.col("level").alias("more"),
+            F.col("root").alias("top"), F.col("path").alias("before"),
+        )
+        joined = here.join(above, F.col("up") == F.col("at")).select(
+            "id",
+            F.col("next").alias("up"),
+            (F.col("level") + F.col("more")).alias("level"),
+            F.col("top").alias("root"),
+            F.concat("before", "path").alias("path"),
+            "isleaf",
+        )
+        last = scratch.write(joined, tops=F.count_if(is_top))
+        fresh = last.counts["tops"]
+        tables.append(last)
+        found += fresh
+    return _Lifted(scratch.scan(tables).where(is_top).select(*_COLUMNS), found)
 
 
 def _cyclic(scratch, tied: RoundTable, separator: str) -> DataFrame:
     """Rows of the vertices no top is above: cycles, and the trees below them."""
-    links = tied.df.select(F.col("parent").alias("src"), F.col("id").alias("dst"))
-    groups = strong_components(scratch, links)
-    members = tied.df.where("parent = id").select("id", F.lit(1).cast("long").alias("n"))
-    if groups is not None:
-        sizes = groups.df.groupBy("cycle_id").agg(F.count(F.lit(1)).alias("n"))
-        members = members.unionByName(groups.df.join(sizes, "cycle_id").select("id", "n"))
+    members = _rings(scratch, tied)
     ring = scratch.write(tied.df.join(members, "id"), longest=F.max("n"))
-    rows = scratch.write(_walked(scratch, ring, separator).select(*_COLUMNS))
-    trees = scratch.write(tied.df.join(members.select("id"), "id", "left_anti"))
-    return scratch.scan(_descend(scratch, trees, rows, separator))
+    rows = _walked(scratch, ring, separator)
+    nothing = F.lit(None).cast(tied.schema["parent"].dataType)
+    trees = tied.df.join(members.select("id"), "id", "left_anti")
+    below = _unlifted(trees, F.concat(F.lit(separator), "seg"))
+    tops = rows.withColumn("up", nothing).select(*below.columns)
+    return _lifted(scratch, tops.unionByName(below), tied.rows).df
+
+
+def _rings(scratch, tied: RoundTable) -> DataFrame:
+    """``(id, n)``: the vertices on cycles of parents, with the length of their cycle.
+
+    Where ``2**k`` steps up from all vertices lead is a smaller set every round, until twice as many
+    steps lead to as many: then these are the vertices on cycles. Each takes the smallest id
+    on its way up, over ways of doubling length, until a round changes none: then the ways go all round.
+    """
+    jumps = scratch.write(tied.df.select("id", F.col("parent").alias("to")))
+    before = tied.rows
+    while True:
+        image = scratch.write(jumps.df.select(F.col("to").alias("id")).distinct())
+        if image.rows == before:
+            break
+        before, onward = image.rows, jumps.df.toDF("to", "next")
+        doubled = scratch.write(jumps.df.join(onward, "to").select("id", F.col("next").alias("to")))
+        scratch.drop(jumps, image)
+        jumps = doubled
+    scratch.drop(jumps)
+    ways = scratch.write(
+        tied.df.join(image.df, "id").select("id", F.col("parent").alias("to"), F.col("id").alias("low")), changed=F.count("id")
+    )
+    while ways.counts["changed"]:
+        onward = ways.df.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("low").alias("lower"))
+        low = F.least("low", "lower")
+        longer = ways.df.join(onward, "to").select("id", F.col("next").alias("to"), low.alias("low"), (low < F.col("low")).alias("new"))
+        longer = scratch.write(longer, changed=F.count_if("new"))
+        scratch.drop(ways)
+        ways = longer
+    sizes = ways.df.groupBy("low").agg(F.count(F.lit(1)).alias("n"))
+    return ways.df.join(sizes, "low").select("id", "n")
 
 
 def _walked(scratch, ring: RoundTable, separator: str) -> DataFrame:

@@ -384,12 +384,13 @@ ORACLES = {
     "orphaned_hierarchy": """
         SELECT 'C' || c_custkey AS id, CAST(1 AS INTEGER) AS level, 'C' || c_custkey AS root,
                '/C' || c_custkey AS path, CAST(0 AS INTEGER) AS iscyclic,
-               CAST(CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 0 ELSE 1 END AS INTEGER) AS isleaf
-        FROM customer WHERE c_custkey % 3 <> 0
+               CAST(CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus <> 'F') THEN 0 ELSE 1 END
+                    AS INTEGER) AS isleaf
+        FROM customer
         UNION ALL
-        SELECT 'O' || o_orderkey, CASE WHEN o_custkey % 3 <> 0 THEN 2 ELSE 1 END,
-               CASE WHEN o_custkey % 3 <> 0 THEN 'C' || o_custkey ELSE 'O' || o_orderkey END,
-               CASE WHEN o_custkey % 3 <> 0 THEN '/C' || o_custkey ELSE '' END || '/O' || o_orderkey, 0, 1
+        SELECT 'O' || o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN 2 ELSE 1 END,
+               CASE WHEN o_orderstatus <> 'F' THEN 'C' || o_custkey ELSE 'O' || o_orderkey END,
+               CASE WHEN o_orderstatus <> 'F' THEN '/C' || o_custkey ELSE '' END || '/O' || o_orderkey, 0, 1
         FROM orders""",
     "formula_values_extreme": """
         WITH calc AS (

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from rootwise import FormulaGraph, GraphError
 from rootwise.operators import evaluate as evaluate_module
-from rootwise.operators import hierarchy as hierarchy_module
 from rootwise.operators import peel as peel_module
 from rootwise.operators import propagate as propagate_module
 from rootwise.operators import spread as spread_module
@@ -16,7 +15,7 @@ from rootwise.operators.build import formula_graph
 from rootwise.operators.cycles import cycle_affected, cycle_groups
 from rootwise.operators.depth import depth_from_root
 from rootwise.operators.evaluate import evaluate_formulas
-from rootwise.operators.hierarchy import hierarchy_columns
+from rootwise.operators.hierarchy import hierarchy_columns, with_hierarchy
 from rootwise.operators.paths import hop_distances, reachable_subgraph, shortest_distances
 from rootwise.operators.propagate import propagate
 from rootwise.sources.generators import log_normal_edges, log_normal_graph
@@ -26,7 +25,7 @@ from tests import models
 @pytest.fixture(params=[1, 24])
 def size(request, monkeypatch):
     """Run a test with round tables merged at once, then as few as there are left apart."""
-    for module in (evaluate_module, hierarchy_module, peel_module, propagate_module, spread_module):
+    for module in (evaluate_module, peel_module, propagate_module, spread_module):
         monkeypatch.setattr(module, "MERGE_EVERY", request.param)
     return request.param
 
@@ -137,7 +136,7 @@ def many_trees(seed, count=40):
     return parents
 
 
-def test_hierarchies(spark, size):
+def test_hierarchies(spark):
     parents = many_trees(6)
     vertices = spark.createDataFrame([(i, f"root {i}", f"p{i}") for i in parents], "id string, root string, path string")
     links = spark.createDataFrame([(p, c) for c, p in parents.items()], "parent string, child string")
@@ -149,6 +148,34 @@ def test_hierarchies(spark, size):
     assert got == want
 
 
+def test_a_deep_chain_in_few_rounds(spark):
+    """A chain of 4,000, a ring with a chain of 300 below it, and a wide level."""
+    rings = {5000 + n: 5000 + (n + 1) % 7 for n in range(7)} | {6000 + n: 5999 + n if n else 5003 for n in range(300)}
+    parents = {n: n - 1 if n else None for n in range(4000)} | {7000 + n: 3999 for n in range(50)} | rings
+    vertices = spark.createDataFrame([(i, str(i), str(i)) for i in parents], "id long, root string, path string")
+    links = spark.createDataFrame([(p, c) for c, p in parents.items()], "parent long, child long")
+    spark.sparkContext.setJobGroup("deep", "deep")
+    found = hierarchy_columns(vertices, links)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("deep"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs < 200, jobs
+    got = {r.id: tuple(r)[1:] for r in found.collect()}
+    chain = "".join(f"/{n}" for n in range(4000))
+    want = {n: (n + 1, "0", "".join(f"/{v}" for v in range(n + 1)), 0, 0) for n in range(4000)}
+    want |= {7000 + n: (4001, "0", f"{chain}/{7000 + n}", 0, 1) for n in range(50)}
+    for i, (level, path, cyclic, leaf) in models.hierarchy(rings).items():
+        want[i] = (level, str(path[0]), "".join(f"/{v}" for v in path), cyclic, leaf)
+    assert got == want
+
+
+def test_own_columns_with_the_names_of_the_hierarchy(spark):
+    rows = [("a", None, "x", 7, "own"), ("b", "a", "y", 8, "own")]
+    df = spark.createDataFrame(rows, "pk string, up string, root string, level int, path string")
+    got = with_hierarchy(df, "pk", "up", F.col("pk"), F.col("pk"))
+    assert got.columns == ["pk", "up", "level", "root", "path", "iscyclic", "isleaf"]
+    assert sorted(map(tuple, got.collect())) == [("a", None, 1, "a", "/a", 0, 0), ("b", "a", 2, "a", "/a/b", 0, 1)]
+
+
 def test_hierarchy_checks(spark):
     vertices = spark.createDataFrame([(i, i, i) for i in "abc"], "id string, root string, path string")
 

@@ -129,9 +129,12 @@ def test_employees(spark):
         F.concat("last_name", F.lit(" "), "first_name"),
     ).orderBy("level", F.substring("emp_id", 2, 5).cast("int"))
     rows = {r.emp_id: r for r in out.collect()}
-    assert [r.level for r in rows.values()] == [1, 2, 3, 3, 4, 5, 6, 7, 7, 8]
-    assert {r.root for r in rows.values()} == {"Ada Berg"}
-    assert {i for i, r in rows.items() if r.isleaf} == {"E3", "E8", "E10"}
+    assert [(r.level, i) for i, r in rows.items()] == [
+        (1, "W10"), (1, "W20"), (2, "W11"), (2, "W12"), (2, "W13"), (2, "W21"), (3, "W14"), (3, "W15"), (3, "W16")
+    ]
+    assert {i for i, r in rows.items() if r.root == "Unni Bakke"} == {"W20", "W21"}
+    assert {r.root for r in rows.values()} == {"Nils Torp", "Unni Bakke"}
+    assert {i for i, r in rows.items() if not r.isleaf} == {"W10", "W12", "W13", "W20"}
     assert {r.iscyclic for r in rows.values()} == {0}
-    assert rows["E4"].path == "/Berg Ada/Carlsen Ben/Eide Dan"
-    assert rows["E1"].mgr_id is None
+    assert rows["W15"].path == "/Torp Nils/Vik Odd/Dahl Siri"
+    assert rows["W20"].path == "/Bakke Unni" and rows["W20"].mgr_id is None
