@@ -103,7 +103,7 @@ def cycle_affected(graph: FormulaGraph, groups: CycleGroups) -> CycleGroups:
     """
     scratch = Scratch(graph.spark, "affected")
     seeds = groups.members.groupBy("cycle_id").agg(F.min("id").alias("id"))
-    edges = scratch.write(graph.edges.select("src", "dst")).df
+    edges = scratch.write_bucketed(graph.edges.select("src", "dst"), "src").df
     reached = scratch.write(
         reach(scratch, edges, seeds.select("id", "cycle_id"), ("cycle_id",)).select("cycle_id", "id")
     ).df
@@ -114,7 +114,7 @@ def cycle_affected(graph: FormulaGraph, groups: CycleGroups) -> CycleGroups:
 def affected_by_any(graph: FormulaGraph, groups: CycleGroups) -> FormulaGraph:
     """All that some cycle reaches, once each, whichever and however many cycles those are."""
     scratch = Scratch(graph.spark, "affected-any")
-    edges = scratch.write(graph.edges.select("src", "dst")).df
+    edges = scratch.write_bucketed(graph.edges.select("src", "dst"), "src").df
     seeds = groups.members.select("id").distinct()
     reached = scratch.write(reach(scratch, edges, seeds).select("id")).df
     return FormulaGraph(

@@ -48,7 +48,7 @@ def depth_table(graph: FormulaGraph, scratch: Scratch) -> DepthTable:
     needs = scratch.write(
         in_degrees(graph.vertices, kept), free=F.count_if(F.col("need") == 0)
     )
-    edges = scratch.write(with_need(kept, needs.df))
+    edges = scratch.write_bucketed(with_need(kept, needs.df), "src")
     is_root = F.col("id") == graph.root_id
     start = needs.df.where("need = 0").select("id", F.when(is_root, F.lit(0)).alias("depth"))
     first = peel(scratch, edges, start, needs.counts["free"], root_id=graph.root_id)
@@ -79,8 +79,8 @@ def _held_up(graph, scratch, edges, needs, first) -> list[DataFrame]:
     cycle above it.
     """
     left = scratch.write(needs.select("id").join(first.done.select("id"), "id", "left_anti"))
-    among = scratch.write(
-        edges.df.join(left.df.withColumnRenamed("id", "src"), "src", "left_semi").select("src", "dst")
+    among = scratch.write_bucketed(
+        edges.df.join(left.df.withColumnRenamed("id", "src"), "src", "left_semi").select("src", "dst"), "src"
     )
     heard = left.df.where(F.col("id") == graph.root_id).select("id", F.lit(0).alias("depth"))
     if first.waiting is not None:
@@ -95,7 +95,7 @@ def _held_up(graph, scratch, edges, needs, first) -> list[DataFrame]:
         in_degrees(reached.df, inner.df).join(heard, "id", "left"),
         free=F.count_if(F.col("need") == 0),
     )
-    onward = scratch.write(with_need(inner.df, again.df.select("id", "need")))
+    onward = scratch.write_bucketed(with_need(inner.df, again.df.select("id", "need")), "src")
     start = again.df.where("need = 0").select("id", "depth")
     waiting = again.df.where("need > 0 and depth is not null").select(
         "id", "need", F.lit(0).cast("long").alias("got"), "depth"

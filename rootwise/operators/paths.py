@@ -20,7 +20,8 @@ def hop_distances(graph: FormulaGraph, landmarks: DataFrame) -> DataFrame:
     its work is set by what can reach them.
     """
     scratch = Scratch(graph.spark, "hops")
-    against = scratch.write(graph.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).df
+    turned = graph.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    against = scratch.write_bucketed(turned, "src").df
     seeds = (
         graph.vertices.select("id")
         .join(landmarks.select("id"), "id", "left_semi")
@@ -39,7 +40,7 @@ def distance_maps(distances: DataFrame) -> DataFrame:
 def reachable_from(graph: FormulaGraph, root_id) -> DataFrame:
     """``(id, distance)`` of the root and everything below it."""
     scratch = Scratch(graph.spark, "reach")
-    return _reached(scratch, graph, scratch.write(graph.edges).df, root_id)
+    return _reached(scratch, graph, scratch.write_bucketed(graph.edges, "src").df, root_id)
 
 
 def _reached(scratch: Scratch, graph: FormulaGraph, edges: DataFrame, root_id) -> DataFrame:
@@ -56,7 +57,7 @@ def reachable_subgraph(graph: FormulaGraph, root_id) -> FormulaGraph:
     induced edges. Only a root without any edge can be isolated.
     """
     scratch = Scratch(graph.spark, "subgraph")
-    written = scratch.write(graph.edges).df
+    written = scratch.write_bucketed(graph.edges, "src").df
     reached = _reached(scratch, graph, written, root_id).select("id")
     edges = written.join(reached.withColumnRenamed("id", "src"), "src", "left_semi")
     edges = edges.select(*graph.edges.columns)
@@ -72,10 +73,11 @@ def shortest_distances(edges: DataFrame, source_id) -> DataFrame:
     weighted = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"))
     odd = F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") < 0)
     scratch = Scratch(edges.sparkSession, "sssp")
-    table = scratch.write(
+    table = scratch.write_bucketed(
         weighted.groupBy("src", "dst").agg(
             F.min("weight").alias("weight"), F.max(odd).alias("odd")
         ),
+        "src",
         odd=F.count_if("odd"),
     )
     if table.counts["odd"]:

@@ -74,7 +74,7 @@ def peel(
         if 2 * spent > live.rows:
             # Half of the edges lead to finished vertices: go on without them.
             used = _finished(scratch, start, layers[:-1]).select(F.col("id").alias("src"))
-            rest = scratch.write(live.df.join(used, "src", "left_anti").select("src", "dst", "need"))
+            rest = scratch.write_bucketed(live.df.join(used, "src", "left_anti").select("src", "dst", "need"), "src")
             if live is not edges:
                 scratch.drop(live)
             live, spent = rest, 0

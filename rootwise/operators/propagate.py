@@ -50,7 +50,7 @@ def propagate(
         raise ValueError("active is 'out' or 'any', send_to is 'src' or 'dst'")
     scratch = Scratch(vertices.sparkSession, "propagate")
     names = list(state)
-    links = scratch.write(edges.select("src", "dst", F.struct(*edges.columns).alias("edge"))).df
+    links = scratch.write_bucketed(edges.select("src", "dst", F.struct(*edges.columns).alias("edge")), "src").df
     started = vertices.select("id", *[column.alias(name) for name, column in state.items()], F.lit(0).alias("round"))
     changed = scratch.write(started)
     kinds = {name: changed.schema[name].dataType for name in names}

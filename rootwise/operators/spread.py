@@ -31,8 +31,8 @@ def spread_min(
 ) -> DataFrame:
     """Smallest ``val`` per ``(id, *labels)`` reached from ``seeds(id, *labels, val)``.
 
-    ``edges(src, dst, ...)`` is read once a round, so it should be a written table; ``step``
-    is the SQL expression of the value at ``dst`` from ``val`` at ``src``, and may use edge
+    ``edges(src, dst, ...)`` is read every round, so it should be a table written in buckets of ``src``:
+    then no round shuffles it. ``step`` is the SQL expression of the value at ``dst`` from ``val`` at ``src``, and may use edge
     columns. ``settled`` says that the first value a row gets is final, as with hop counts;
     otherwise values may improve in later rounds.
     """

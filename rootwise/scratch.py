@@ -9,6 +9,7 @@ write itself (``observe``), so the driver sees numbers and never rows.
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -39,9 +40,12 @@ class RoundTable:
     schema: T.StructType
     rows: int
     counts: dict[str, int] = field(default_factory=dict)
+    name: str | None = None  # in the session's catalog, of a bucketed table
 
     @cached_property
     def df(self) -> DataFrame:
+        if self.name:
+            return self.spark.table(self.name)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
 
@@ -57,18 +61,33 @@ class Scratch:
         self, df: DataFrame, partition_by: tuple[str, ...] = (), **counts: Column
     ) -> RoundTable:
         """Write ``df`` once; ``counts`` are extra aggregates observed on the way."""
-        path = f"{self.path}/{self._written:05d}"
-        self._written += 1
-        seen = Observation()
-        watched = df.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            *[agg.alias(name) for name, agg in counts.items()],
-        )
-        writer = watched.write
+        path, seen = self._next_path(), Observation()
+        writer = _watched(df, seen, counts).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
+        return self._table(df, path, seen, counts)
+
+    def write_bucketed(self, df: DataFrame, key: str, **counts: Column) -> RoundTable:
+        """Write ``df`` once, bucketed and sorted by ``key``, one file a bucket.
+
+        A join on ``key`` then reads it as it lies: only the other side is shuffled, however often such
+        joins are made. There are ``spark.sql.shuffle.partitions`` buckets.
+        """
+        path, seen = self._next_path(), Observation()
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        name = f"{_table_prefix(self.spark)}{uuid.uuid4().hex}"
+        spread = _watched(df, seen, counts).repartition(buckets, key)
+        spread.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+        table = self._table(df, path, seen, counts)
+        table.name = name
+        return table
+
+    def _next_path(self) -> str:
+        self._written += 1
+        return f"{self.path}/{self._written - 1:05d}"
+
+    def _table(self, df: DataFrame, path: str, seen: Observation, counts: dict[str, Column]) -> RoundTable:
         got = seen.get
         extra = {name: got.get(name) or 0 for name in counts}
         return RoundTable(self.spark, path, df.schema, got.get("rows", 0), extra)
@@ -77,10 +96,11 @@ class Scratch:
         """All rows of several round tables of one schema, as a single file scan."""
         return self.spark.read.schema(tables[0].schema).parquet(*[t.path for t in tables])
 
-
     def drop(self, *tables: RoundTable) -> None:
         """Delete tables that nothing reads any more."""
         for table in tables:
+            if table.name:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table.name}")
             _delete(self.spark, table.path)
 
     def drop_unless(self, kept: list[RoundTable], table: RoundTable) -> None:
@@ -95,9 +115,21 @@ def clear_round_tables(spark: SparkSession) -> None:
     Call it when no result of this package is still to be read: results are DataFrames
     over round tables. Other applications' tables in the same folder stay.
     """
+    for table in spark.catalog.listTables():
+        if table.name.startswith(_table_prefix(spark)):
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
     _delete(spark, _session_dir(spark))
 
 
+def _watched(df: DataFrame, seen: Observation, counts: dict[str, Column]) -> DataFrame:
+    named = [agg.alias(name) for name, agg in counts.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *named)
+
+
+def _table_prefix(spark: SparkSession) -> str:
+    return "rootwise_" + re.sub(r"\W", "_", spark.sparkContext.applicationId).lower() + "_"
+
+
 def _session_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/rootwise/{spark.sparkContext.applicationId}"
 

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from rootwise.operators.build import formula_graph
 from rootwise.operators.evaluate import evaluate_formulas
-from rootwise.operators.spread import spread_min
-from rootwise.scratch import Scratch, _session_dir, shared_dir
+from rootwise.operators.peel import _round
+from rootwise.operators.spread import HOPS, _hops, spread_min
+from rootwise.scratch import Scratch, _session_dir, _table_prefix, shared_dir
 
 
 def tables(scratch):
@@ -55,3 +56,44 @@ def test_a_chain_of_formulas(spark):
     got = {r.id: r.value for r in values.where(F.col("id") != "r00t").collect()}
     assert got == {f"v{n}": n + 1.0 for n in range(25)}
     assert jobs < 25 * 16, jobs
+
+
+def above_scans(df):
+    """For every read of a bucketed table, the operators between it and the join above."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    found = []
+    for n, line in enumerate(lines):
+        if "FileScan" in line and "Bucketed: true" in line:
+            above, at = [], depth[n]
+            for m in range(n - 1, -1, -1):
+                if depth[m] < at:
+                    above.append(lines[m].lstrip(" :+-").split()[0])
+                    at = depth[m]
+                    if "Join" in above[-1]:
+                        break
+            found.append(above)
+    return found
+
+
+def test_no_round_shuffles_the_edges(spark):
+    """Rounds too large for a broadcast read bucketed edges where they lie, on every hop."""
+    scratch = Scratch(spark, "test-buckets")
+    links = spark.range(1000).selectExpr("id AS src", "(id * 7 + 1) % 1000 AS dst", "cast(1 AS long) AS need")
+    edges = scratch.write_bucketed(links, "src")
+    assert edges.rows == edges.df.count() == 1000
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hops = _hops(edges.df.select("src", "dst"), scratch.write(spark.range(300).selectExpr("id", "0 AS val")).df, "val + 1", ())
+        peeled = _round(edges.df, scratch.write(spark.range(300).selectExpr("id", "0 AS depth")).df, None, None)
+        for plan, reads in ((hops, HOPS * (HOPS + 1) // 2), (peeled, 1)):
+            found = above_scans(plan)
+            assert len(found) == reads
+            assert not [above for above in found if any("Exchange" in name for name in above)], found
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {r.val for r in hops.collect()} <= {1, 2, 3}
+    scratch.drop(edges)
+    assert not [t for t in spark.catalog.listTables() if t.name == edges.name]
+    assert edges.name.startswith(_table_prefix(spark))
