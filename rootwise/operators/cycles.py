@@ -8,21 +8,111 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rootwise.model import FormulaGraph
+from rootwise.operators.doubling import rings, way_ends
 from rootwise.operators.spread import reach, spread_min
 from rootwise.scratch import RoundTable, Scratch
 
 SELF_SUFFIX = "#self"
 
 
+# What a round of trimming or contracting must take off the edges to be worth another, as a divisor.
+WORTH = 8
+
+
 def strong_components(scratch: Scratch, edges: DataFrame) -> RoundTable | None:
     """``(cycle_id, id)`` of the components with two or more vertices; None without any.
 
-    ``cycle_id`` is the smallest id inside. Every vertex takes two colours in one search: the
-    smallest id that reaches it and the smallest it reaches. Where both are the same, that
-    vertex is on a way there and back, so these are that id's component. A component has
-    one pair of colours, so the rest goes round again with the edges inside a pair only.
+    ``cycle_id`` is the smallest id inside. Vertices without a live edge in and one out are on no cycle: they
+    are trimmed. A chain of vertices with one edge in and one out becomes an edge between its ends, and the
+    chain belongs to the component that has both; rings of such vertices are components. Both go on while they
+    shrink the graph; a chain of any length is gone after as many rounds as that has digits. Colours
+    decide what is left: see :func:`_coloured`.
     """
     live = scratch.write(edges.where("src <> dst").select("src", "dst").distinct())
+    parts: list[RoundTable] = []
+    chains: list[tuple[RoundTable, RoundTable]] = []
+    live = _trimmed(scratch, live)
+    while live.rows:
+        before = live.rows
+        live, contracted = _contracted(scratch, live, parts)
+        if contracted is None:
+            break
+        chains.append(contracted)
+        live = _trimmed(scratch, live)
+        if before - live.rows < before // WORTH:
+            break
+    if live.rows:
+        parts.append(_coloured(scratch, live))
+    if not parts and not chains:
+        return None
+    none = scratch.write(edges.select(F.col("src").alias("id"), F.col("src").alias("low")).where("false"))
+    members = scratch.scan([none, *parts])
+    for chain, back in reversed(chains):
+        # A vertex that a chain leads back to is a component with it, if it is in no other.
+        alone = back.df.join(members.select("id"), "id", "left_anti")
+        members = members.unionByName(alone.select("id", F.col("id").alias("low")))
+        both = chain.df.join(members.toDF("low", "above"), F.col("low") == F.col("head")).drop("low")
+        both = both.join(members.toDF("low", "below"), F.col("low") == F.col("tail")).where("above = below")
+        members = scratch.write(members.unionByName(both.select("id", F.col("above").alias("low")))).df
+    sizes = members.groupBy("low").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("cycle_id")).where("n > 1")
+    found = scratch.write(members.join(sizes, "low").select("cycle_id", "id"))
+    return found if found.rows else None
+
+
+def _trimmed(scratch: Scratch, live: RoundTable) -> RoundTable:
+    """The edges whose source has an edge in and whose target has one out, again and again."""
+    while live.rows:
+        into, out = live.df.select(F.col("dst").alias("src")), live.df.select(F.col("src").alias("dst"))
+        rest = live.df.join(into.distinct(), "src", "left_semi").join(out.distinct(), "dst", "left_semi")
+        left = scratch.write(rest.select("src", "dst"))
+        gone = live.rows - left.rows
+        scratch.drop(live)
+        live = left
+        if gone <= left.rows // WORTH:
+            break
+    return live
+
+
+def _contracted(
+    scratch: Scratch, live: RoundTable, parts: list[RoundTable]
+) -> tuple[RoundTable, tuple[RoundTable, RoundTable] | None]:
+    """The edges with chains as single ones; the chains' vertices ``(id, head, tail)`` and those that one leads back to.
+
+    There is only the first if chains are few. Rings go to ``parts`` as ``(id, low)``.
+    """
+    uses = live.df.select(F.col("src").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        live.df.select(F.col("dst").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    single = uses.groupBy("id").agg(F.sum("out").alias("out"), F.sum("into").alias("into")).where("out = 1 and into = 1")
+    mids = scratch.write(single.select("id"))
+    if mids.rows <= live.rows // WORTH:
+        return live, None
+    down = scratch.write(live.df.join(mids.df.withColumnRenamed("id", "src"), "src").toDF("id", "to"))
+    up = live.df.join(mids.df.withColumnRenamed("id", "dst"), "dst").select(F.col("dst").alias("id"), F.col("src").alias("to"))
+    tails, endless = way_ends(scratch, down.df)
+    tails = scratch.write(tails)
+    if tails.rows < down.rows:
+        round_ = down.df.join(tails.df, "id", "left_anti")
+        parts.append(scratch.write(rings(scratch, round_, down.rows - tails.rows).select("id", "low")))
+    heads, _ = way_ends(scratch, scratch.write(up.join(tails.df, "id", "left_semi")).df)
+    chain = scratch.write(heads.join(tails.df.withColumnRenamed("end", "tail"), "id").select("id", F.col("end").alias("head"), "tail"))
+    plain = live.df.join(mids.df.withColumnRenamed("id", "src"), "src", "left_anti")
+    through = plain.join(chain.df.select(F.col("id").alias("dst"), "tail"), "dst", "left")
+    joined = scratch.write(through.select("src", F.coalesce("tail", "dst").alias("dst")).distinct())
+    back = scratch.write(joined.df.where("src = dst").select(F.col("src").alias("id")))
+    rest = scratch.write(joined.df.where("src <> dst"))
+    scratch.drop(live, joined)
+    return rest, (chain, back)
+
+
+def _coloured(scratch: Scratch, live: RoundTable) -> RoundTable:
+    """``(id, low)``: every vertex with a label that it shares with its component only.
+
+    Every vertex takes two colours in one search: the smallest id that reaches it and the smallest it
+    reaches. Where both are the same, that vertex is on a way there and back, so these are that id's
+    component. A component has one pair of colours, so the rest goes round again with the edges inside
+    a pair only.
+    """
     found: list[RoundTable] = []
     while live.rows:
         forth = live.df.select("src", "dst", F.lit(True).alias("forth"))
@@ -44,15 +134,10 @@ def strong_components(scratch: Scratch, edges: DataFrame) -> RoundTable | None:
             .join(open_.toDF("dst", "low", "high"), ["dst", "low", "high"])
             .select("src", "dst")
         )
-        inside = scratch.write(rest)
+        inside = _trimmed(scratch, scratch.write(rest))
         scratch.drop(live)
         live = inside
-    if not found:
-        return None
-    # A vertex that is the smallest above and below it may be alone.
-    members = scratch.scan(found).where("low = high").select(F.col("low").alias("cycle_id"), "id")
-    sizes = members.groupBy("cycle_id").count().where("count > 1").select("cycle_id")
-    return scratch.write(members.join(sizes, "cycle_id", "left_semi"))
+    return scratch.write(scratch.scan(found).where("low = high").select("id", "low"))
 
 
 @dataclass(frozen=True)

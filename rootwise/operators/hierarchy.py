@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rootwise.model import GraphError
+from rootwise.operators.doubling import rings
 from rootwise.scratch import RoundTable, Scratch
 
 _COLUMNS = ["id", "level", "root", "path", "isleaf"]
@@ -166,7 +167,7 @@ def _lifted(scratch, start: DataFrame, rows: int) -> _Lifted:
 
 def _cyclic(scratch, tied: RoundTable, separator: str) -> DataFrame:
     """Rows of the vertices no top is above: cycles, and the trees below them."""
-    members = _rings(scratch, tied)
+    members = rings(scratch, tied.df.select("id", F.col("parent").alias("to")), tied.rows).select("id", "n")
     ring = scratch.write(tied.df.join(members, "id"), longest=F.max("n"))
     rows = _walked(scratch, ring, separator)
     nothing = F.lit(None).cast(tied.schema["parent"].dataType)
@@ -176,38 +177,6 @@ def _cyclic(scratch, tied: RoundTable, separator: str) -> DataFrame:
     return _lifted(scratch, tops.unionByName(below), tied.rows).df
 
 
-def _rings(scratch, tied: RoundTable) -> DataFrame:
-    """``(id, n)``: the vertices on cycles of parents, with the length of their cycle.
-
-    Where ``2**k`` steps up from all vertices lead is a smaller set every round, until twice as many
-    steps lead to as many: then these are the vertices on cycles. Each takes the smallest id
-    on its way up, over ways of doubling length, until a round changes none: then the ways go all round.
-    """
-    jumps = scratch.write(tied.df.select("id", F.col("parent").alias("to")))
-    before = tied.rows
-    while True:
-        image = scratch.write(jumps.df.select(F.col("to").alias("id")).distinct())
-        if image.rows == before:
-            break
-        before, onward = image.rows, jumps.df.toDF("to", "next")
-        doubled = scratch.write(jumps.df.join(onward, "to").select("id", F.col("next").alias("to")))
-        scratch.drop(jumps, image)
-        jumps = doubled
-    scratch.drop(jumps)
-    ways = scratch.write(
-        tied.df.join(image.df, "id").select("id", F.col("parent").alias("to"), F.col("id").alias("low")), changed=F.count("id")
-    )
-    while ways.counts["changed"]:
-        onward = ways.df.select(F.col("id").alias("to"), F.col("to").alias("next"), F.col("low").alias("lower"))
-        low = F.least("low", "lower")
-        longer = ways.df.join(onward, "to").select("id", F.col("next").alias("to"), low.alias("low"), (low < F.col("low")).alias("new"))
-        longer = scratch.write(longer, changed=F.count_if("new"))
-        scratch.drop(ways)
-        ways = longer
-    sizes = ways.df.groupBy("low").agg(F.count(F.lit(1)).alias("n"))
-    return ways.df.join(sizes, "low").select("id", "n")
-
-
 def _walked(scratch, ring: RoundTable, separator: str) -> DataFrame:
     """Each vertex of a cycle of n with the path of the n vertices walked up from it.
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rootwise import FormulaGraph, GraphError
+from rootwise.operators import cycles as cycles_module
 from rootwise.operators import evaluate as evaluate_module
 from rootwise.operators import peel as peel_module
 from rootwise.operators import propagate as propagate_module
@@ -88,6 +89,29 @@ def test_cycles_and_what_they_affect(spark, size):
     }
 
 
+def test_cycles_of_chains_in_few_rounds(spark, monkeypatch):
+    """Chains of thousands, a long ring, loops of chains at one vertex and at two, chains between cycles."""
+    monkeypatch.setattr(cycles_module, "_coloured", lambda *_: pytest.fail("there is nothing left to colour"))
+
+    def path(name, first, last, n):
+        inner = [f"{name}{k}" for k in range(n)]
+        return list(zip([first, *inner], [*inner, last], strict=True))
+
+    edges = path("chain", "a", "z", 20_000) + path("ring", "r", "r", 3000)
+    edges += path("one", "u", "u", 40) + path("two", "u", "u", 5) + path("out", "u", "v", 9) + path("lone", "v", "v", 3)
+    spark.sparkContext.setJobGroup("chains", "chains")
+    got = cycle_groups(graph_of(spark, ["a"], edges)).members
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("chains"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs < 400, jobs
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.cycle_id, set()).add(r.id)
+    want = [{"r"} | {f"ring{k}" for k in range(3000)}, {"v"} | {f"lone{k}" for k in range(3)}]
+    want.append({"u"} | {f"one{k}" for k in range(40)} | {f"two{k}" for k in range(5)})
+    assert found == {min(group): group for group in want}
+
+
 def test_no_cycles(spark):
     groups = cycle_groups(graph_of(spark, ["a", "b"], [("a", "b")]))
     assert groups.members.count() == 0 and groups.edges.count() == 0
