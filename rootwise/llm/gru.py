@@ -1,13 +1,14 @@
 """A gated recurrent language model in numpy with a class-factored softmax.
 
 Frequent words have ids; all others share the last id. A word's probability is that of its
-class times that within the class. Texts run side by side in lanes, step by step, and a
-lane's state is carried from window to window until its text ends, so a text is
+class times that within the class. Texts run in lanes side by side, step by step, one after the other in each, so that all lanes
+stay busy; a lane's state is carried from window to window until its text ends, so a text is
 scored whole whatever its length. Training goes back through one window (truncated).
 """
 
 from __future__ import annotations
 
+import heapq
 import sys
 
 import numpy as np
@@ -17,6 +18,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 32
 LANES = 512
+LEARNING_LANES = 64
 NAMES = ["embed", "inner", "state", "gate", "to_class", "class_bias", "to_word", "word_bias"]
 
 
@@ -103,99 +105,118 @@ class Gru:
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of every text; each ends with id 0, which also comes before it."""
         total = np.zeros(len(texts))
+        if not texts:
+            return total
         gates = self._gates()
-        for rows, lengths, padded in _lanes(texts):
-            h = np.zeros((len(rows), self.hidden), np.float32)
-            sums = np.zeros(len(rows))
-            before = np.zeros(len(rows), np.int64)
-            for at in range(0, int(lengths[0]), WINDOW):
-                alive = int(np.searchsorted(-lengths, -at, side="left"))  # lengths fall
-                part = padded(at, alive)
-                states, targets, owners = [], [], []
-                for t in range(part.shape[1]):
-                    n = int(np.searchsorted(-lengths, -(at + t), side="left"))
-                    h[:n], _ = self._step(gates[before[:n]], h[:n])
-                    states.append(h[:n].copy())
-                    targets.append(part[:n, t])
-                    owners.append(np.arange(n))
-                    before[:n] = part[:n, t]
-                logs = self._logs(np.concatenate(states), np.concatenate(targets))
-                sums[:alive] += np.bincount(np.concatenate(owners), logs, alive)
-            total[rows] = sums
+        rows, owner = _lanes(texts)
+        goes_on = np.zeros(rows.shape, bool)
+        goes_on[:, 1:] = owner[:, 1:] == owner[:, :-1]
+        given = np.zeros_like(rows)
+        given[:, 1:] = np.where(goes_on[:, 1:], rows[:, :-1], 0)
+        h = np.zeros((len(rows), self.hidden), np.float32)
+        for at in range(0, rows.shape[1], WINDOW):
+            part, inputs, same, whose = (x[:, at : at + WINDOW].T for x in (rows, given, goes_on, owner))
+            states = np.empty((*part.shape, self.hidden), np.float32)
+            for t in range(len(part)):
+                h *= same[t][:, None]  # else a text begins
+                h, _ = self._step(gates[inputs[t]], h)
+                states[t] = h
+            there = whose >= 0
+            logs = self._logs(states[there], part[there])
+            total += np.bincount(whose[there], logs, len(texts))
         return total
 
     # -- learning ----------------------------------------------------------------------
 
-    def train(self, texts: list[np.ndarray], rate: float, lanes: int = 32) -> int:
-        """One pass over the texts; tokens seen."""
-        seen = 0
-        for rows, lengths, padded in _lanes(texts, lanes):
-            h = np.zeros((len(rows), self.hidden), np.float32)
-            before = np.zeros(len(rows), np.int64)
-            for at in range(0, int(lengths[0]), WINDOW):
-                alive = int(np.searchsorted(-lengths, -at, side="left"))
-                part = padded(at, alive)
-                valid = at + np.arange(part.shape[1]) < lengths[:alive, None]
-                h = self._train_window(part, valid, before[:alive], h[:alive], rate)
-                before = part[:, -1]
-                seen += int(valid.sum())
-        return seen
+    def train(self, texts: list[np.ndarray], rate: float, lanes: int = LEARNING_LANES) -> int:
+        """One pass over the texts; tokens seen.
+
+        The texts follow one another in one stream, which is cut into lanes of equal length, so all lanes are
+        always busy, however long a text is. The state is carried from window to window and begins anew with
+        each text and each lane.
+        """
+        stream = np.concatenate(texts) if texts else np.empty(0, np.int64)
+        if not len(stream):
+            return 0
+        lanes = max(1, min(lanes, len(stream) // WINDOW))
+        length = -(-len(stream) // lanes)
+        padded = np.zeros(lanes * length, np.int64)
+        padded[: len(stream)] = stream
+        rows, valid = padded.reshape(lanes, length), (np.arange(lanes * length) < len(stream)).reshape(lanes, length)
+        before = np.concatenate([[0], rows[:-1, -1]])
+        h = np.zeros((lanes, self.hidden), np.float32)
+        for at in range(0, length, WINDOW):
+            part = rows[:, at : at + WINDOW]
+            h = self._train_window(part, valid[:, at : at + WINDOW], before, h, rate)
+            before = part[:, -1]
+        return len(stream)
 
     def _train_window(self, part, valid, before, h, rate) -> np.ndarray:
         lanes, steps = part.shape
         n = self.hidden
-        inputs = np.concatenate([before[:, None], part[:, :-1]], axis=1)
-        gates = self._gates()
-        past, kept, states = [], [], []
+        inputs = np.concatenate([before[:, None], part[:, :-1]], axis=1).T  # step by step
+        goes_on = (inputs != 0).astype(np.float32)[:, :, None]
+        ids, place = np.unique(inputs, return_inverse=True)
+        embedded = self.embed[ids]
+        gates = (embedded @ self.inner + self.gate)[place.reshape(steps, lanes)]
+        past = np.empty((steps + 1, lanes, n), np.float32)
+        states = np.empty((steps, lanes, n), np.float32)
+        kept = []
         for t in range(steps):
-            past.append(h)
-            h, inside = self._step(gates[inputs[:, t]], h)
+            past[t] = h * goes_on[t]
+            h, inside = self._step(gates[t], past[t])
             kept.append(inside)
-            states.append(h)
-        flat = np.stack(states, axis=1).reshape(-1, n)
-        ok = valid.ravel()
-        target = part.ravel()[ok]
-        seen = flat[ok]
-        scale = np.float32(1 / max(1, ok.sum()))
-        slope = {name: np.zeros_like(getattr(self, name)) for name in NAMES}
+            states[t] = h
+        ok = valid.T.ravel()
+        target, seen = part.T.ravel()[ok], states.reshape(-1, n)[ok]
+        scale = np.float32(1 / max(1, len(target)))
+        slope = {name: np.zeros_like(getattr(self, name)) for name in ("to_word", "word_bias", "embed")}
+        # Sorted by class, so that a class's rows are a slice.
         group = self.of_class[target]
-        wrong = np.exp(self._class_logs(seen))
+        order = np.argsort(group, kind="stable")
+        target, seen, group = target[order], seen[order], group[order]
+        wrong = _softmax(seen @ self.to_class + self.class_bias)
         wrong[np.arange(len(target)), group] -= 1
         wrong *= scale
         slope["to_class"] = seen.T @ wrong
         slope["class_bias"] = wrong.sum(axis=0)
         back = wrong @ self.to_class.T
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(self.classes))
+        cuts = np.searchsorted(group, np.arange(self.classes))
         for c, inside in enumerate(self.members):
-            rows = order[cuts[c] : cuts[c + 1]]
-            if len(rows) and len(inside) > 1:
-                wrong = np.exp(self._word_logs(seen[rows], inside))
-                wrong[np.arange(len(rows)), self.place[target[rows]]] -= 1
+            own = slice(cuts[c], cuts[c + 1])
+            if cuts[c] < cuts[c + 1] and len(inside) > 1:
+                wrong = _softmax(seen[own] @ self.to_word[inside].T + self.word_bias[inside])
+                wrong[np.arange(len(wrong)), self.place[target[own]]] -= 1
                 wrong *= scale
-                slope["to_word"][inside] += wrong.T @ seen[rows]
-                slope["word_bias"][inside] += wrong.sum(axis=0)
-                back[rows] += wrong @ self.to_word[inside]
-        outer = np.zeros_like(flat)
-        outer[ok] = back
-        outer = outer.reshape(lanes, steps, n)
+                slope["to_word"][inside] = wrong.T @ seen[own]
+                slope["word_bias"][inside] = wrong.sum(axis=0)
+                back[own] += wrong @ self.to_word[inside]
+        outer = np.zeros((steps * lanes, n), np.float32)
+        outer[np.flatnonzero(ok)[order]] = back
+        outer = outer.reshape(steps, lanes, n)
         d = np.zeros((lanes, n), np.float32)
-        of_gates = np.empty((lanes, steps, 3 * n), np.float32)
+        of_gates = np.empty((steps, lanes, 3 * n), np.float32)
+        of_state = np.empty((steps, lanes, 3 * n), np.float32)
+        turned = np.ascontiguousarray(self.state.T)
         for t in reversed(range(steps)):
-            d = d + outer[:, t]
+            d += outer[t]
             z, r, new, u = kept[t]
-            of_new = d * (1 - z) * (1 - new * new)
-            of_z = d * (past[t] - new) * z * (1 - z)
-            of_r = of_new * u * r * (1 - r)
-            of_gates[:, t] = np.hstack([of_z, of_r, of_new])
-            of_state = np.hstack([of_z, of_r, of_new * r])
-            slope["state"] += past[t].T @ of_state
-            d = d * z + of_state @ self.state.T
+            back_new = d * (1 - z) * (1 - new * new)
+            of_gates[t, :, 2 * n :] = back_new
+            of_gates[t, :, :n] = d * (past[t] - new) * z * (1 - z)
+            of_gates[t, :, n : 2 * n] = back_new * u * r * (1 - r)
+            of_state[t] = of_gates[t]
+            of_state[t, :, 2 * n :] *= r
+            d = (d * z + of_state[t] @ turned) * goes_on[t]
+        slope["state"] = past[:steps].reshape(-1, n).T @ of_state.reshape(-1, 3 * n)
         of_gates = of_gates.reshape(-1, 3 * n)
-        ids = inputs.ravel()
         slope["gate"] = of_gates.sum(axis=0)
-        slope["inner"] = self.embed[ids].T @ of_gates
-        np.add.at(slope["embed"], ids, of_gates @ self.inner.T)
+        # Summed by id first: few ids stand in a window.
+        place = place.ravel()
+        by_id = np.argsort(place, kind="stable")
+        sums = np.add.reduceat(of_gates[by_id], np.searchsorted(place[by_id], np.arange(len(ids))), axis=0)
+        slope["inner"] = embedded.T @ sums
+        slope["embed"][ids] = sums @ self.inner.T
         self._adam(slope, rate)
         return h
 
@@ -208,23 +229,36 @@ class Gru:
             s = s * np.float32(clip)
             first += np.float32(0.1) * (s - first)
             second += np.float32(0.01) * (s * s - second)
-            moved = (first / (1 - 0.9**self.steps)) / (np.sqrt(second / (1 - 0.99**self.steps)) + 1e-7)
-            setattr(self, name, getattr(self, name) - np.float32(rate) * moved.astype(np.float32))
-
-
-def _lanes(texts: list[np.ndarray], lanes: int = LANES):
-    """Texts side by side, the longest first: rows, lengths, and a function for a window's ids."""
-    order = np.argsort([-len(t) for t in texts], kind="stable")
-    for at in range(0, len(order), lanes):
-        rows = order[at : at + lanes]
-        lengths = np.array([len(texts[i]) for i in rows])
-
-        def padded(start: int, alive: int, rows=rows, lengths=lengths) -> np.ndarray:
-            width = min(WINDOW, int(lengths[0]) - start)
-            part = np.zeros((alive, width), np.int64)
-            for k in range(alive):
-                piece = texts[rows[k]][start : start + width]
-                part[k, : len(piece)] = piece
-            return part
-
-        yield rows, lengths, padded
+            moved = np.sqrt(second * np.float32(1 / (1 - 0.99**self.steps)))
+            moved += np.float32(1e-7)
+            np.divide(first, moved, out=moved)
+            moved *= np.float32(rate / (1 - 0.9**self.steps))
+            setattr(self, name, getattr(self, name) - moved)
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
+def _lanes(texts: list[np.ndarray], lanes: int = LANES) -> tuple[np.ndarray, np.ndarray]:
+    """Texts in lanes of about equal length, one after the other: their ids, and whose each is, -1 after the last.
+
+    There are no more lanes than keep them busy while the longest text runs.
+    """
+    sizes = [len(text) for text in texts]
+    lanes = max(1, min(lanes, len(texts), sum(sizes) // max(sizes)))
+    filled = [(0, lane) for lane in range(lanes)]
+    places = []
+    for i in sorted(range(len(texts)), key=lambda i: (-sizes[i], i)):
+        at, lane = heapq.heappop(filled)
+        places.append((lane, at, i))
+        heapq.heappush(filled, (at + sizes[i], lane))
+    length = max(at for at, _ in filled)
+    rows, owner = np.zeros((lanes, length), np.int32), np.full((lanes, length), -1, np.int32)
+    for lane, at, i in places:
+        rows[lane, at : at + sizes[i]] = texts[i]
+        owner[lane, at : at + sizes[i]] = i
+    return rows, owner

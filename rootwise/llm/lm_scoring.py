@@ -31,7 +31,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VOCABULARY = 2000  # ids of the model: the end, the most frequent words, and one for all others
 KNOWN_WORDS = 200_000  # words whose counts every task holds
 SLICE = 2 << 20  # bytes split at once
-SCORED_AT_ONCE = 1_000_000  # tokens
+SCORED_AT_ONCE = 3_000_000  # tokens
+LEARNED_AT_ONCE = 500_000
 AVERAGED_AT_ONCE = 64
 ROWS = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, tail double, "
@@ -137,11 +138,15 @@ def _trainer(shared, counts: np.ndarray, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = gru.Gru(counts)
         model.set_parameters(shared.value)
-        seen = 0
+        seen, held, tokens = 0, [], 0
         for batch in batches:
-            texts = [np.frombuffer(ids.as_py(), "<i4") for ids in batch.column(0)]
-            for at in range(0, len(texts), 256):
-                seen += model.train(texts[at : at + 256], rate)
+            for ids in batch.column(0):
+                held.append(np.frombuffer(ids.as_py(), "<i4"))
+                tokens += len(held[-1])
+                if tokens > LEARNED_AT_ONCE:
+                    seen += model.train(held, rate)
+                    held, tokens = [], 0
+        seen += model.train(held, rate)
         if seen:
             part = TaskContext.get().partitionId()
             yield _copy(part, seen, model.parameters())
@@ -170,7 +175,7 @@ def train_model(
     training: DataFrame,
     vocabulary: Vocabulary,
     rounds: int = 3,
-    rate: float = 0.006,
+    rate: float = 0.009,
 ) -> list[np.ndarray]:
     """The model's parameters, learned from all training documents.
 
@@ -182,7 +187,7 @@ def train_model(
     model = gru.Gru(counts).parameters()
     texts = training.select("text", F.pmod(F.xxhash64("text"), F.lit(rounds)).alias("round"))
     shared = spark.sparkContext.broadcast(vocabulary)
-    encoded = scratch.write(texts.mapInArrow(_encoder(shared), "ids binary, round long")).df
+    encoded = scratch.write(texts.mapInArrow(_encoder(shared), "ids binary, round long"), partition_by=("round",)).df
     for number in range(rounds):
         current = spark.sparkContext.broadcast(model)
         copies = scratch.write(
