@@ -1,10 +1,10 @@
-"""License scan with a positional index of rare template words, in built-in functions only.
+"""License scan by rare template words, in built-in functions only.
 
-The index holds, for each template, its words with their relative positions and how rare
-each is over all documents. A file's occurrences of a template's rarest word name the
-places where the template may stand; the postings of its next rarest words are then
-intersected at those places, and what is left is verified word by word: enough of the
-template's weight, and its mandatory phrase without a gap.
+Templates hold words with their relative positions and how rare each is over all documents. A file's
+occurrences of the rarest word of a template's mandatory phrase name the places where the
+template may stand; other rare words of the phrase are tried at those places, and what is left is
+verified word by word: enough of the template's weight, and its mandatory phrase without a
+gap. Templates are predicates over the word arrays; there are no postings that are joined.
 """
 
 from __future__ import annotations
