@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from rootwise.llm.licenses import ENOUGH, templates
+from rootwise.llm.licenses import BASE, SENTENCES
 
 _WORDS = r"""regexp_extract_all(lower(replace(coalesce(text, ''), chr(8490), 'ÿ')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 
 def _template_rows() -> str:
-    rows = []
-    for t in templates():
-        key = [t.words[k] for k in t.key]
-        rows.append(f"('{t.label}', {list(t.words)}, {key}, {t.key.start}, {str(t.base).lower()})")
-    return ",\n    ".join(rows)
+    """The fixed texts as rows; where a phrase begins is for the SQL to find."""
+    texts = [(label, phrase, phrase, True) for phrase, label in BASE.items()]
+    texts += [(label, text, phrase, False) for label, text, phrase in SENTENCES]
+    return ",\n    ".join(
+        f"('{label}', {text.split()}, {phrase.split()}, {str(base).lower()})" for label, text, phrase, base in texts
+    )
 
 
 def license_sql() -> str:
     return f"""
 with split as (select doc_id, {_WORDS} as w from documents),
-templates(label, phrase, key, key_at, base) as (values
+texts(label, phrase, key, base) as (values
     {_template_rows()}),
+templates as (
+    select *, list_filter(range(1, len(phrase) + 1), lambda i: phrase[i:i + len(key) - 1] = key)[1] - 1 as key_at
+    from texts),
 vocabulary as (select distinct unnest(phrase) as word from templates),
 df as (
     select word, count(*) as n from (select unnest(list_distinct(w)) as word from split)
@@ -38,7 +42,7 @@ shares as (
     select s.doc_id, s.label, s.base, s.start, sum(case when s.w[s.start - 1 + x.k] = x.word then x.weight else 0 end) as share
     from starts s join weighted x on s.label = x.label and s.base = x.base
     where s.start >= 1 group by all),
-places as (select * from shares where base or share >= {ENOUGH}),
+places as (select * from shares where base or share >= 0.7),
 found as (
     select doc_id, count(*) filter (base) as n_base, min(start - 1) filter (base) as first_word,
         max(start - 1) filter (base) as last_word,
