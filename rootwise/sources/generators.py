@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 MU = 4.0
 SIGMA = 1.3
 
+# Edges of one vertex that are drawn together.
+BLOCK = 100_000
+
 
 def log_normal_edges(
     vertices: DataFrame,
@@ -19,6 +22,7 @@ def log_normal_edges(
     sigma: float = SIGMA,
     seed: int = 0,
     weight: float = 1.0,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``(src, dst, weight)`` over ``vertices(id)`` numbered ``0 .. count-1``.
 
@@ -26,16 +30,28 @@ def log_normal_edges(
     uniform, so repeats and self-loops occur. All draws are MD5 sums of the seed, the vertex and
     the draw's number: the graph is the same however the rows are partitioned or recomputed,
     and other engines can draw it too.
+
+    A vertex's edges are drawn in blocks of at most ``block``, which are dealt out over the tasks: neither
+    a row nor a task holds all edges of a vertex that has very many.
     """
-    if count < 1:
-        raise ValueError("count is the number of vertices")
+    if count < 1 or block < 1:
+        raise ValueError("count is the number of vertices, block that of a block's edges; both are at least 1")
+    # A stated number of tasks: by their sizes the blocks would be put together, and their edges with them.
+    tasks = int(vertices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     draw = _draw(F.lit(f"{seed}-degree-"), F.col("id").cast("string"))
     target = _draw(F.lit(f"{seed}-target-"), F.col("src").cast("string"), F.lit("-"), F.col("nth").cast("string"))
     return (
         vertices.select("id", draw.alias("draw"))
         .select("id", F.expr(degree_sql("draw", str(count), mu, sigma)).cast("int").alias("degree"))
         .where("degree > 0")
-        .select(F.col("id").alias("src"), F.explode(F.sequence(F.lit(1), F.col("degree"))).alias("nth"))
+        .select("id", "degree", F.explode(F.expr(f"sequence(0, (degree - 1) div {block})")).alias("block"))
+        .repartition(tasks, "id", "block")
+        .select(
+            F.col("id").alias("src"),
+            F.explode(
+                F.expr(f"sequence(block * {block} + 1, least(block * {block} + {block}, cast(degree as bigint)))")
+            ).alias("nth"),
+        )
         .select("src", F.pmod(target, F.lit(count)).alias("dst"), F.lit(weight).alias("weight"))
     )
 

@@ -289,5 +289,9 @@ def test_log_normal_graph(spark):
     assert all(0 <= s < 300 and 0 <= d < 300 for s, d, _ in rows)
     logs = [math.log(d) for d in (sum(1 for s, _, _ in rows if s == v) for v in range(300)) if d]
     assert max(logs) < math.log(300) and 3.3 < sum(logs) / len(logs) < 4.1
+    split = log_normal_edges(vertices, 300, seed=1, block=7)
+    assert sorted(tuple(r) for r in split.collect()) == rows
+    blocks = split.groupBy("src", F.spark_partition_id().alias("task")).count().groupBy("src").count()
+    assert blocks.agg(F.max("count")).first()[0] > 1  # the edges of a busy vertex lie in several tasks
     assert log_normal_graph(spark, 1)[1].count() == 0
     assert {r.src for r in log_normal_graph(spark, 2)[1].collect()} <= {0, 1}
