@@ -30,8 +30,11 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  #
 CRLF = "\r\n"
 SCHEMA = (
     "archive string, offset long, size long, kind string, reason string, record_id string, "
-    "refers_to_id string, uri string, page_id long, payload_bytes long, payload_digest string"
+    "refers_to_id string, uri string, page_id long, payload_bytes long, payload_digest string, "
+    "inner_offset long, inner_size long"
 )
+PIECE = 1 << 16  # bytes of a member that are unpacked at a time
+VERSION = re.compile(rb"(?<![^\n])WARC/1\.[01]\r\n")
 START = re.compile(rb"\x1f\x8b\x08|(?<![^\n])WARC/1\.[01]\r\n")
 
 
@@ -162,72 +165,109 @@ def _parsed(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     return headers, block, stop + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """The content and end of the gzip member at ``at``; ValueError if its check fails."""
-    unpack = zlib.decompressobj(31)
-    try:
-        content = unpack.decompress(memoryview(data)[at:])
-    except zlib.error as error:
-        raise ValueError("bad member") from error
-    if not unpack.eof:
-        raise ValueError("member is cut off")
-    return content, len(data) - len(unpack.unused_data)
-
+def _member(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """Content, end and fault of the gzip member at ``at``; of a faulty one, all that can be unpacked before the fault."""
+    unpack, parts, place = zlib.decompressobj(31), [], at
+    size = PIECE
+    while not unpack.eof and place < len(data):
+        before = unpack.copy()
+        try:
+            parts.append(unpack.decompress(data[place : place + size]))
+        except zlib.error:
+            if size == 1:
+                return b"".join(parts), place, "bad member"
+            unpack, size = before, 1  # byte by byte up to the fault
+            continue
+        place += size
+    return b"".join(parts), min(place, len(data)) - len(unpack.unused_data), None if unpack.eof else "member is cut off"
 
-def salvage(data: bytes) -> Iterator[tuple]:
-    """``(offset, size, "record", None, headers, block)`` of every sound record and
-    ``(offset, size, "gap", reason, None, None)`` of every stretch that holds none.
 
-    A record in a gzip member has the member's place and size.
-    """
+def _inside(content: bytes, digest_needed: bool) -> Iterator[tuple]:
+    """``(offset, size, reason, headers, block)`` of all records and gaps of a member's content."""
     at, gap, reason = 0, None, ""
-    while at < len(data):
+    while at < len(content):
         try:
-            if data.startswith(b"\x1f\x8b", at):
-                content, end = _member(data, at)
-                found, inside = [], 0
-                while inside < len(content):
-                    headers, block, inside = _parsed(content, inside)
-                    found.append((headers, block))
-            else:
-                headers, block, end = _parsed(data, at)
-                found = [(headers, block)]
+            headers, block, end = _parsed(content, at)
+            if digest_needed and not headers.get("warc-block-digest", "").startswith("sha256:"):
+                raise ValueError("nothing vouches for the block")
         except ValueError as error:
             if gap is None:
                 gap, reason = at, str(error)
-            following = START.search(data, at + 1)
-            at = following.start() if following else len(data)
+            following = VERSION.search(content, at + 1)
+            at = following.start() if following else len(content)
             continue
         if gap is not None:
-            yield gap, at - gap, "gap", reason, None, None
+            yield gap, at - gap, reason, None, None
+            gap = None
+        yield at, end - at, None, headers, block
+        at = end
+    if gap is not None:
+        yield gap, len(content) - gap, reason, None, None
+
+
+def salvage(data: bytes) -> Iterator[tuple]:
+    """``(offset, size, "record", None, headers, block, inner)`` of every sound record and
+    ``(offset, size, "gap", reason, None, None, inner)`` of every stretch that holds none.
+
+    Outside gzip members ``inner`` is None. Inside one, offset and size are the member's, and ``inner`` is the
+    place and size within its content. Of a member that fails its check or is cut off, the whole is a gap up to the next
+    start; records unpacked before the fault are there as well if their block digests fit.
+    """
+    at, gap, reason = 0, None, ""
+    while at < len(data):
+        fault, found = None, []
+        if data.startswith(b"\x1f\x8b", at):
+            content, end, fault = _member(data, at)
+            if fault is not None:  # it may have run on into what follows, which is read by itself
+                following = START.search(data, at + 1)
+                content, _, _ = _member(data[: following.start()] if following else data, at)
+            found = list(_inside(content, fault is not None))
+        else:
+            try:
+                headers, block, end = _parsed(data, at)
+                found = [(None, None, None, headers, block)]
+            except ValueError as error:
+                fault = str(error)
+        if fault is not None:
+            following = START.search(data, at + 1)
+            end = following.start() if following else len(data)
+            if gap is None:
+                gap, reason = at, fault
+        elif gap is not None:
+            yield gap, at - gap, "gap", reason, None, None, None
             gap = None
-        for headers, block in found:
-            yield at, end - at, "record", None, headers, block
+        for place, size, why, headers, block in found:
+            inner = None if place is None else (place, size)
+            if headers is not None:
+                yield at, end - at, "record", None, headers, block, inner
+            elif fault is None:
+                yield at, end - at, "gap", why, None, None, inner
         at = end
     if gap is not None:
-        yield gap, len(data) - gap, "gap", reason, None, None
+        yield gap, len(data) - gap, "gap", reason, None, None, None
 
 
 def _number(text: str | None) -> int | None:
     return int(text) if text and re.fullmatch("-?[0-9]+", text) else None
 
 
-def _row(archive: str, offset: int, size: int, kind: str, reason: str | None, headers, block) -> tuple:
+def _row(archive: str, offset: int, size: int, kind: str, reason: str | None, headers, block, inner) -> tuple:
+    inner = inner or (None, None)
     if headers is None:
-        return archive, offset, size, kind, reason, None, None, None, None, None, None
+        return archive, offset, size, kind, reason, None, None, None, None, None, None, *inner
     http, _, payload = block.partition(b"\r\n\r\n")
     what = headers.get("warc-type")
     if what == "response":
         length, digest = len(payload), hashlib.sha256(payload).hexdigest()
         if headers.get("warc-payload-digest", f"sha256:{digest}") != f"sha256:{digest}":
-            return archive, offset, size, "gap", "payload digest differs", None, None, None, None, None, None
+            return archive, offset, size, "gap", "payload digest differs", None, None, None, None, None, None, *inner
     else:  # the payload is in the record referred to
         stated = re.search(rb"(?i)^content-length: *([0-9]+)", http, re.MULTILINE)
         length = int(stated[1]) if stated else None
         digest = headers.get("warc-payload-digest", "").removeprefix("sha256:") or None
     return (
         archive, offset, size, what, None, headers.get("warc-record-id"), headers.get("warc-refers-to"),
-        headers.get("warc-target-uri"), _number(headers.get("x-page-id")), length, digest,
+        headers.get("warc-target-uri"), _number(headers.get("x-page-id")), length, digest, *inner,
     )
 
 
@@ -247,7 +287,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Every record and every gap of the archives under ``path``.
 
     ``kind`` is the record's type, or ``gap`` for quarantined bytes, with their ``reason``; ``offset`` and
-    ``size`` say where in ``archive``. A response's length and digest are those of the payload as
+    ``size`` say where in ``archive``; of what lies inside a gzip member they are the member's, and ``inner_offset`` and
+    ``inner_size`` say where in its content. A response's length and digest are those of the payload as
     read; a revisit's are those its record states. One archive is in memory per task.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")

@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import re
 
 import numpy as np
 
@@ -90,6 +91,45 @@ def test_members_are_salvaged_too(spark):
     assert gaps == [(start, len(broken) + 4)]
 
 
+def test_records_inside_a_member_are_salvaged(spark):
+    records = some_records(spark, 6)
+    order = [r.split(b"X-Page-Id: ")[1].split(b"\r")[0].decode() for r in records]
+    sizes = np.cumsum([0, *map(len, records)])
+    content = bytearray(b"".join(records))
+    content[sizes[2] + 300 + records[2][300:].find(b"page")] ^= 1
+    member = gzip.compress(bytes(content))
+    rows = list(salvage(member + records[0]))
+    assert [r[4]["x-page-id"] for r in rows if r[2] == "record"] == [*order[:2], *order[3:], order[0]]
+    assert [(r[0], r[1], r[6]) for r in rows if r[2] == "gap"] == [(0, len(member), (sizes[2], len(records[2])))]
+    assert rows[0][6] == (0, sizes[1]) and rows[-1][6] is None and rows[-1][0] == len(member)
+
+
+def test_a_damaged_member_gives_what_was_unpacked_before(spark):
+    records = some_records(spark, 40)
+    noise = np.random.default_rng(3).integers(0, 256, 200_000, np.uint8).tobytes()  # so that pieces matter
+    order = [r.split(b"X-Page-Id: ")[1].split(b"\r")[0].decode() for r in records]
+    member = gzip.compress(b"".join(records) + noise)
+    bare = b"".join(re.sub(b"WARC-Block-Digest: .*\r\n", b"", r) for r in records)
+    wrong_sum = member[:-8] + bytes(4) + member[-4:]
+    for data in (member[: len(member) - 60_000], wrong_sum):
+        rows = list(salvage(data + b"\n" + records[0]))
+        assert [r[4]["x-page-id"] for r in rows if r[2] == "record"] == [*order, order[0]]
+        assert [(r[0], r[1]) for r in rows if r[2] == "gap"] == [(0, len(data) + 1)]
+        # blocks without a digest are not taken from a member that failed
+        rows = list(salvage(gzip.compress(bare + noise)[:-9]))
+        assert [r[2] for r in rows] == ["gap"]
+
+
+def test_inner_places_are_columns(spark, tmp_path):
+    records = some_records(spark, 3)
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(b"".join([records[0], b"junk\r\n", records[1]])) + records[2])
+    rows = read_warc(spark, str(tmp_path)).orderBy("offset", "inner_offset").collect()
+    assert [r["kind"] for r in rows] == ["response", "gap", "response", "response"]
+    n = len(records[0])
+    assert [r["inner_offset"] for r in rows] == [0, n, n + 6, None]
+    assert [r["inner_size"] for r in rows] == [n, 6, len(records[1]), None]
+
+
 def test_cut_files_and_junk(spark):
     records = some_records(spark, 3)
     data = b"".join(records)
