@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from rootwise.llm.bytecnn import ByteFilters, adam, blocks_of, text_bytes
 from rootwise.llm.hashing import shards
 from rootwise.llm.quality import SHARD_BYTES, _slice, held_out
+from rootwise.scratch import Scratch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -81,38 +82,39 @@ class LanguageNet:
         adam(self, "offset", wrong.sum(axis=0), rate, step)
 
 
-def train_languages(docs: DataFrame, per_language: int = 400, max_chars: int = 1024, epochs: int = 6) -> bytes:
+def train_languages(
+    docs: DataFrame, per_language: int = 400, max_chars: int = 1024, epochs: int = 6, max_rows: int = 20_000
+) -> bytes:
     """Learn from documents with a language that are not held out.
 
     The fit uses about ``per_language`` documents of each language, told by a hash of id and text,
     and of a longer text a stretch of ``max_chars`` characters. It runs in one task, which
-    that bound keeps small. Languages are counted first, so a rare one is not lost.
+    that bound keeps small: if there are very many languages, they share ``max_rows`` documents. Languages are
+    counted first, so a rare one is not lost; the counts are joined, however many they are.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(5, 0)
     )
-    counts = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
-    languages = sorted(counts)
-    bound = F.lit(0)
-    for name in languages:
-        share = int(min(1.0, per_language / counts[name]) * 1_000_000) + 1
-        bound = F.when(F.col("lang") == name, share).otherwise(bound)
-    rows = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < bound)
+    counts = Scratch(docs.sparkSession, "languages").write(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("of_lang")))
+    quota = min(per_language, max_rows / max(1, counts.rows))
+    bound = F.floor(F.least(F.lit(1.0), F.lit(float(quota)) / F.col("of_lang")) * 1_000_000) + 1
+    rows = rows.join(counts.df, "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < bound)
     rows = rows.select("doc_id", "lang", _slice(F.col("text"), max_chars).alias("body"))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = LanguageNet(languages)
         held = sorted(
             (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)),
             key=str,
         )
+        names, labels = np.unique([row[1] for row in held], return_inverse=True) if held else ([], None)
+        net = LanguageNet([str(name) for name in names])
         if held:
-            net.fit([row[2] for row in held], np.array([languages.index(row[1]) for row in held]), epochs)
+            net.fit([row[2] for row in held], labels, epochs)
         net.moments, net.conv.moments = {}, {}
         yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(net)], pa.binary())], names=["net"])
 
     nets = rows.repartition(1).mapInArrow(fit, "net binary").collect()
-    return bytes(nets[0]["net"]) if nets else cloudpickle.dumps(LanguageNet(languages))
+    return bytes(nets[0]["net"]) if nets else cloudpickle.dumps(LanguageNet([]))
 
 
 def languages(docs: DataFrame, per_language: int = 400) -> DataFrame:
