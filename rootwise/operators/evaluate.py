@@ -6,18 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from rootwise.functions.arith import expression_value
 from rootwise.functions.text import filled_piece, has_opening, int_text, is_open
 from rootwise.model import FormulaGraph
+from rootwise.operators import blocks
+from rootwise.operators.blocks import BLOCKED, OK, PARSE_ERROR
 from rootwise.operators.build import text_pieces
 from rootwise.operators.depth import BELOW_CYCLE, CYCLIC, REACHED, depth_table
 from rootwise.scratch import RoundTable, Scratch
 
-# Values of ``status``.
-OK = "ok"
-BLOCKED = "blocked"
-PARSE_ERROR = "parse_error"
+# A value of ``status`` beside those of blocks.
 NO_FORMULA = "no_formula"
 
 # Partition of the reference pieces of formulas on or below a cycle.
@@ -42,9 +42,9 @@ def evaluate_formulas(graph: FormulaGraph, on_error: str = "null") -> DataFrame:
     - ``no_formula``: the text is NULL.
 
     Texts without references are evaluated at once. The others are cut into pieces, one
-    per reference, sorted by the depth their argument comes from. Each piece is joined once,
-    with the values of that depth; the job for one depth puts its texts together and
-    evaluates them.
+    per reference, and their depths put together into windows of bounded blocks
+    (:mod:`rootwise.operators.blocks`). A block resolves all that lies inside it; a piece whose
+    argument comes from an earlier window is joined once, with the values of that window.
     """
     scratch = Scratch(graph.spark, "evaluate")
     depths = depth_table(graph, scratch)
@@ -56,7 +56,7 @@ def evaluate_formulas(graph: FormulaGraph, on_error: str = "null") -> DataFrame:
     judge = _judge(graph.root_id, on_error)
     done = [scratch.write(judge(plain.join(settled, "id")))]
     cut = _pieces(graph, texts, at_depth)
-    pieces = _levels(scratch, cut, at_depth, depths.deepest, judge, done)
+    pieces = _windows(scratch, cut, at_depth, graph.root_id, on_error, done)
     parts = [scratch.scan(done)]
     if depths.unbounded:
         tied = at_depth.where(F.col("state").isin(CYCLIC, BELOW_CYCLE))
@@ -139,60 +139,73 @@ def _pieces(graph: FormulaGraph, texts: DataFrame, at_depth: DataFrame) -> DataF
     )
 
 
-def _first_lane() -> Column:
-    return F.min(F.when(F.col("lane") > 0, F.col("lane")))
+def _windows(scratch, cut, at_depth, root_id, on_error, done) -> RoundTable:
+    """Evaluate window by window, handing values on to the pieces that wait for them.
 
-
-def _levels(scratch, cut, at_depth, deepest, judge, done) -> RoundTable:
-    """Evaluate depth by depth, handing values on to the pieces that wait for them.
-
-    A piece's ``turn`` is the depth its argument comes from; it is 0 when there is nothing
-    to wait for, as the argument is a constant or will never come. The values of a depth
-    meet only the pieces of that turn, so every piece and value is shuffled a fixed number
-    of times, whatever the depth of the graph. Tables are sorted by turn and lane inside
-    their files: their number does not grow with the depth, and a read skips other turns' pages.
+    A piece's ``lane`` is the window of its text and its ``turn`` the window its argument comes
+    from; that is 0 when there is nothing to wait for, as the argument is a constant, will never
+    come, or is found inside the block. The values of a window meet only the pieces of that turn,
+    so every piece and value is shuffled a fixed number of times, whatever the depth of the graph.
+    Tables are sorted by turn and lane inside their files: their number does not grow with the
+    depth, and a read skips other turns' pages.
     """
+    cut = scratch.write(cut)
+    sizes = cut.df.where("lane > 0").groupBy(F.col("lane").alias("depth")).agg(
+        F.sum(blocks.piece_bytes()).alias("bytes")
+    )
+    windows = scratch.write(blocks.depth_windows(sizes, blocks.BLOCK_BYTES), last=F.max("window"))
     constants = done[0].df.select("id", _argument(), F.lit(True).alias("constant"))
     sources = (
         at_depth.where(F.col("state") == REACHED)
         .select("id", F.col("depth").alias("source_depth"))
         .join(constants, "id", "left")
+        .join(windows.df.select(F.col("depth").alias("source_depth"), F.col("window").alias("source")), "source_depth", "left")
         .withColumnRenamed("id", "known")
     )
-    waits = (F.col("lane") > 0) & F.col("source_depth").isNotNull() & F.col("constant").isNull()
-    joined = cut.join(sources, (F.col("ref") == F.col("known")) & F.col("linked"), "left")
+    own = windows.df.withColumnRenamed("depth", "lane")
+    joined = cut.df.join(own, "lane", "left").join(
+        sources, (F.col("ref") == F.col("known")) & F.col("linked"), "left"
+    )
+    waits = F.col("window").isNotNull() & F.col("source").isNotNull() & F.col("constant").isNull()
+    inner = waits & (F.col("source") == F.col("window"))
     pieces = scratch.write(
         joined.select(
-            *_PIECE, "argument", F.when(waits, F.col("source_depth")).otherwise(0).alias("turn"), "lane"
-        ).sortWithinPartitions("turn", "lane"),
-        first=_first_lane(),
+            *_PIECE,
+            "argument",
+            F.when(waits & ~inner, F.col("source")).otherwise(0).alias("turn"),
+            F.coalesce("window", F.lit(_NO_DEPTH)).alias("lane"),
+            F.when(F.col("lane") > 0, F.col("lane")).cast("int").alias("depth"),
+            F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"),
+            F.coalesce(inner, F.lit(False)).alias("inner"),
+        ).sortWithinPartitions("turn", "lane")
     )
-    served = [*_PIECE, "argument", "lane"]
+    scratch.drop(cut)
+    schema = done[0].schema
+    resolve = blocks.block_resolver(root_id, on_error, to_arrow_schema(schema))
+    served = [*_PIECE, "argument", "lane", "depth", "part", "inner"]
     handed: list[RoundTable] = []
-    if pieces.counts["first"]:
-        for depth in range(pieces.counts["first"], deepest + 1):
-            here = pieces.df.where((F.col("turn") == 0) & (F.col("lane") == depth)).select(*served)
-            if handed:
-                here = here.unionByName(scratch.scan(handed).where(F.col("lane") == depth))
-            level = scratch.write(judge(_joined_up(here).withColumn("depth", F.lit(depth))))
-            if not level.rows:
-                continue
-            done.append(level)
+    for window in range(1, windows.counts["last"] + 1):
+        here = pieces.df.where((F.col("turn") == 0) & (F.col("lane") == window)).select(*served)
+        if handed:
+            here = here.unionByName(scratch.scan(handed).where(F.col("lane") == window))
+        level = scratch.write(here.groupBy("part").applyInArrow(resolve, schema))
+        done.append(level)
+        if window < windows.counts["last"]:
             values = level.df.select(F.col("id").alias("known"), _argument())
-            next_up = pieces.df.where(F.col("turn") == depth).drop("argument")
+            next_up = pieces.df.where(F.col("turn") == window).drop("argument")
             given = next_up.join(values, F.col("ref") == F.col("known"), "left")
             table = scratch.write(given.select(*served).sortWithinPartitions("lane"))
             if table.rows:
                 handed.append(table)
-            if len(handed) > MERGE_EVERY:
-                rest = scratch.scan(handed).where(F.col("lane") > depth)
-                merged = scratch.write(rest.sortWithinPartitions("lane"))
-                scratch.drop(*handed)
-                handed = [merged]
-            if len(done) > MERGE_EVERY:
-                merged = scratch.write(scratch.scan(done))
-                scratch.drop(*done)
-                done[:] = [merged]
+        if len(handed) > MERGE_EVERY:
+            rest = scratch.scan(handed).where(F.col("lane") > window)
+            merged = scratch.write(rest.sortWithinPartitions("lane"))
+            scratch.drop(*handed)
+            handed = [merged]
+        if len(done) > MERGE_EVERY:
+            merged = scratch.write(scratch.scan(done))
+            scratch.drop(*done)
+            done[:] = [merged]
     return pieces
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PythonException
 
 from rootwise import FormulaGraph, GraphError
+from rootwise.operators import blocks
 from rootwise.operators import evaluate as evaluate_module
 from rootwise.operators.build import add_root, formula_graph, reference_edges
 from rootwise.operators.evaluate import evaluate_formulas, formula_args, with_args_map
@@ -99,14 +100,23 @@ def graph(spark):
     return formula_graph(spark.createDataFrame(rows, "id string, name string, formula string, value int"))
 
 
-@pytest.fixture(scope="module", params=[1, 24])
+@pytest.fixture(scope="module", params=[(1, 1), (24, 150), (24, 8 << 20)])
 def evaluated(graph, request):
-    """Evaluated with tables merged at once, then as few as there are left apart."""
+    """Evaluated in blocks of one formula, of a few and of all; tables merged at once, then left apart."""
     with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(evaluate_module, "MERGE_EVERY", request.param)
+        patch.setattr(evaluate_module, "MERGE_EVERY", request.param[0])
+        patch.setattr(blocks, "BLOCK_BYTES", request.param[1])
         return evaluate_formulas(graph)
 
 
+def test_windows_of_depths(spark):
+    """Small depths share a window while they fit, a large one has its own with several blocks."""
+    sizes = spark.createDataFrame([(2, 40), (3, 40), (4, 40), (6, 250), (7, 90), (8, 20), (9, 101)], "depth int, bytes long")
+    got = {r.depth: (r.window, r.parts) for r in blocks.depth_windows(sizes, 100).collect()}
+    assert got == {2: (1, 1), 3: (1, 1), 4: (1, 1), 6: (2, 3), 7: (3, 1), 8: (4, 1), 9: (5, 2)}
+    assert blocks.depth_windows(sizes.limit(0), 100).count() == 0
+
+
 def test_values_and_status(evaluated):
     got = {r.id: (r.depth, r.value, r.status) for r in evaluated.collect()}
     assert len(got) == len(TABLE) + 1
