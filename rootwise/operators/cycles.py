@@ -90,7 +90,7 @@ def _contracted(
     down = scratch.write(live.df.join(mids.df.withColumnRenamed("id", "src"), "src").toDF("id", "to"))
     up = live.df.join(mids.df.withColumnRenamed("id", "dst"), "dst").select(F.col("dst").alias("id"), F.col("src").alias("to"))
     tails, endless = way_ends(scratch, down.df)
-    tails = scratch.write(tails)
+    tails = scratch.write(tails.drop("steps"))
     if tails.rows < down.rows:
         round_ = down.df.join(tails.df, "id", "left_anti")
         parts.append(scratch.write(rings(scratch, round_, down.rows - tails.rows).select("id", "low")))

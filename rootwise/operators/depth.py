@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from rootwise.model import FormulaGraph
 from rootwise.operators.cycles import strong_components
-from rootwise.operators.peel import in_degrees, peel, with_need
+from rootwise.operators.doubling import way_ends
+from rootwise.operators.peel import Peeled, in_degrees, peel, with_need
 from rootwise.operators.spread import reach
 from rootwise.scratch import RoundTable, Scratch
 
@@ -18,6 +19,9 @@ UNREACHABLE = "unreachable"
 CYCLIC = "cyclic"
 BELOW_CYCLE = "below_cycle"
 
+# Chains are contracted if they hold more than this part of the vertices, as a divisor.
+WORTH = 8
+
 
 @dataclass(frozen=True)
 class DepthTable:
@@ -45,13 +49,21 @@ def depth_table(graph: FormulaGraph, scratch: Scratch) -> DepthTable:
     plain = graph.edges.select("src", "dst")
     # The edges are used twice here; derived from texts, they are worth keeping.
     kept = scratch.write(plain).df if graph.edges_from_text else plain
+    is_root = F.col("id") == graph.root_id
+    is_link = F.coalesce((F.col("need") == 1) & (F.col("uses") == 1), F.lit(False)) & ~is_root
     needs = scratch.write(
-        in_degrees(graph.vertices, kept), free=F.count_if(F.col("need") == 0)
+        in_degrees(graph.vertices, kept).join(_uses(kept), "id", "left").select("id", "need", is_link.alias("link")),
+        free=F.count_if(F.col("need") == 0),
+        links=F.count_if("link"),
     )
-    edges = scratch.write_bucketed(with_need(kept, needs.df), "src")
-    is_root = F.col("id") == graph.root_id
     start = needs.df.where("need = 0").select("id", F.when(is_root, F.lit(0)).alias("depth"))
-    first = peel(scratch, edges, start, needs.counts["free"], root_id=graph.root_id)
+    if needs.counts["links"] > needs.rows // WORTH:
+        first = _peeled_by_chains(scratch, kept, needs.df, start, needs.counts["free"], graph.root_id)
+        edges = kept
+    else:
+        table = scratch.write_bucketed(with_need(kept, needs.df), "src")
+        first = peel(scratch, table, start, needs.counts["free"], root_id=graph.root_id)
+        edges = table.df
     parts = [_settled(first.done)]
     if first.rows < needs.rows:
         parts += _held_up(graph, scratch, edges, needs.df, first)
@@ -66,6 +78,37 @@ def depth_table(graph: FormulaGraph, scratch: Scratch) -> DepthTable:
     return DepthTable(table, table.counts["deepest"], table.counts["unbounded"])
 
 
+def _uses(edges: DataFrame) -> DataFrame:
+    """``(id, uses)``: the number of out-edges, of vertices that have some."""
+    return edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("uses"))
+
+
+def _peeled_by_chains(scratch: Scratch, edges: DataFrame, needs: DataFrame, start: DataFrame, free: int, root_id) -> Peeled:
+    """The peel, with each chain of ``link`` vertices as one edge of as many steps.
+
+    A link has one edge in and one out, so its depth is that of the vertex its chain hangs from and the
+    steps from there; doubling finds both in as many rounds as the longest chain has digits. The core is
+    peeled, the chains are filled in. What waits afterwards waits in the graph as it was too: the last
+    link of a chain tells its target what the chain's edge does. Rings of links are never finished.
+    """
+    links = needs.where("link").select("id")
+    up = edges.select(F.col("dst").alias("id"), F.col("src").alias("to")).join(links, "id", "left_semi")
+    hung, _ = way_ends(scratch, up)
+    hung = scratch.write(hung).df
+    among_core = edges.join(links.toDF("dst"), "dst", "left_anti")
+    core = among_core.join(hung.select(F.col("id").alias("src"), "end", F.col("steps").alias("chain")), "src", "left").select(
+        F.coalesce("end", "src").alias("src"), "dst", (F.coalesce("chain", F.lit(0)) + 1).alias("steps")
+    )
+    table = scratch.write_bucketed(with_need(core, needs.select("id", "need")), "src")
+    peeled = peel(scratch, table, start, free, root_id=root_id)
+    filled = scratch.write(
+        hung.join(peeled.done.withColumnRenamed("id", "end"), "end").select(
+            "id", (F.col("depth") + F.col("steps")).cast("int").alias("depth")
+        )
+    )
+    return Peeled(peeled.done.unionByName(filled.df), peeled.waiting, peeled.rows + filled.rows)
+
+
 def _settled(done: DataFrame) -> DataFrame:
     state = F.when(F.col("depth").isNull(), UNREACHABLE).otherwise(REACHED)
     return done.select("id", "depth", state.alias("state"))
@@ -80,7 +123,7 @@ def _held_up(graph, scratch, edges, needs, first) -> list[DataFrame]:
     """
     left = scratch.write(needs.select("id").join(first.done.select("id"), "id", "left_anti"))
     among = scratch.write_bucketed(
-        edges.df.join(left.df.withColumnRenamed("id", "src"), "src", "left_semi").select("src", "dst"), "src"
+        edges.join(left.df.withColumnRenamed("id", "src"), "src", "left_semi").select("src", "dst"), "src"
     )
     heard = left.df.where(F.col("id") == graph.root_id).select("id", F.lit(0).alias("depth"))
     if first.waiting is not None:

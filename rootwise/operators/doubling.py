@@ -13,22 +13,25 @@ from rootwise.scratch import RoundTable, Scratch
 
 
 def way_ends(scratch: Scratch, pointers: DataFrame) -> tuple[DataFrame, RoundTable]:
-    """``(id, end)``: the first vertex on the way that has no pointer; and the pointers of ways without one.
+    """``(id, end, steps)``: the first vertex on the way that has no pointer, and how far; and the pointers of ways without one.
 
     These ways lead into rings.
     """
     ids = pointers.select(F.col("id").alias("to"), F.lit(True).alias("goes_on"))
-    tagged = pointers.join(ids, "to", "left").select("id", "to", F.col("goes_on").isNull().alias("ended"))
+    tagged = pointers.join(ids, "to", "left").select(
+        "id", "to", F.lit(1).cast("long").alias("steps"), F.col("goes_on").isNull().alias("ended")
+    )
     last = scratch.write(tagged, ended=F.count_if("ended"))
     tables = [last]
     while last.counts["ended"] and last.counts["ended"] < last.rows:
         ended = scratch.scan(tables).where("ended")
         here = last.df.where("not ended")
-        onward = ended.unionByName(here).toDF("to", "next", "ends")
-        joined = here.join(onward, "to").select("id", F.col("next").alias("to"), F.col("ends").alias("ended"))
+        onward = ended.unionByName(here).toDF("to", "next", "more", "ends")
+        steps = (F.col("steps") + F.col("more")).alias("steps")
+        joined = here.join(onward, "to").select("id", F.col("next").alias("to"), steps, F.col("ends").alias("ended"))
         last = scratch.write(joined, ended=F.count_if("ended"))
         tables.append(last)
-    return scratch.scan(tables).where("ended").select("id", F.col("to").alias("end")), last
+    return scratch.scan(tables).where("ended").select("id", F.col("to").alias("end"), "steps"), last
 
 
 def rings(scratch: Scratch, pointers: DataFrame, rows: int) -> DataFrame:

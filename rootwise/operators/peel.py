@@ -32,9 +32,13 @@ def in_degrees(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def with_need(edges: DataFrame, needs: DataFrame) -> DataFrame:
-    """``(src, dst, need)``: each edge knows how many edges its target waits for."""
-    targets = needs.where("need > 0").withColumnRenamed("id", "dst")
-    return edges.select("src", "dst").join(targets, "dst").select("src", "dst", "need")
+    """``(src, dst, steps, need)``: each edge knows how many edges its target waits for.
+
+    ``steps`` is what the edge adds to the depth, 1 unless ``edges`` says otherwise.
+    """
+    targets = needs.where("need > 0").select(F.col("id").alias("dst"), "need")
+    steps = F.col("steps") if "steps" in edges.columns else F.lit(1)
+    return edges.select("src", "dst", steps.cast("int").alias("steps")).join(targets, "dst").select("src", "dst", "steps", "need")
 
 
 def peel(
@@ -45,11 +49,11 @@ def peel(
     waiting: DataFrame | None = None,
     root_id: str | None = None,
 ) -> Peeled:
-    """Peel ``edges(src, dst, need)`` from ``start(id, depth)``.
+    """Peel ``edges(src, dst, steps, need)`` from ``start(id, depth)``.
 
     A vertex is finished in the round in which the last of its in-edges is used. Its
-    ``depth`` is one more than the largest depth among its parents, NULL while none has
-    one. ``waiting(id, need, got, depth)`` are vertices partly served already.
+    ``depth`` is the largest that a parent's depth and the steps from there make, NULL while
+    no parent has one. ``waiting(id, need, got, depth)`` are vertices partly served already.
     """
     layers: list[RoundTable] = []
     total = start_rows
@@ -74,7 +78,7 @@ def peel(
         if 2 * spent > live.rows:
             # Half of the edges lead to finished vertices: go on without them.
             used = _finished(scratch, start, layers[:-1]).select(F.col("id").alias("src"))
-            rest = scratch.write_bucketed(live.df.join(used, "src", "left_anti").select("src", "dst", "need"), "src")
+            rest = scratch.write_bucketed(live.df.join(used, "src", "left_anti").select("src", "dst", "steps", "need"), "src")
             if live is not edges:
                 scratch.drop(live)
             live, spent = rest, 0
@@ -97,7 +101,7 @@ def _round(live: DataFrame, fresh: DataFrame, waiting: DataFrame | None, root_id
         F.col("dst").alias("id"),
         "need",
         F.lit(1).cast("long").alias("got"),
-        (F.col("depth") + 1).alias("depth"),
+        (F.col("depth") + F.col("steps")).alias("depth"),
     )
     if waiting is not None:
         served = served.unionByName(waiting)

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from rootwise import FormulaGraph, GraphError
+from rootwise.operators import blocks as blocks_module
 from rootwise.operators import cycles as cycles_module
+from rootwise.operators import depth as depth_module
 from rootwise.operators import evaluate as evaluate_module
 from rootwise.operators import peel as peel_module
 from rootwise.operators import propagate as propagate_module
@@ -28,6 +30,8 @@ def size(request, monkeypatch):
     """Run a test with round tables merged at once, then as few as there are left apart."""
     for module in (evaluate_module, peel_module, propagate_module, spread_module):
         monkeypatch.setattr(module, "MERGE_EVERY", request.param)
+    if request.param == 1:
+        monkeypatch.setattr(blocks_module, "BLOCK_BYTES", 1)
     return request.param
 
 
@@ -57,6 +61,27 @@ def test_depths(spark, size):
     assert got == models.depths(ids, edges, "r00t")
 
 
+@pytest.mark.parametrize("worth", [1, 10**9])
+def test_depths_with_chains(spark, monkeypatch, worth):
+    """Chains under the root, between two ways, into and out of a cycle, on one, and in a ring by themselves."""
+    monkeypatch.setattr(depth_module, "WORTH", worth)
+
+    def chain(name, n, head, tail=None):
+        way = [head, *(f"{name}{k}" for k in range(n)), *([tail] if tail else [])]
+        return list(zip(way, way[1:]))
+
+    edges = [
+        *chain("a", 9, "r00t", "top"), *chain("b", 3, "top", "meet"), *chain("c", 5, "top", "meet"),
+        *chain("d", 4, "meet", "loop"), *chain("e", 3, "loop", "loop"), *chain("f", 4, "loop", "below"),
+        *chain("g", 2, "meet", "late"), *chain("h", 2, "below", "late"), ("late", "end"),
+        *chain("i", 4, "i3", None)[1:], ("i3", "i0"), *chain("j", 3, "lost", "top"), ("alone", "alone"),
+        ("alone", "after"), ("meet", "twin"), ("top", "twin"), ("twin", "last"), ("last", "loop"),
+    ]
+    ids = sorted({v for e in edges for v in e})
+    got = {r.id: (r.depth, r.state) for r in depth_from_root(graph_of(spark, ids, edges)).collect()}
+    assert got == models.depths(ids, edges, "r00t")
+
+
 def test_root_with_parents(spark):
     ids = ["r00t", "a", "b", "c"]
     edges = [("a", "r00t"), ("r00t", "b"), ("b", "c")]

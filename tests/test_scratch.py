@@ -44,18 +44,20 @@ def test_only_the_own_application_is_cleared(spark):
     assert spark.read.parquet(other).count() == 3
 
 
-def test_a_chain_of_formulas(spark):
-    """A chain takes a few jobs a depth."""
-    rows = [("v0", "v0", "1", 0)] + [(f"v{n}", "", f"item(v{n - 1}) + 1", 0) for n in range(1, 25)]
+def test_a_chain_of_formulas(spark, monkeypatch):
+    """A chain of 2,000: depths by doubling, values in one block; as many tables as the length has digits, and some."""
+    n = 2000
+    rows = [("v0", "v0", "1", 0)] + [(f"v{k}", "", f"item(v{k - 1}) + 1", 0) for k in range(1, n)]
     random.Random(4).shuffle(rows)
     table = spark.createDataFrame(rows, "id string, name string, formula string, value int")
-    spark.sparkContext.setJobGroup("chain", "chain")
+    written = []
+    write = Scratch._next_path
+    monkeypatch.setattr(Scratch, "_next_path", lambda self: written.append(self.path) or write(self))
     values = evaluate_formulas(formula_graph(table))
-    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain"))
-    spark.sparkContext.setJobGroup("other", "other")
-    got = {r.id: r.value for r in values.where(F.col("id") != "r00t").collect()}
-    assert got == {f"v{n}": n + 1.0 for n in range(25)}
-    assert jobs < 25 * 16, jobs
+    assert len(written) < 30, len(written)
+    assert sum("evaluate" in path for path in written) == len(written) - 1
+    got = {r.id: (r.depth, r.value, r.formula) for r in values.where(F.col("id") != "r00t").collect()}
+    assert got == {f"v{k}": (k + 1, k + 1.0, f"{k} + 1" if k else "1") for k in range(n)}
 
 
 def above_scans(df):
@@ -79,7 +81,7 @@ def above_scans(df):
 def test_no_round_shuffles_the_edges(spark):
     """Rounds too large for a broadcast read bucketed edges where they lie, on every hop."""
     scratch = Scratch(spark, "test-buckets")
-    links = spark.range(1000).selectExpr("id AS src", "(id * 7 + 1) % 1000 AS dst", "cast(1 AS long) AS need")
+    links = spark.range(1000).selectExpr("id AS src", "(id * 7 + 1) % 1000 AS dst", "1 AS steps", "cast(1 AS long) AS need")
     edges = scratch.write_bucketed(links, "src")
     assert edges.rows == edges.df.count() == 1000
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
