@@ -79,25 +79,35 @@ def block_resolver(root_id: str, on_error: str, schema: pa.Schema) -> Callable[[
     def resolve(block: pa.Table) -> pa.Table:
         block = block.sort_by([("depth", "ascending"), ("id", "ascending"), ("pos", "ascending")])
         depths = block["depth"].to_numpy()
-        starts = np.flatnonzero(np.diff(depths, prepend=depths[:1] - 1))
+        starts = np.flatnonzero(np.diff(depths, prepend=depths[:1] - 1)).tolist()
+        columns = [block[name].to_pylist() for name in ("id", "lead", "ref", "tail", "argument", "inner")]
         sent: dict[str, str | None] = {}
-        rows: list[dict] = []
+        done: dict[str, list] = {name: [] for name in schema.names}
         for start, end in zip(starts, [*starts[1:], len(depths)], strict=True):
-            texts: dict[object, str] = {}
-            for piece in block.slice(start, end - start).to_pylist():
-                given = sent.get(piece["ref"]) if piece["inner"] else piece["argument"]
+            texts: dict[object, list[str]] = {}
+            for i, lead, ref, tail, argument, inner in zip(*(column[start:end] for column in columns), strict=True):
+                given = sent.get(ref) if inner else argument
                 if given is None:
-                    given = "" if piece["ref"] is None else f"{OPENING}{piece['ref']})"
-                texts[piece["id"]] = texts.get(piece["id"], "") + piece["lead"] + given + piece["tail"]
-            ready = [None if i == root_id or REFERENCE in text else text for i, text in texts.items()]
+                    given = "" if ref is None else f"{OPENING}{ref})"
+                texts.setdefault(i, []).append(lead + given + tail)
+            ids, filled = list(texts), ["".join(parts) for parts in texts.values()]
+            ready = [None if i == root_id or REFERENCE in text else text for i, text in zip(ids, filled, strict=True)]
             values, valid = evaluate_batch(pa.array(ready, pa.string()))
-            for (i, text), asked, value, known in zip(texts.items(), ready, values, valid, strict=True):
-                if on_error == "fail" and asked is not None and not known:
-                    raise ValueError(f"not an arithmetic expression: {asked!r}")
-                number = 0.0 if i == root_id else float(value) if known else None
-                status = OK if number is not None else BLOCKED if REFERENCE in text else PARSE_ERROR
-                sent[str(i)] = None if number is None else _argument(number)
-                rows.append({"id": i, "formula": text, "depth": int(depths[start]), "value": number, "status": status})
-        return pa.Table.from_pylist(rows, schema=schema)
+            if on_error == "fail":
+                bad = [text for text, known in zip(ready, valid, strict=True) if text is not None and not known]
+                if bad:
+                    raise ValueError(f"not an arithmetic expression: {bad[0]!r}")
+            numbers = [value if known else None for value, known in zip(values.tolist(), valid.tolist(), strict=True)]
+            numbers = [0.0 if i == root_id else number for i, number in zip(ids, numbers, strict=True)]
+            sent.update((str(i), _argument(number)) for i, number in zip(ids, numbers, strict=True) if number is not None)
+            done["id"] += ids
+            done["formula"] += filled
+            done["depth"] += [int(depths[start])] * len(ids)
+            done["value"] += numbers
+            done["status"] += [
+                OK if number is not None else BLOCKED if REFERENCE in text else PARSE_ERROR
+                for text, number in zip(filled, numbers, strict=True)
+            ]
+        return pa.Table.from_pydict(done, schema=schema)
 
     return resolve
