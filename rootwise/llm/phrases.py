@@ -40,7 +40,7 @@ SCALE = 1_000_000
 
 SHARD_BYTES = 4 << 20
 HELD_TYPES = 2_000_000  # words that a task counts before it hands them on
-HELD_SUFFIXES = 4_000_000  # suffixes that a task sorts at once
+HELD_SUFFIXES = 1_000_000  # suffixes that a task sorts at once: some 150 MB with all that is made of them
 GROUP_SUFFIXES = 500_000  # suffixes in a group, in the mean
 # A prefix is lengthened from so many occurrences on, or from this share of all words if that is less.
 LONG_PREFIX = GROUP_SUFFIXES
@@ -202,10 +202,17 @@ def _held_suffixes(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, dept
         held.append(columns)
         size += len(columns[0])
         if size >= HELD_SUFFIXES:
-            yield [np.concatenate(column) for column in zip(*held, strict=True)]
-            held, size = [], 0
+            yield _joined(held)
+            size = 0
     if size:
-        yield [np.concatenate(column) for column in zip(*held, strict=True)]
+        yield _joined(held)
+
+
+def _joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """The columns in one, taken off ``held``: nothing of it stays while they are worked on."""
+    columns = [np.concatenate(column) for column in zip(*held, strict=True)]
+    held.clear()
+    return columns
 
 
 def _long_prefixes(filters, length: int):

@@ -3,8 +3,11 @@
 import random
 import re
 import string
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from rootwise.llm import bitmaps, phrases
@@ -110,3 +113,20 @@ def test_nothing(spark, odd_docs):
     assert collocations(spark.createDataFrame([(1, None, None), (2, "", "en"), (3, ".,;", "en")], SCHEMA)).count() == 0
     with pytest.raises(ValueError, match="two words"):
         collocations(odd_docs, min_words=1)
+
+
+def test_a_task_holds_few_suffixes(spark):
+    """The suffixes of 3 million words go out in parts: the memory does not grow with a task's texts."""
+
+    class Filters:
+        value = [np.full(bitmaps.FILTER_BITS // 8, 255, np.uint8)]
+
+    words = " ".join(f"w{i}" for i in range(100_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([words]), pa.array([1])], names=["text", "lang_hash"])
+    run = phrases._to_groups(Filters, 3, 4)
+    tracemalloc.start()
+    found = sum(len(block[-1].as_py()) for out in run(iter([batch] * 30)) for block in out.column("block"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 0
+    assert peak < 250 << 20
