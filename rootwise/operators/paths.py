@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rootwise.model import FormulaGraph, GraphError
-from rootwise.operators.spread import reach, spread_min
+from rootwise.operators.ranges import reach_by_ranges
+from rootwise.operators.spread import reach, spread_min, spread_rounds
 from rootwise.scratch import Scratch
 
+# Rounds after which a search that needs no distances goes on by ranges of ids.
+SEARCH_ROUNDS = 4
+
 
 def hop_distances(graph: FormulaGraph, landmarks: DataFrame) -> DataFrame:
     """``(id, landmark, distance)``: hops along the edges from ``id`` to each landmark.
@@ -40,25 +44,33 @@ def distance_maps(distances: DataFrame) -> DataFrame:
 def reachable_from(graph: FormulaGraph, root_id) -> DataFrame:
     """``(id, distance)`` of the root and everything below it."""
     scratch = Scratch(graph.spark, "reach")
-    return _reached(scratch, graph, scratch.write_bucketed(graph.edges, "src").df, root_id)
+    start = _start(scratch, graph, root_id)
+    edges = scratch.write_bucketed(graph.edges, "src").df.select("src", "dst")
+    return reach(scratch, edges, start).withColumnRenamed("val", "distance")
 
 
-def _reached(scratch: Scratch, graph: FormulaGraph, edges: DataFrame, root_id) -> DataFrame:
+def _start(scratch: Scratch, graph: FormulaGraph, root_id) -> DataFrame:
     start = scratch.write(graph.vertices.where(F.col("id") == root_id).select("id"))
     if not start.rows:
         raise GraphError(f"no vertex {root_id!r}")
-    return reach(scratch, edges.select("src", "dst"), start.df).withColumnRenamed("val", "distance")
+    return start.df
 
 
 def reachable_subgraph(graph: FormulaGraph, root_id) -> FormulaGraph:
     """The graph below ``root_id``, itself included, without isolated vertices.
 
     An edge out of a reached vertex ends in a reached vertex, so one semi join gives the
-    induced edges. Only a root without any edge can be isolated.
+    induced edges. Only a root without any edge can be isolated. A search that is not through
+    after ``SEARCH_ROUNDS`` rounds goes on by ranges of ids: see :mod:`rootwise.operators.ranges`.
     """
     scratch = Scratch(graph.spark, "subgraph")
     written = scratch.write_bucketed(graph.edges, "src").df
-    reached = _reached(scratch, graph, written, root_id).select("id")
+    links = written.select("src", "dst")
+    start = _start(scratch, graph, root_id).select("id", F.lit(0).alias("val"))
+    reached, fresh = spread_rounds(scratch, links, start, "val + 1", (), True, SEARCH_ROUNDS)
+    if fresh is not None:
+        reached = reach_by_ranges(scratch, links, reached, fresh)
+    reached = scratch.write(reached.select("id")).df
     edges = written.join(reached.withColumnRenamed("id", "src"), "src", "left_semi")
     edges = edges.select(*graph.edges.columns)
     vertices = graph.vertices.join(reached, "id", "left_semi")

@@ -36,11 +36,21 @@ def spread_min(
     columns. ``settled`` says that the first value a row gets is final, as with hop counts;
     otherwise values may improve in later rounds.
     """
+    return spread_rounds(scratch, edges, seeds, step, labels, settled)[0]
+
+
+def spread_rounds(
+    scratch: Scratch, edges: DataFrame, seeds: DataFrame, step: str, labels: tuple[str, ...], settled: bool, most: int | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """:func:`spread_min` in ``most`` rounds; also the rows that are still to go on then, None if there are none."""
     keys = ["id", *labels]
     first = scratch.write(seeds.groupBy(*keys).agg(F.min("val").alias("val")))
     known, newest = [first], first
-    fresh, fresh_rows = first.df, first.rows
+    fresh, fresh_rows, rounds = first.df, first.rows, 0
     while fresh_rows:
+        if rounds == most:
+            return _best(scratch.scan(known).select(*keys, "val"), keys, settled), fresh
+        rounds += 1
         tried = scratch.write(_hops(edges, fresh.select(*keys, "val"), step, labels))
         scratch.drop_unless(known, newest)
         if not tried.rows:
@@ -57,7 +67,7 @@ def spread_min(
             merged = scratch.write(_best(scratch.scan(known).select(*keys, "val"), keys, settled))
             scratch.drop(*known[:-1])
             known = [merged]
-    return _best(scratch.scan(known).select(*keys, "val"), keys, settled)
+    return _best(scratch.scan(known).select(*keys, "val"), keys, settled), None
 
 
 def _hops(edges: DataFrame, fresh: DataFrame, step: str, labels: tuple[str, ...]) -> DataFrame:
