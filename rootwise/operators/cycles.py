@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rootwise.model import FormulaGraph
+from rootwise.operators import ranges
 from rootwise.operators.doubling import rings, way_ends
+from rootwise.operators.ranges import components_inside
 from rootwise.operators.spread import reach, spread_min
 from rootwise.scratch import RoundTable, Scratch
 
@@ -26,12 +28,13 @@ def strong_components(scratch: Scratch, edges: DataFrame) -> RoundTable | None:
     are trimmed. A chain of vertices with one edge in and one out becomes an edge between its ends, and the
     chain belongs to the component that has both; rings of such vertices are components. Both go on while they
     shrink the graph; a chain of any length is gone after as many rounds as that has digits. Colours
-    decide what is left: see :func:`_coloured`.
+    decide what is left: see :func:`_coloured`. Before, components inside a range of ids become one vertex each.
     """
     live = scratch.write(edges.where("src <> dst").select("src", "dst").distinct())
     parts: list[RoundTable] = []
     chains: list[tuple[RoundTable, RoundTable]] = []
     live = _trimmed(scratch, live)
+    live, merged = _merged(scratch, live)
     while live.rows:
         before = live.rows
         live, contracted = _contracted(scratch, live, parts)
@@ -43,7 +46,7 @@ def strong_components(scratch: Scratch, edges: DataFrame) -> RoundTable | None:
             break
     if live.rows:
         parts.append(_coloured(scratch, live))
-    if not parts and not chains:
+    if not parts and not chains and not merged:
         return None
     none = scratch.write(edges.select(F.col("src").alias("id"), F.col("src").alias("low")).where("false"))
     members = scratch.scan([none, *parts])
@@ -54,11 +57,41 @@ def strong_components(scratch: Scratch, edges: DataFrame) -> RoundTable | None:
         both = chain.df.join(members.toDF("low", "above"), F.col("low") == F.col("head")).drop("low")
         both = both.join(members.toDF("low", "below"), F.col("low") == F.col("tail")).where("above = below")
         members = scratch.write(members.unionByName(both.select("id", F.col("above").alias("low")))).df
+    for inside in reversed(merged):
+        # What one vertex stood for goes where that went.
+        own = inside.df.join(members.toDF("low", "outer"), "low", "left").select("id", F.coalesce("outer", "low").alias("low"))
+        members = own.unionByName(members.join(inside.df.select("id"), "id", "left_anti"))
+        members = scratch.write(members).df
     sizes = members.groupBy("low").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("cycle_id")).where("n > 1")
     found = scratch.write(members.join(sizes, "low").select("cycle_id", "id"))
     return found if found.rows else None
 
 
+def _merged(scratch: Scratch, live: RoundTable) -> tuple[RoundTable, list[RoundTable]]:
+    """The edges left when components inside ranges are one vertex each, the smallest id; and their vertices ``(id, low)``.
+
+    Fewer edges have fewer ranges, so it goes on while the graph shrinks. All components are inside a single range.
+    """
+    merged: list[RoundTable] = []
+    while live.rows:
+        before = live.rows
+        inside = components_inside(scratch, live)
+        if inside.rows:
+            merged.append(inside)
+        if before <= ranges.RANGE_EDGES:
+            return scratch.write(live.df.where("false")), merged
+        if not inside.rows:
+            break
+        ends = live.df.join(inside.df.toDF("src", "from"), "src", "left").join(inside.df.toDF("dst", "to"), "dst", "left")
+        ends = ends.select(F.coalesce("from", "src").alias("src"), F.coalesce("to", "dst").alias("dst"))
+        between = scratch.write(ends.where("src <> dst").distinct())
+        scratch.drop(live)
+        live = _trimmed(scratch, between)
+        if before - live.rows < before // WORTH:
+            break
+    return live, merged
+
+
 def _trimmed(scratch: Scratch, live: RoundTable) -> RoundTable:
     """The edges whose source has an edge in and whose target has one out, again and again."""
     while live.rows:

@@ -1,9 +1,9 @@
-"""Reachability by ranges of ids: a task follows all ways inside its range, a round crosses to others.
+"""Work by ranges of ids: a task does all that lies inside its range; what crosses is left to rounds.
 
-The edges are written in ranges of their source, of bounded size. A round reads the ranges that were newly
+The edges are written in ranges of their source, of bounded size. A round of a search reads the ranges that were newly
 entered; each finds all it leads to over its own edges, however many hops that takes. Rounds count crossings
 between ranges instead of hops: few where edges mostly lead to ids that are near in order, never more
-than the hops.
+than the hops. Components inside a range are found the same way: each is part of one of the whole graph.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -101,3 +102,65 @@ def _followed(group: pa.Table) -> pa.Table:
     new = np.flatnonzero(seen & ~before)
     here = pa.array(np.full(len(new), group["range"][0].as_py(), np.int32))
     return pa.table({"id": names.dictionary.take(pa.array(new)), "range": here})
+
+
+def components_inside(scratch: Scratch, edges: RoundTable) -> RoundTable:
+    """``(id, low)``: vertices that are on a cycle inside their range, and the smallest id of their component there.
+
+    A vertex whose edges lie in several ranges belongs to the first.
+    """
+    ranges = max(1, -(-edges.rows // RANGE_EDGES))
+    spread = edges.df.repartitionByRange(ranges, "src", "dst").withColumn("range", F.spark_partition_id())
+    parts = scratch.write(spread)
+    homes = parts.df.groupBy("src").agg(F.min("range").alias("range"))
+    inside = parts.df.join(homes, ["src", "range"], "left_semi")
+    inside = inside.join(homes.withColumnRenamed("src", "dst"), ["dst", "range"], "left_semi").select("range", "src", "dst")
+    kind = edges.schema["src"].dataType.simpleString()
+    found = scratch.write(inside.groupBy("range").applyInArrow(_components, f"id {kind}, low {kind}"))
+    scratch.drop(parts)
+    return found
+
+
+def _components(group: pa.Table) -> pa.Table:
+    """``(id, low)`` of a range's components of two or more vertices."""
+    n = group.num_rows
+    names = pa.concat_arrays([group["src"].combine_chunks(), group["dst"].combine_chunks()]).dictionary_encode()
+    at, ids = names.indices.to_numpy(), names.dictionary
+    order = np.argsort(at[:n], kind="stable")
+    onward = at[n:][order].tolist()
+    begin = np.searchsorted(at[:n][order], np.arange(len(ids) + 1)).tolist()
+    # Tarjan's search with its own stack: ``low`` is the earliest vertex that one leads back to.
+    low, number, component = [0] * len(ids), [0] * len(ids), [-1] * len(ids)
+    following, path, clock, components = list(begin), [], 0, 0
+    for start in range(len(ids)):
+        if number[start]:
+            continue
+        calls = [start]
+        while calls:
+            v = calls[-1]
+            if not number[v]:
+                clock += 1
+                number[v] = low[v] = clock
+                path.append(v)
+            deeper = False
+            while following[v] < begin[v + 1]:
+                w = onward[following[v]]
+                if not number[w]:
+                    calls.append(w)
+                    deeper = True
+                    break
+                if component[w] < 0:
+                    low[v] = min(low[v], low[w])
+                following[v] += 1
+            if deeper:
+                continue
+            calls.pop()
+            if low[v] == number[v]:
+                while component[v] < 0:
+                    component[path.pop()] = components
+                components += 1
+    rows = pa.table({"id": ids, "component": component})
+    least = rows.group_by("component").aggregate([("id", "min"), ("id", "count")])
+    least = least.filter(pa.compute.greater(least["id_count"], 1))
+    both = rows.join(least, "component", join_type="inner")
+    return both.select(["id", "id_min"]).rename_columns(["id", "low"])

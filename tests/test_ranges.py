@@ -5,7 +5,8 @@ import random
 import pytest
 
 from rootwise.model import FormulaGraph
-from rootwise.operators import paths, ranges
+from rootwise.operators import cycles, paths, ranges
+from rootwise.operators.cycles import strong_components
 from rootwise.operators.paths import reachable_subgraph
 from rootwise.scratch import Scratch
 
@@ -50,3 +51,39 @@ def test_many_ranges(spark, monkeypatch, kind):
     edges = [(named(a), named(b)) for a, b in edges]
     for root in (0, 60, 145, 350):
         check(spark, [named(i) for i in range(360)], edges + [(named(350), named(350))], named(root), kind)
+
+
+def components(edges):
+    """``(smallest id, id)`` of every component of two or more."""
+    ends = {v for e in edges for v in e}
+    reached = {v: below(edges, v) for v in ends}
+    mine = {v: sorted(w for w in reached[v] if v in reached[w]) for v in ends}
+    return sorted((mine[v][0], v) for v in ends if len(mine[v]) > 1)
+
+
+def check_components(spark, edges, kind="string"):
+    found = strong_components(Scratch(spark, "test"), spark.createDataFrame(edges, f"src {kind}, dst {kind}"))
+    assert (sorted(map(tuple, found.df.collect())) if found else []) == components(edges)
+
+
+def test_small_cycles_need_no_colours(spark, monkeypatch):
+    def fail(*_):
+        raise AssertionError("coloured")
+
+    monkeypatch.setattr(cycles, "_coloured", fail)
+    edges = [(10 * b + i, 10 * b + (i + step) % 10) for b in range(60) for i in range(10) for step in (1, 3, 4)]
+    edges += [(10 * b + i, b // 2 * 10) for b in range(60) for i in range(10)]
+    check_components(spark, [(f"v{a:03}", f"v{b:03}") for a, b in edges])
+
+
+@pytest.mark.parametrize("kind", ["string", "long"])
+@pytest.mark.parametrize("size", [3, 25, 10_000])
+def test_components_over_ranges(spark, monkeypatch, kind, size):
+    """Components inside ranges, over several of them, and both in one; hubs that lie in several."""
+    monkeypatch.setattr(ranges, "RANGE_EDGES", size)
+    draw = random.Random(size)
+    named = (lambda i: f"v{i}") if kind == "string" else int
+    edges = [(draw.randrange(200), draw.randrange(200)) for _ in range(210)]
+    edges += [(a, a + draw.randint(-6, 6)) for a in range(300, 400) for _ in range(2)]
+    edges += [(350, i) for i in range(500, 540)] + [(i, 350) for i in range(520, 530)] + [(7, 7)]
+    check_components(spark, [(named(a), named(b)) for a, b in edges], kind)
