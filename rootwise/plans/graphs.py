@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rootwise.model import FormulaGraph
+from rootwise.scratch import Scratch
 from rootwise.sources.tables import read_table
 
 
@@ -87,11 +88,9 @@ def line_formulas(spark: SparkSession, folder: str) -> DataFrame:
     text = F.concat(
         F.lit("(item("), tag("P", "l_partkey"), F.lit(") + 0.5) * "), F.col("l_quantity").cast("string")
     )
-    return parts.unionByName(
-        lines.select(
-            key.alias("id"), F.lit("line").alias("name"), text.alias("formula"), F.lit(0).alias("value")
-        )
-    )
+    named = lines.select(key.alias("id"), F.lit("line").alias("name"), text.alias("formula"), F.lit(0).alias("value"))
+    # A graph reads its vertices several times; the places are found once.
+    return parts.unionByName(Scratch(spark, "lines").write(named).df)
 
 
 def extreme_formulas(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from rootwise.model import FormulaGraph
 from rootwise.operators import cycles, paths, ranges
 from rootwise.operators.cycles import strong_components
 from rootwise.operators.paths import reachable_subgraph
+from rootwise.plans import graphs
 from rootwise.scratch import Scratch
 
 
@@ -87,3 +88,8 @@ def test_components_over_ranges(spark, monkeypatch, kind, size):
     edges += [(a, a + draw.randint(-6, 6)) for a in range(300, 400) for _ in range(2)]
     edges += [(350, i) for i in range(500, 540)] + [(i, 350) for i in range(520, 530)] + [(7, 7)]
     check_components(spark, [(named(a), named(b)) for a, b in edges], kind)
+
+
+def test_places_of_lines_are_found_once(spark):
+    formulas = graphs.line_formulas(spark, "/root/testdata/sf0.001")
+    assert "Window" not in formulas._jdf.queryExecution().optimizedPlan().toString()
