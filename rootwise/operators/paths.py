@@ -85,21 +85,15 @@ def shortest_distances(edges: DataFrame, source_id) -> DataFrame:
     weighted = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"))
     odd = F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") < 0)
     scratch = Scratch(edges.sparkSession, "sssp")
-    table = scratch.write_bucketed(
-        weighted.groupBy("src", "dst").agg(
-            F.min("weight").alias("weight"), F.max(odd).alias("odd")
-        ),
-        "src",
-        odd=F.count_if("odd"),
-    )
+    # Parallel edges stay: the search takes the least anyway, and merging them would shuffle and sort all edges once more.
+    table = scratch.write_bucketed(weighted, "src", odd=F.count_if(odd))
     if table.counts["odd"]:
         raise GraphError(f"{table.counts['odd']} edges have a missing or negative weight")
     kind = edges.schema["src"].dataType
     seeds = edges.sparkSession.range(1).select(
         F.lit(source_id).cast(kind).alias("id"), F.lit(0.0).alias("val")
     )
-    links = table.df.drop("odd")
-    found = spread_min(scratch, links, seeds, "val + weight", settled=False)
+    found = spread_min(scratch, table.df, seeds, "val + weight", settled=False)
     return found.withColumnRenamed("val", "distance")
 
 

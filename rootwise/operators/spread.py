@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from rootwise.scratch import RoundTable, Scratch
 
-# Edges that a round goes far. A row may be looked at again for nothing inside a round only.
+# Edges that a round goes far. A row may be looked at again for nothing inside a round only; where more rows
+# than ``FEW`` go on, or were reached by the round before, that costs more than a round: it goes one edge far.
 HOPS = 3
+FEW = 50_000
 # Round tables to pile up before they are merged into one.
 MERGE_EVERY = 24
 
@@ -46,12 +48,14 @@ def spread_rounds(
     keys = ["id", *labels]
     first = scratch.write(seeds.groupBy(*keys).agg(F.min("val").alias("val")))
     known, newest = [first], first
-    fresh, fresh_rows, rounds = first.df, first.rows, 0
+    fresh, fresh_rows, rounds, touched = first.df, first.rows, 0, first.rows
     while fresh_rows:
         if rounds == most:
             return _best(scratch.scan(known).select(*keys, "val"), keys, settled), fresh
         rounds += 1
-        tried = scratch.write(_hops(edges, fresh.select(*keys, "val"), step, labels))
+        hops = HOPS if max(fresh_rows, touched) <= FEW else 1
+        tried = scratch.write(_hops(edges, fresh.select(*keys, "val"), step, labels, hops))
+        touched = tried.rows
         scratch.drop_unless(known, newest)
         if not tried.rows:
             scratch.drop(tried)
@@ -70,20 +74,22 @@ def spread_rounds(
     return _best(scratch.scan(known).select(*keys, "val"), keys, settled), None
 
 
-def _hops(edges: DataFrame, fresh: DataFrame, step: str, labels: tuple[str, ...]) -> DataFrame:
-    """What ``fresh`` gives the vertices up to ``HOPS`` edges on.
+def _hops(edges: DataFrame, fresh: DataFrame, step: str, labels: tuple[str, ...], hops: int) -> DataFrame:
+    """What ``fresh`` gives the vertices up to ``hops`` edges on.
 
     ``fresh`` is then true for rows that got their value from the last edge: theirs are still to go.
     """
     keys = ["id", *labels]
     kind = fresh.schema["val"].dataType
     out = None
-    for hop in range(1, HOPS + 1):
-        moved = edges.join(fresh.withColumnRenamed("id", "src"), "src").select(
+    for hop in range(1, hops + 1):
+        start = fresh.withColumnRenamed("id", "src")
+        # Without labels there is one row a vertex: a bucket's rows fit a hash table, and the edges need no sorting.
+        moved = edges.join(start if labels else start.hint("shuffle_hash"), "src").select(
             F.col("dst").alias("id"), *labels, F.expr(step).cast(kind).alias("val")
         )
         fresh = moved.groupBy(*keys).agg(F.min("val").alias("val"))
-        tagged = fresh.withColumn("last", F.lit(hop == HOPS))
+        tagged = fresh.withColumn("last", F.lit(hop == hops))
         out = tagged if out is None else out.unionByName(tagged)
     early, late = (F.min(F.when(F.col("last") == last, F.col("val"))) for last in (False, True))
     least = out.groupBy(*keys).agg(early.alias("early"), late.alias("late"))

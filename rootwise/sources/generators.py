@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rootwise.scratch import Scratch
+
 # The usual parameters of the out-degree distribution.
 MU = 4.0
 SIGMA = 1.3
@@ -40,9 +42,16 @@ def log_normal_edges(
     tasks = int(vertices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     draw = _draw(F.lit(f"{seed}-degree-"), F.col("id").cast("string"))
     target = _draw(F.lit(f"{seed}-target-"), F.col("src").cast("string"), F.lit("-"), F.col("nth").cast("string"))
+    # Step by step, as written out over the draw the number is a text that takes the planner half a minute; and
+    # written, as the planner would put the steps into one another below the filter.
+    degrees = (
+        vertices.select("id", draw.alias("draw"), F.expr(_share_below(str(count), mu, sigma)).alias("below"))
+        .select("id", F.expr(_quantile_place("draw", "below")).alias("place"))
+        .select("id", F.expr(normal_quantile_sql("place")).alias("normal"))
+        .select("id", F.expr(_degree_at("normal", str(count), mu, sigma)).cast("int").alias("degree"))
+    )
     return (
-        vertices.select("id", draw.alias("draw"))
-        .select("id", F.expr(degree_sql("draw", str(count), mu, sigma)).cast("int").alias("degree"))
+        Scratch(vertices.sparkSession, "degrees").write(degrees).df
         .where("degree > 0")
         .select("id", "degree", F.explode(F.expr(f"sequence(0, (degree - 1) div {block})")).alias("block"))
         .repartition(tasks, "id", "block")
@@ -114,7 +123,16 @@ def degree_sql(draw: str, count: str, mu: float = MU, sigma: float = SIGMA) -> s
     The draw is a quantile of the part of the distribution below ``count``, so none is
     too large and none has to be drawn again.
     """
-    below = normal_share_sql(f"((ln({count}) - {_double(mu)}) / {_double(sigma)})")
-    p = f"(({draw} + 0.5) / {_double(float(DRAWS))} * ({below}))"
-    normal = normal_quantile_sql(p)
+    return _degree_at(normal_quantile_sql(_quantile_place(draw, _share_below(count, mu, sigma))), count, mu, sigma)
+
+
+def _share_below(count: str, mu: float, sigma: float) -> str:
+    return normal_share_sql(f"((ln({count}) - {_double(mu)}) / {_double(sigma)})")
+
+
+def _quantile_place(draw: str, below: str) -> str:
+    return f"(({draw} + 0.5) / {_double(float(DRAWS))} * ({below}))"
+
+
+def _degree_at(normal: str, count: str, mu: float, sigma: float) -> str:
     return f"least({count} - 1, floor(exp({_double(mu)} + {_double(sigma)} * ({normal}))))"

@@ -21,6 +21,7 @@ from rootwise.operators.evaluate import evaluate_formulas
 from rootwise.operators.hierarchy import hierarchy_columns, with_hierarchy
 from rootwise.operators.paths import hop_distances, reachable_subgraph, shortest_distances
 from rootwise.operators.propagate import propagate
+from rootwise.scratch import Scratch
 from rootwise.sources.generators import log_normal_edges, log_normal_graph
 from tests import models
 
@@ -168,6 +169,22 @@ def test_shortest_distances(spark, size):
     assert got == models.distances(edges, 42)
 
 
+def test_wide_searches(spark, monkeypatch):
+    """A round of many rows goes one edge far, and edges are shuffled once: neither merged nor sorted for joins."""
+    draw = random.Random(5)
+    edges = [(draw.randrange(80), draw.randrange(80), draw.choice([0.0, 0.5, 3.0])) for _ in range(400)] * 2
+    df = spark.createDataFrame(edges, "src long, dst long, weight double")
+    went, written = [], []
+    hops, bucketed = spread_module._hops, Scratch.write_bucketed
+    monkeypatch.setattr(spread_module, "FEW", 10)
+    monkeypatch.setattr(spread_module, "_hops", lambda *args: (went.append(args[-1]), hops(*args))[1])
+    monkeypatch.setattr(Scratch, "write_bucketed", lambda self, rows, *args, **kw: (written.append(rows), bucketed(self, rows, *args, **kw))[1])
+    got = {r.id: r.distance for r in shortest_distances(df, 42).collect()}
+    assert got == models.distances(edges, 42)
+    assert went[0] == spread_module.HOPS and went[1] == 1
+    assert "Exchange" not in written[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bad_weights(spark):
     for weight in (-1.0, None, math.nan):
         df = spark.createDataFrame([(1, 2, weight)], "src long, dst long, weight double")
@@ -320,3 +337,9 @@ def test_log_normal_graph(spark):
     assert blocks.agg(F.max("count")).first()[0] > 1  # the edges of a busy vertex lie in several tasks
     assert log_normal_graph(spark, 1)[1].count() == 0
     assert {r.src for r in log_normal_graph(spark, 2)[1].collect()} <= {0, 1}
+
+
+def test_log_normal_plan(spark):
+    """The formula of the degrees is not in the plan of the edges: planning it took half a minute."""
+    edges = log_normal_graph(spark, 300, seed=1)[1]
+    assert len(edges._jdf.queryExecution().optimizedPlan().toString()) < 5_000
