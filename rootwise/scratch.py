@@ -68,17 +68,19 @@ class Scratch:
         writer.parquet(path)
         return self._table(df, path, seen, counts)
 
-    def write_bucketed(self, df: DataFrame, key: str, **counts: Column) -> RoundTable:
+    def write_bucketed(self, df: DataFrame, key: str, spread: bool = True, **counts: Column) -> RoundTable:
         """Write ``df`` once, bucketed and sorted by ``key``, one file a bucket.
 
         A join on ``key`` then reads it as it lies: only the other side is shuffled, however often such
-        joins are made. There are ``spark.sql.shuffle.partitions`` buckets.
+        joins are made. There are ``spark.sql.shuffle.partitions`` buckets. Rows that a grouping or join by
+        ``key`` has just dealt out need no other shuffle: ``spread`` is then false.
         """
         path, seen = self._next_path(), Observation()
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         name = f"{_table_prefix(self.spark)}{uuid.uuid4().hex}"
-        spread = _watched(df, seen, counts).repartition(buckets, key)
-        spread.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+        watched = _watched(df, seen, counts)
+        dealt = watched.repartition(buckets, key) if spread else watched
+        dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
         table = self._table(df, path, seen, counts)
         table.name = name
         return table
