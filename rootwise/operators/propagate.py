@@ -139,10 +139,10 @@ def _latest(scratch: Scratch, known: list, ids: DataFrame, names: list[str]) ->
 
 def _touched(links: DataFrame, ids: DataFrame) -> DataFrame:
     """Edges with one of ``ids`` at either end, each once."""
-    source, target = ids.withColumnRenamed("id", "src_id"), ids.withColumnRenamed("id", "dst_id")
-    out = links.join(source, "src_id", "left_semi")
-    into = links.join(target, "dst_id", "left_semi").join(source, "src_id", "left_anti")
-    return out.unionByName(into)
+    source = ids.select(F.col("id").alias("src_id"), F.lit(True).alias("out"))
+    target = ids.select(F.col("id").alias("dst_id"), F.lit(True).alias("in"))
+    marked = links.join(source, "src_id", "left").join(target, "dst_id", "left")
+    return marked.where(F.col("out").isNotNull() | F.col("in").isNotNull()).select(*links.columns)
 
 
 def _end(vertices: DataFrame, end: str, names: list[str], whole: bool = False, *more: Column) -> DataFrame:
