@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VOCABULARY = 2000  # ids of the model: the end, the most frequent words, and one for all others
 KNOWN_WORDS = 200_000  # words whose counts every task holds
-SLICE = 2 << 20  # bytes split at once
+SLICE = 4 << 20  # bytes split at once
+COUNTED_AT_ONCE = 16 << 20  # bytes of words
 SCORED_AT_ONCE = 3_000_000  # tokens
 LEARNED_AT_ONCE = 500_000
 AVERAGED_AT_ONCE = 64
@@ -40,31 +42,59 @@ ROWS = (
 )
 
 
-def _tokens(text: str | None) -> Iterator[list[bytes]]:
-    """The text's words, some at a time. ``lower`` and ``split`` of bytes know ASCII only."""
-    data = (text or "").encode().lower()
-    at = 0
-    while at < len(data):
-        cut = re.compile(rb"[\x20\x09-\x0D]").search(data, at + SLICE)
-        to = cut.start() if cut else len(data)
-        yield data[at:to].split()
-        at = to
+def _groups(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Rows that follow one another, some at a time: of more than one row the texts make up no more than a slice."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    start = size = 0
+    for at, own in enumerate(sizes.tolist()):
+        if at > start and size + own > SLICE:
+            yield batch.slice(start, at - start)
+            start, size = at, 0
+        size += own
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
+def _words(texts: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """The words of a group's texts, and whose each is; a text beyond a slice comes in pieces, cut between words.
+
+    Arrow's ``ascii_`` functions and patterns of bytes know ASCII only.
+    """
+    if len(texts) > 1:
+        yield _split(texts)
+        return
+    for text in texts:
+        data = (text.as_py() or "").encode()
+        at = 0
+        while at < len(data):
+            cut = re.compile(rb"[\x20\x09-\x0D]").search(data, at + SLICE)
+            to = cut.start() if cut else len(data)
+            yield _split(pa.array([data[at:to]], pa.binary()).cast(pa.string()))
+            at = to
+
+
+def _split(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = lists.flatten()
+    there = pc.not_equal(words, "")  # blanks at the ends leave empty ones
+    owner = pc.list_parent_indices(lists).to_numpy()
+    return owner[there.to_numpy(zero_copy_only=False)], words.filter(there)
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    held: list[pa.Array] = []
 
     def counted() -> pa.RecordBatch:
-        words = pa.array(list(counts), pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([words, pa.array(counts.values(), pa.int64())], names=["word", "n"])
+        counts = pa.chunked_array(held, pa.string()).value_counts()
+        return pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], names=["word", "n"])
 
     for batch in batches:
-        for text in batch.column(0):
-            for words in _tokens(text.as_py()):
-                counts.update(words)
-            if len(counts) > 200_000:
-                yield counted()
-                counts.clear()
+        for group in _groups(batch, 0):
+            for _, words in _words(group.column(0)):
+                held.append(words)
+                if sum(h.nbytes for h in held) > COUNTED_AT_ONCE:
+                    yield counted()
+                    held.clear()
     yield counted()
 
 
@@ -81,9 +111,8 @@ class Vocabulary:
         self.tail_tokens = tokens - named
         self.tail_distinct = distinct - self.size - (texts > 0)
 
-    def ranks(self) -> dict[bytes, int]:
-        words = self.packed.encode().split(b"\n") if len(self.counts) else []
-        return {word: rank for rank, word in enumerate(words)}
+    def words(self) -> pa.Array:
+        return pa.array(self.packed.split("\n") if len(self.counts) else [], pa.string())
 
     def id_counts(self) -> np.ndarray:
         return np.concatenate([[self.texts], self.counts[: self.size], [self.tail_tokens]]).astype(float)
@@ -119,16 +148,29 @@ def count_words(scratch: Scratch, training: DataFrame):
 # -- the model -------------------------------------------------------------------------
 
 
+def _ranks(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Each word's place among the known ones, else -1."""
+    return pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy()
+
+
+def _texts(n: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """The ids of ``n`` texts, an end behind each, of parts that say whose each id is."""
+    ids = np.concatenate([np.empty(0, np.int32), *(ids for _, ids in parts)])
+    upto = np.cumsum(sum((np.bincount(owner, minlength=n) for owner, _ in parts), np.zeros(n, np.int64)))
+    return np.split(np.insert(ids, upto, 0), (upto + np.arange(1, n + 1))[:-1])
+
+
 def _encoder(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary: Vocabulary = shared.value
         size = vocabulary.size
-        ids = {word: rank + 1 for word, rank in vocabulary.ranks().items() if rank < size}
+        named = vocabulary.words()[:size]
         for batch in batches:
             texts = []
-            for text in batch.column(0):
-                found = [ids.get(word, size + 1) for words in _tokens(text.as_py()) for word in words]
-                texts.append(np.array([*found, 0], "<i4").tobytes())
+            for group in _groups(batch, 0):
+                found = [(owner, _ranks(words, named)) for owner, words in _words(group.column(0))]
+                texts += _texts(len(group), [(owner, np.where(ranks < 0, size, ranks) + 1) for owner, ranks in found])
+            texts = [ids.astype("<u2").tobytes() for ids in texts]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), batch.column(1)], names=["ids", "round"])
 
     return run
@@ -141,7 +183,7 @@ def _trainer(shared, counts: np.ndarray, rate: float):
         seen, held, tokens = 0, [], 0
         for batch in batches:
             for ids in batch.column(0):
-                held.append(np.frombuffer(ids.as_py(), "<i4"))
+                held.append(np.frombuffer(ids.as_py(), "<u2"))
                 tokens += len(held[-1])
                 if tokens > LEARNED_AT_ONCE:
                     seen += model.train(held, rate)
@@ -209,10 +251,10 @@ def train_model(
 def _scorer(shared, model_shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary: Vocabulary = shared.value
-        ranks = vocabulary.ranks()
+        known_words = vocabulary.words()
         model = gru.Gru(vocabulary.id_counts())
         model.set_parameters(model_shared.value)
-        logs = np.log10(vocabulary.counts + 1.0)
+        logs = np.append(np.log10(vocabulary.counts + 1.0), 0.0)  # the last is for rank -1
         end = math.log10(vocabulary.texts + 1)
         size = vocabulary.size
         row = TaskContext.get().partitionId() << 40
@@ -226,37 +268,37 @@ def _scorer(shared, model_shared):
             fields = [field.split() for field in ROWS.split(", ")]
             kinds = {
                 "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(),
-                "array<string>": pa.list_(pa.binary()), "array<long>": pa.list_(pa.int64()),
+                "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64()),
             }
-            arrays = []
-            for (_, kind), column in zip(fields, zip(*rows, strict=True), strict=True):
-                array = pa.array(column, kinds[kind])
-                arrays.append(array.cast(pa.list_(pa.string())) if kind == "array<string>" else array)
+            columns = zip(*rows, strict=True)
+            arrays = [pa.array(column, kinds[kind]) for (_, kind), column in zip(fields, columns, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
 
         for batch in batches:
-            for doc_id, out, text in zip(*(batch.column(i) for i in range(3)), strict=True):
-                base, tail, known, n_tail, n = end, 0.0, int(vocabulary.texts > 0), 0, 1
-                rare: Counter = Counter()
-                parts = []
-                for words in _tokens(text.as_py()):
-                    found = np.fromiter((ranks.get(word, -1) for word in words), np.int64, len(words))
-                    unknown = np.flatnonzero(found < 0)
-                    rare.update(words[i] for i in unknown)
-                    value = logs[found[found >= 0]] if len(logs) else np.empty(0)
-                    base += float(value.sum())
-                    shared_id = (found < 0) | (found >= size)
-                    tail += float(logs[found[found >= size]].sum()) if len(logs) else 0.0
-                    n_tail += int(shared_id.sum())
-                    known += len(value)
-                    n += len(words)
-                    parts.append(np.where(shared_id, size + 1, found + 1).astype(np.int32))
-                waiting.append(np.concatenate([*parts, np.zeros(1, np.int32)]))
-                held.append(
-                    (row, doc_id.as_py(), out.as_py(), n, known, base, tail, n_tail, list(rare), list(rare.values()))
-                )
-                row += 1
-                tokens += n
+            for group in _groups(batch, 2):
+                rows = len(group)
+                known, n_tail, n = (np.zeros(rows, np.int64) for _ in range(3))
+                base, tail = np.zeros(rows), np.zeros(rows)
+                parts, rare = [], [Counter() for _ in range(rows)]
+                for owner, words in _words(group.column(2)):
+                    found = _ranks(words, known_words)
+                    value, beyond, unknown = logs[found], found >= size, found < 0
+                    n += np.bincount(owner, minlength=rows)
+                    known += np.bincount(owner[~unknown], minlength=rows)
+                    base += np.bincount(owner, value, rows)
+                    tail += np.bincount(owner[beyond], value[beyond], rows)
+                    n_tail += np.bincount(owner[beyond | unknown], minlength=rows)
+                    parts.append((owner, np.where(beyond | unknown, size + 1, found + 1)))
+                    for place, word in zip(owner[unknown].tolist(), words.filter(pa.array(unknown)).to_pylist(), strict=True):
+                        rare[place][word] += 1
+                ids = _texts(rows, parts)
+                columns = (x.to_pylist() for x in (group.column(0), group.column(1)))
+                figures = (x.tolist() for x in (n + 1, known + (vocabulary.texts > 0), base + end, tail, n_tail))
+                for doc_id, out, *own, words in zip(*columns, *figures, rare, strict=True):
+                    held.append((row, doc_id, out, *own, list(words), list(words.values())))
+                    row += 1
+                waiting += ids
+                tokens += sum(len(x) for x in ids)
                 if tokens > SCORED_AT_ONCE:
                     yield scored()
                     held, waiting, tokens = [], [], 0
